@@ -1,0 +1,96 @@
+"""Listing of run folders on the executors.
+
+The file sources of Spark hide names that start with an underscore, skip empty files and list no
+folders, and they gather the whole listing on the driver. The jobs need all of these, for many runs
+at once, so each glob level is expanded by a `mapInPandas` step over (folder, rest of the pattern)
+rows, spread anew between the levels: one run with very many folders is shared by many tasks.
+"""
+
+from __future__ import annotations
+
+import fnmatch
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from runweave.config import SOURCE_GLOBS
+
+_STEP = "run string, source string, path string, is_dir boolean, length bigint, rest array<string>"
+
+
+def file_system(path: str):
+    """(file system, path on it) for a plain path or a URI such as s3:// or hdfs://."""
+    from pyarrow import fs
+
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def _children(folder: str, pattern: str) -> Iterator[tuple[str, bool, int]]:
+    """Entries of one folder that match one pattern; dot files only match a pattern with a dot."""
+    from pyarrow import fs
+
+    system, local = file_system(folder)
+    if "*" in pattern:
+        found = system.get_file_info(fs.FileSelector(local, allow_not_found=True))
+    else:
+        found = [system.get_file_info(f"{local}/{pattern}")]
+    for info in found:
+        hidden = info.base_name.startswith(".") and not pattern.startswith(".")
+        exists = info.type != fs.FileType.NotFound
+        if exists and not hidden and fnmatch.fnmatchcase(info.base_name, pattern):
+            is_dir = info.type == fs.FileType.Directory
+            yield f"{folder}/{info.base_name}", is_dir, -1 if is_dir else info.size
+
+
+def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Replace each (folder, pattern parts) row by the entries that match its next wildcard part."""
+    for batch in batches:
+        out = []
+        for run, source, path, is_dir, length, rest in batch.itertuples(index=False):
+            parts = list(rest)
+            if not parts:
+                out.append((run, source, path, is_dir, length, parts))
+                continue
+            while len(parts) > 1 and "*" not in parts[0]:
+                path, parts = f"{path}/{parts[0]}", parts[1:]
+            for child, child_dir, size in _children(path, parts[0]):
+                if child_dir or len(parts) == 1:
+                    out.append((run, source, child, child_dir, size, parts[1:]))
+        yield pd.DataFrame(out, columns=["run", "source", "path", "is_dir", "length", "rest"])
+
+
+def spread(df: DataFrame, *cols: str, rounds: int = 4) -> DataFrame:
+    """Spread small rows that stand for much work over a fixed, not coalesced, number of tasks."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism * rounds
+    return df.repartition(tasks, *cols)
+
+
+def list_files(runs: DataFrame, globs: dict[str, tuple[str, str]] = SOURCE_GLOBS) -> DataFrame:
+    """(run, source, path, folder, name, is_dir, length) of all entries the globs match."""
+    patterns = F.array(*(
+        F.struct(F.lit(s).alias("source"), F.lit(base).alias("base"),
+                 F.array(*map(F.lit, glob.split("/"))).alias("rest"))
+        for s, (base, glob) in globs.items()
+    ))
+    todo = runs.select("run", F.inline(patterns)).select(
+        "run",
+        "source",
+        F.when(F.col("base") == "parent", F.regexp_replace("run", "/[^/]*$", ""))
+        .otherwise(F.col("run")).alias("path"),
+        F.lit(True).alias("is_dir"),
+        F.lit(-1).cast("bigint").alias("length"),
+        "rest",
+    )
+    levels = max(sum("*" in part for part in glob.split("/")) or 1 for _, glob in globs.values())
+    for _ in range(levels):
+        todo = spread(todo, "source", "path").mapInPandas(_expand, _STEP)
+    return todo.select(
+        "run", "source", "path",
+        F.element_at(F.split("path", "/"), -2).alias("folder"),
+        F.element_at(F.split("path", "/"), -1).alias("name"),
+        "is_dir", "length",
+    )
