@@ -25,9 +25,12 @@ def round_percent(col: Column) -> Column:
 
 def fraction_called(seq: Column, missing: str = "Nn") -> Column:
     """Percent of letters that are not the missing letter; null for an empty sequence."""
+    # no CASE around it: the count is then worked out once, as a common subexpression
     n = F.length(seq)
-    gaps = n - F.length(F.translate(seq, missing, ""))
-    return F.when(n > 0, round_percent(F.lit(100.0) - gaps * F.lit(100.0) / F.nullif(n, F.lit(0))))
+    kept = seq
+    for letter in missing:
+        kept = F.replace(kept, F.lit(letter), F.lit(""))
+    return round_percent(F.lit(100.0) - (n - F.length(kept)) * F.lit(100.0) / F.nullif(n, F.lit(0)))
 
 
 def threshold_flag(col: Column, limit: float) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,9 +37,11 @@ def map_columns(headers: DataFrame) -> list[str]:
     return [r[0] for r in first.orderBy("at").select("column_name").collect()]
 
 
-def widen_maps(df: DataFrame, column: str, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """One column per map key."""
-    cells = (F.try_element_at(quoted(column), F.lit(n)).alias(n) for n in names)
+def widen_maps(
+    df: DataFrame, column: str, names: Sequence[str], keep: Sequence[str], clean: Callable[[Column], Column]
+) -> DataFrame:
+    """One column per map key, each value passed through `clean`."""
+    cells = (clean(F.try_element_at(quoted(column), F.lit(n))).alias(n) for n in names)
     return df.select(*map(quoted, keep), *cells)
 
 

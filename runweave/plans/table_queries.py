@@ -530,16 +530,16 @@ def _protected_sql(sep: str) -> str:
 
 
 @query("c32_delimited_shape", f"""
-    WITH l AS (SELECT doc_id, list_filter(string_split({_protected_sql("' '")}, chr(10)),
+    WITH l AS (SELECT doc_id, list_filter(string_split({_protected_sql("','")}, chr(10)),
                  lambda x: trim(x) <> '') AS lines FROM documents),
-    w AS (SELECT doc_id, list_transform(lines, lambda x: len(string_split(x, ' '))) AS widths FROM l)
+    w AS (SELECT doc_id, list_transform(lines, lambda x: len(string_split(x, ','))) AS widths FROM l)
     SELECT doc_id, CASE WHEN len(widths) = 0 THEN 'empty'
                         WHEN len(widths) > 1 AND list_max(widths[2:]) > widths[1] THEN 'ragged' END AS problem,
            widths[1] AS n_columns, CASE WHEN len(widths) > 0 THEN len(widths) - 1 END AS n_records
     FROM w""")
 def delimited_shape(spark, sf_dir):
     texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
-    return parse_delimited(texts, " ").select(
+    return parse_delimited(texts, ",").select(
         "doc_id", "problem",
         F.when(F.col("header").isNotNull(), F.size("header")).cast("bigint").alias("n_columns"),
         F.when(F.col("records").isNotNull(), F.size("records")).cast("bigint").alias("n_records"),

@@ -23,7 +23,7 @@ def _protect(text: Column, sep: str) -> Column:
         F.split(text, '"'),
         lambda piece, i: F.when(i % 2 == 1, F.translate(piece, sep + "\n", _SEP + _BREAK)).otherwise(piece),
     )
-    return F.when(F.contains(text, F.lit('"')), F.array_join(pieces, '"')).otherwise(text)
+    return F.array_join(pieces, '"')
 
 
 def _cell(cell: Column, sep: str) -> Column:
@@ -31,30 +31,46 @@ def _cell(cell: Column, sep: str) -> Column:
     return F.when(F.contains(cell, F.lit('"')), F.replace(plain, F.lit('""'), F.lit('"'))).otherwise(cell)
 
 
-def _split_cells(line: Column, sep: str) -> Column:
-    return F.transform(F.split(line, re.escape(sep)), lambda c: _cell(c, sep))
-
-
 def split_records(text: Column, sep: str) -> Column:
     """array<array<string>> of the cells of all lines that are not blank."""
-    lines = F.filter(F.split(_protect(text, sep), "\n"), lambda line: F.length(F.trim(line)) > 0)
-    return F.transform(lines, lambda line: _split_cells(line, sep))
+    def lines(body: Column) -> Column:
+        return F.filter(F.split(body, "\n"), lambda line: F.length(F.trim(line)) > 0)
+
+    def cells(line: Column) -> Column:
+        return F.split(line, re.escape(sep))
+
+    quoted = F.transform(
+        lines(_protect(text, sep)), lambda line: F.transform(cells(line), lambda c: _cell(c, sep))
+    )
+    return F.when(F.contains(text, F.lit('"')), quoted).otherwise(F.transform(lines(text), cells))
+
 
+def _with_header(parsed: DataFrame) -> DataFrame:
+    """Adds `header`: names of line 0, unnamed columns numbered, repeats given a suffix.
 
-def _header_names(cells: Column) -> Column:
-    """Header names: unnamed columns are numbered and repeats get a suffix, so the names are unique."""
+    Each step is a column of its own: an expression used inside a lambda is worked out anew for
+    every element.
+    """
+    cells = F.get("_lines", F.lit(0))
     named = F.transform(
         cells, lambda c, i: F.when(c == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(c)
     )
 
-    def numbered(name: Column, i: Column) -> Column:
-        before = F.size(F.filter(F.slice(named, F.lit(1), i), lambda other: other == name))
-        return F.when(before > 0, F.concat(name, F.lit("."), before.cast("string"))).otherwise(name)
+    def repeat(name: Column, i: Column) -> Column:
+        before = F.size(F.filter(F.slice("_named", F.lit(1), i), lambda other: other == name))
+        return F.when(before > 0, F.concat_ws(".", name, before.cast("string"))).otherwise(name)
+
+    def last_resort(name: Column, i: Column) -> Column:  # a name may look like a suffixed repeat
+        return F.when(F.array_position("_names", name) <= i, F.concat_ws("#", name, i.cast("string"))).otherwise(name)
 
-    names = F.transform(named, numbered)
-    return F.transform(  # a file may hold a name that looks like a suffixed repeat
-        names,
-        lambda n, i: F.when(F.array_position(names, n) <= i, F.concat_ws("#", n, i.cast("string"))).otherwise(n),
+    def unique(names: str) -> Column:
+        return F.size(F.array_distinct(names)) == F.size(names)
+
+    return (
+        parsed.withColumn("_named", named)
+        .withColumn("_names", F.when(unique("_named"), F.col("_named")).otherwise(F.transform("_named", repeat)))
+        .withColumn("header", F.when(unique("_names"), F.col("_names")).otherwise(F.transform("_names", last_resort)))
+        .drop("_named", "_names")
     )
 
 
@@ -64,12 +80,12 @@ def parse_delimited(texts: DataFrame, sep: str, content: str = "content") -> Dat
     A text without any line is 'empty'; one with a line longer than its header is 'ragged'.
     Shorter lines are filled with nulls.
     """
-    parsed = texts.withColumn("_lines", split_records(F.col(content), sep)).drop(content)
-    header = F.get("_lines", F.lit(0))
-    parsed = parsed.withColumn("header", _header_names(header)).withColumn(
-        "records", F.when(F.size("_lines") > 0, F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0))))
-    )
-    ragged = F.exists("records", lambda r: F.size(r) > F.size("header"))
+    # the one-element explode keeps the optimizer from copying the split into every later filter
+    keep = [c for c in texts.columns if c != content]
+    parsed = texts.select(*keep, F.explode(F.array(split_records(F.col(content), sep))).alias("_lines"))
+    below = F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))
+    parsed = _with_header(parsed).withColumn("records", F.when(F.size("_lines") > 0, below))
+    ragged = F.array_max(F.transform("records", F.size)) > F.size("header")
     known = F.col("problem") if "problem" in texts.columns else F.lit(None).cast("string")
     problem = F.coalesce(
         known,
@@ -89,22 +105,39 @@ def delimited_rows(parsed: DataFrame) -> DataFrame:
                        F.map_from_arrays("header", cells).alias("cells"))
 
 
+def first_row(parsed: DataFrame) -> DataFrame:
+    """Adds `cells`, the map of the first record, and `n_records`; null for texts with a problem."""
+    first = F.get("records", F.lit(0))
+    cells = F.map_from_arrays("header", F.transform("header", lambda _, i: F.get(first, i)))
+    good = F.col("problem").isNull()
+    return parsed.withColumn("n_records", F.when(good, F.size("records"))).withColumn(
+        "cells", F.when(good & (F.size("records") > 0), cells)
+    )
+
+
+def has_columns(*names: str) -> Column:
+    """True when the header holds all the names."""
+    return F.size(F.array_intersect("header", F.array(*map(F.lit, names)))) == len(names)
+
+
 def cell(name: str, cells: str = "cells") -> Column:
     """One cell by header name; null when the column or the value is missing."""
     return na_to_null(F.try_element_at(F.col(cells), F.lit(name)))
 
 
-def headerless(parsed_line: Column, names: list[str]) -> list[Column]:
-    """The cells of a record by position, as named columns."""
-    return [na_to_null(F.get(parsed_line, F.lit(i))).alias(n) for i, n in enumerate(names)]
+def parse_headerless(texts: DataFrame, sep: str, content: str = "content") -> DataFrame:
+    """Adds records, the cells of all lines that are not blank."""
+    keep = [c for c in texts.columns if c != content]
+    return texts.select(*keep, F.explode(F.array(split_records(F.col(content), sep))).alias("records"))
 
 
 def read_headerless(texts: DataFrame, sep: str, names: list[str], content: str = "content") -> DataFrame:
     """One row per line of texts without header, cells named by position."""
-    keep = [c for c in texts.columns if c not in (content, "pos", "problem")]
-    rows = texts.select(*keep, F.posexplode(split_records(F.col(content), sep)).alias("pos", "_record"))
-    return rows.select(*keep, F.col("pos").cast("bigint").alias("pos"),
-                       F.size("_record").alias("width"), *headerless(F.col("_record"), names))
+    parsed = parse_headerless(texts, sep, content)
+    keep = [c for c in parsed.columns if c not in ("records", "pos", "problem")]
+    rows = parsed.select(*keep, F.posexplode("records").alias("pos", "_record"))
+    cells = (na_to_null(F.get("_record", F.lit(i))).alias(n) for i, n in enumerate(names))
+    return rows.select(*keep, F.col("pos").cast("bigint").alias("pos"), F.size("_record").alias("width"), *cells)
 
 
 def header_names(parsed: DataFrame, keys: list[str]) -> DataFrame:

@@ -73,8 +73,8 @@ def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target
     table = as_runs(spark, runs)
     _write(table, f"{target}/runs")
     _write(list_files(table), f"{target}/listing")
-    landed = load_runs(spark, target)
-    _write(_texts(landed.only(table).listing), f"{target}/texts")
+    listing = _load(spark, target, "listing").join(table.select("run"), "run", "left_semi")
+    _write(_texts(listing), f"{target}/texts")
     return load_runs(spark, target)
 
 
@@ -86,10 +86,10 @@ _SCHEMAS = {
 }
 
 
-def load_runs(spark: SparkSession, target: str) -> RunTables:
-    """The landed tables; one that is not written yet is empty."""
-    def load(name: str) -> DataFrame:
-        schema = _SCHEMAS[name]
-        return spark.read.schema(schema).parquet(f"{target}/{name}")
+def _load(spark: SparkSession, target: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{target}/{name}")
+
 
-    return RunTables(load("runs"), load("listing"), load("texts"))
+def load_runs(spark: SparkSession, target: str) -> RunTables:
+    """The landed tables."""
+    return RunTables(*(_load(spark, target, name) for name in _SCHEMAS))
