@@ -16,7 +16,8 @@ _SPACE = " \t\n\r\f\x0b"
 
 def na_to_null(col: Column) -> Column:
     """Null for the missing-value tokens of delimited files; use on CSV/TSV cells only."""
-    return F.when(~col.isin(*NA_TOKENS), col)
+    # position in a comma list, one literal in place of one per token; no token holds a comma
+    return F.when(F.find_in_set(col, F.lit(",".join(NA_TOKENS))) == 0, col)
 
 
 def strip_ws(col: Column) -> Column:

@@ -96,7 +96,7 @@ def best_clades(tables: RunTables, config: JobConfig) -> Result:
         F.col("nextclade_dataset_name").alias("dataset"), "clade", "cells", *shown,
     )
 
-    good = files.where("problem is null")
+    good = files.where(F.col("problem").isNull() & has_columns(*_NEEDED))
     unscored = rows.groupBy("run", "path").agg(F.max("score").alias("top")).where("top is null")
     folders = tables.files("clade_dir").where("is_dir").select("run", F.col("name").alias("folder"))
     tsv = tables.files("clades").select("run", "folder").distinct()
@@ -104,7 +104,7 @@ def best_clades(tables: RunTables, config: JobConfig) -> Result:
     return Result(best, [
         *datasets.events,
         events(files.where("problem is not null"), "tsv_file_read_failed", path="path", error="problem"),
-        events(good.where(~has_columns(*_NEEDED)), "nextclade_file_read_error", path="path",
+        events(files.where(F.col("problem").isNull() & ~has_columns(*_NEEDED)), "nextclade_file_read_error", path="path",
                error=F.lit("column missing")),
         events(unscored, "nextclade_file_read_error", path="path", error=F.lit("no score")),
         reject_events(folders, tsv, ["run", "folder"], "no_nextclade_tsv_files_found", sample="folder"),

@@ -29,11 +29,6 @@ class RunTables:
     def read(self, source: str) -> DataFrame:
         return self.texts.where(F.col("source") == source)
 
-    def only(self, runs: DataFrame) -> "RunTables":
-        """The same tables cut to some runs; keyed semi joins, so landed partitions are pruned."""
-        return RunTables(*(t.join(runs.select("run"), "run", "left_semi")
-                           for t in (self.runs, self.listing, self.texts)))
-
 
 def as_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> DataFrame:
     """Run folders as a table; `run` is the folder path without trailing slashes."""
@@ -64,8 +59,8 @@ def scan_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> Run
 
 def _write(table: DataFrame, path: str) -> None:
     # REBALANCE splits the rows of a very large run over several files and joins small ones
-    (table.hint("rebalance", "run").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path))
+    (table.withColumn("run_part", F.col("run")).hint("rebalance", "run_part").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_part").parquet(path))
 
 
 def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target: str) -> RunTables:
@@ -73,23 +68,26 @@ def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target
     table = as_runs(spark, runs)
     _write(table, f"{target}/runs")
     _write(list_files(table), f"{target}/listing")
-    listing = _load(spark, target, "listing").join(table.select("run"), "run", "left_semi")
-    _write(_texts(listing), f"{target}/texts")
-    return load_runs(spark, target)
+    _write(_texts(_load(spark, target, "listing", table)), f"{target}/texts")
+    return load_runs(spark, target, table)
 
 
 _SCHEMAS = {
-    "runs": "present boolean, run string",
-    "listing": "source string, path string, folder string, name string, is_dir boolean, length bigint, run string",
-    "texts": "source string, path string, folder string, name string, pos bigint, content string, "
-             "problem string, run string",
+    "runs": "run string, present boolean",
+    "listing": "run string, source string, path string, folder string, name string, is_dir boolean, length bigint",
+    "texts": "run string, source string, path string, folder string, name string, pos bigint, "
+             "content string, problem string",
 }
 
 
-def _load(spark: SparkSession, target: str, name: str) -> DataFrame:
-    return spark.read.schema(_SCHEMAS[name]).parquet(f"{target}/{name}")
+def _load(spark: SparkSession, target: str, name: str, runs: DataFrame | None) -> DataFrame:
+    table = spark.read.schema(_SCHEMAS[name] + ", run_part string").parquet(f"{target}/{name}")
+    if runs is not None:  # prunes the partitions of other runs
+        table = table.join(runs.select(F.col("run").alias("run_part")), "run_part", "left_semi")
+    # `run` is a plain column of its own: joins on it would else plan a pruning subquery each
+    return table.drop("run_part")
 
 
-def load_runs(spark: SparkSession, target: str) -> RunTables:
-    """The landed tables."""
-    return RunTables(*(_load(spark, target, name) for name in _SCHEMAS))
+def load_runs(spark: SparkSession, target: str, runs: DataFrame | None = None) -> RunTables:
+    """The landed tables, of all runs or of some."""
+    return RunTables(*(_load(spark, target, name, runs) for name in _SCHEMAS))
