@@ -40,7 +40,7 @@ def dataset_versions(tables: RunTables) -> Result:
     no_process = single.join(found.select("run", "path"), ["run", "path"], "left_anti")
     no_file = linked.where("problem = 'missing'")
     repeated = rows.groupBy("run", "nextclade_filename").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return Result(rows, [
+    return Result(rows, lambda: [
         events(no_log, kind, file_count="n", pattern=F.lit("*nextflow.log")),
         events(no_log, "nextflow_log_not_found"),
         events(no_log, "publish_nc_datasets_failed_file_missing"),
@@ -101,8 +101,8 @@ def best_clades(tables: RunTables, config: JobConfig) -> Result:
     folders = tables.files("clade_dir").where("is_dir").select("run", F.col("name").alias("folder"))
     tsv = tables.files("clades").select("run", "folder").distinct()
     tsv_folders = folders.join(tsv, ["run", "folder"], "left_semi")
-    return Result(best, [
-        *datasets.events,
+    return Result(best, lambda: [
+        *datasets.events(),
         events(files.where("problem is not null"), "tsv_file_read_failed", path="path", error="problem"),
         events(files.where(F.col("problem").isNull() & ~has_columns(*_NEEDED)), "nextclade_file_read_error", path="path",
                error=F.lit("column missing")),

@@ -50,7 +50,7 @@ def mapped_reads(tables: RunTables) -> Result:
         files.where("reject is null"), _KEY, "segment", SEGMENTS, ["reads_mapped", "seq_length"], ["path"], default=0
     )
     lost = files.where("reject is not null")
-    return Result(wide, [events(lost, F.col("reject"), "sample", path="path", segment="segment", rows="n_rows")])
+    return Result(wide, lambda: [events(lost, F.col("reject"), "sample", path="path", segment="segment", rows="n_rows")])
 
 
 def completeness(tables: RunTables) -> Result:
@@ -65,7 +65,7 @@ def completeness(tables: RunTables) -> Result:
     )
     unknown = records.where(~F.col("segment").isin(*SEGMENTS))
     broken = texts.where("problem is not null")
-    return Result(wide, [
+    return Result(wide, lambda: [
         events(unknown, "unknown_segment_found", "sample", segment="segment", record_id="id"),
         events(broken, "completeness_calculation_error", "sample", path="path", error="problem"),
     ])
@@ -95,7 +95,7 @@ def cleavage_sites(tables: RunTables) -> Result:
     lacking = files.where((F.col("n_records") > 0) & ~has_columns(motif, title))
     other = files.where("problem is not null")
     kind = F.when(F.col("problem") == "empty", "cleavage_file_empty").otherwise("cleavage_file_read_error")
-    return Result(rows, [
+    return Result(rows, lambda: [
         events(other, kind, "sample", path="path", error="problem"),
         events(lacking, "cleavage_file_read_error", "sample", path="path", error=F.lit("column missing")),
     ])
@@ -121,7 +121,7 @@ def genotypes(tables: RunTables) -> Result:
     )
     failed = files.withColumn("error", error).where("error is not null")
     extra = files.select(*_KEY, F.explode(F.map_keys("pairs")).alias("key")).where(~F.col("key").isin(*SEGMENTS))
-    return Result(rows, [
+    return Result(rows, lambda: [
         events(failed, "genoflu_file_read_error", "sample", path="path", error="error"),
         events(extra, "unexpected_column_found", "sample", column=F.concat(F.lit("GenoFLU_"), "key")),
     ])

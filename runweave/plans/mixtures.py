@@ -25,7 +25,7 @@ def mixtures(tables: RunTables) -> Result:
     """(run, path, sample, cells) of the files with exactly one row."""
     files = _files(tables)
     good = files.where("n_records = 1")
-    return Result(good.select("run", "path", "sample", "cells"), [
+    return Result(good.select("run", "path", "sample", "cells"), lambda: [
         events(files.where("problem is not null"), "mixture_report_read_error", "sample", path="path", error="problem"),
         events(files.where("n_records <> 1"), "unexpected_mixture_report_rows", "sample", row_count="n_records"),
         reject_events(tables.runs, good, ["run"], "no_valid_mixture_reports_found"),

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 
+def _none() -> list[DataFrame]:
+    return []
+
+
 @dataclass(frozen=True)
 class Result:
+    """The events are built on demand: a job that only wants the rows does not plan them."""
+
     rows: DataFrame
-    events: list[DataFrame] = field(default_factory=list)
+    events: Callable[[], list[DataFrame]] = _none

@@ -41,7 +41,7 @@ def sheet_samples(tables: RunTables) -> Result:
     )
     missed = listed.where("reason <> 'one'")
     kind = F.when(F.col("reason") == "none", "no_files_found").otherwise("multiple_files_found")
-    return Result(found.drop("_n"), [
+    return Result(found.drop("_n"), lambda: [
         events(missed, kind, file_count="n", pattern=F.lit("*start_samplesheet.csv")),
         events(missed, "start_samplesheet_not_found"),
         events(used.where("problem is not null"), "samplesheet_read_error", path="path", error="problem"),
@@ -64,8 +64,8 @@ def roster(tables: RunTables, config: JobConfig) -> Result:
     counts = tables.runs.join(source.rows.groupBy("run").agg(F.count(F.lit(1)).alias("_n")), "run", "left")
     counts = counts.select("run", F.coalesce("_n", F.lit(0)).alias("n"))
     origin = "start_samplesheet" if config.auto_mode else "fastq_directory"
-    return Result(rows, [
-        *source.events,
+    return Result(rows, lambda: [
+        *source.events(),
         events(counts, "samples_collected", sample_count="n", source=F.lit(origin)),
         events(counts.where("n = 0"), "no_samples_found"),
         events(tables.runs.where(path_component(F.col("run"), -3).isNull()), "run_name_extraction_failed"),

@@ -13,4 +13,4 @@ from runweave.sources.tables import RunTables
 
 def run_events(tables: RunTables, config: JobConfig = JobConfig()) -> DataFrame:
     """(run, sample, event_type, detail) of the summary, clade, status and mixture jobs."""
-    return all_events([*run_summary(tables, config).events, *mixtures(tables).events])
+    return all_events([*run_summary(tables, config).events(), *mixtures(tables).events()])

@@ -47,7 +47,7 @@ def file_status(tables: RunTables, roster: DataFrame) -> Result:
     listed = fastq_samples(tables).join(active.select("run").distinct(), "run", "left_semi")
     codes = first_failing_stage(listed, facts, STAGE_CODES, _KEY, ["run"], out=FILE_STATUS)
     stages = tables.runs.select("run", F.explode(F.array(*map(F.lit, STAGE_CODES))).alias("stage"))
-    return Result(left_join_default(roster, codes, _KEY, {FILE_STATUS: 1}), [
+    return Result(left_join_default(roster, codes, _KEY, {FILE_STATUS: 1}), lambda: [
         reject_events(stages, active, ["run", "stage"], "no_files_found_for_stage", stage="stage"),
         reject_events(facts, fastq_samples(tables), _KEY, "artefact_without_sample", sample="sample", stage="stage"),
     ])
@@ -65,7 +65,7 @@ def pipeline_sheets(tables: RunTables) -> Result:
     rows = delimited_rows(named).select("run", cell("ID").alias("sample"), label.alias("pipeline"))
     # a sheet without rows still gives its column, so every good sheet adds a row without sample
     headers = named.where("problem is null").select("run", F.lit(None).cast("string").alias("sample"), label.alias("pipeline"))
-    return Result(rows.where("sample is not null").unionByName(headers), [
+    return Result(rows.where("sample is not null").unionByName(headers), lambda: [
         events(parsed.where("pipeline = ''"), "samplesheet_filename_malformed", path="path"),
         events(named.where("problem is not null"), "samplesheet_read_error", path="path", error="problem"),
     ])
@@ -87,5 +87,8 @@ def pipeline_status(tables: RunTables, pipelines: Sequence[str] | None = None) -
     names = list(pipelines) if pipelines is not None else pipeline_names(sheets.rows)
     with_sheets = membership_matrix(roster, sheets.rows, _KEY, "pipeline", names, ["run"]) if names else roster
     staged = file_status(tables, with_sheets)
-    no_names = reject_events(tables.runs, roster, ["run"], "no_sample_names_found")
-    return Result(staged.rows, [*sheets.events, *staged.events, no_names])
+    return Result(staged.rows, lambda: [
+        *sheets.events(),
+        *staged.events(),
+        reject_events(tables.runs, roster, ["run"], "no_sample_names_found"),
+    ])

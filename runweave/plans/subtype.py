@@ -35,7 +35,7 @@ def subtypes(tables: RunTables) -> Result:
         "(h_cell is not null and HA_subtype is null) or (n_cell is not null and NA_subtype is null)"
     )
     repeated = rows.groupBy("run", "sample").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return Result(single, [
+    return Result(single, lambda: [
         events(parsed.where("problem is not null"), "subtype_file_read_error", path="path", error="problem"),
         events(bad_cell, "subtype_file_read_error", "sample", H_type="h_cell", N_type="n_cell"),
         events(repeated, "duplicate_key", "sample", source=F.lit("subtype"), n="n"),

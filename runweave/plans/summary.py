@@ -62,13 +62,12 @@ def run_summary(tables: RunTables, config: JobConfig = JobConfig()) -> Result:
     wide = left_join_default(wide, sites.rows, _KEY)
     wide = left_join_default(wide, types.rows, _KEY)
     status: list[str] = []
-    found = [*names.events, *calls.events, *clades.events, *reads.events, *called.events, *sites.events,
-             *types.events, *versions.events]
+    parts = [names, calls, clades, reads, called, sites, types, versions]
     if config.auto_mode:
         codes = pipeline_status(tables)
         status = [c for c in codes.rows.columns if c not in _KEY]
         wide = left_join_default(wide, codes.rows, _KEY)
-        found += codes.events
+        parts.append(codes)
 
     # all that is constant within a run, one row per run
     has_calls = calls.rows.groupBy("run").agg(F.lit(True).alias("has_calls"))
@@ -82,10 +81,13 @@ def run_summary(tables: RunTables, config: JobConfig = JobConfig()) -> Result:
     }).drop("has_calls", "sample")
 
     wide = wide.withColumnsRenamed({"run": "run_folder"}).withColumnsRenamed({"Run_": "Run"})
+    def found() -> list[DataFrame]:
+        return [frame for part in parts for frame in part.events()]
+
     keys = ["run_folder", "roster_pos"]
     if not config.expected_columns:
-        found.append(events(tables.runs, "no_expected_columns_defined"))
-        return Result(wide.select(*keys, *(F.col(f"`{c}`") for c in wide.columns if c not in keys)), found)
+        rows = wide.select(*keys, *(F.col(f"`{c}`") for c in wide.columns if c not in keys))
+        return Result(rows, lambda: [*found(), events(tables.runs, "no_expected_columns_defined")])
     schema = T.StructType([
         T.StructField("run_folder", T.StringType()),
         T.StructField("roster_pos", T.LongType()),
@@ -93,4 +95,4 @@ def run_summary(tables: RunTables, config: JobConfig = JobConfig()) -> Result:
         *(T.StructField(c, T.IntegerType()) for c in status),
     ])
     rows, gaps = align_to(wide, schema)
-    return Result(rows, [*found, column_events(rows.sparkSession, gaps)])
+    return Result(rows, lambda: [*found(), column_events(rows.sparkSession, gaps)])

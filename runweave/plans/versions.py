@@ -22,4 +22,4 @@ def software_versions(tables: RunTables) -> Result:
 
     rows = entries.groupBy("run").agg(*(version(s, k).alias(c) for c, (s, k) in VERSION_KEYS.items()))
     broken = texts.where("problem is not null")
-    return Result(rows, [events(broken, "software_versions_file_read_error", path="path", error="problem")])
+    return Result(rows, lambda: [events(broken, "software_versions_file_read_error", path="path", error="problem")])
