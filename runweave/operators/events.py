@@ -34,6 +34,25 @@ def events(
     )
 
 
+Check = tuple[Column, str, dict[str, "str | Column"]]
+
+
+def check_events(df: DataFrame, checks: Sequence[Check], sample: str | None = None) -> DataFrame:
+    """Events of several (condition, event_type, details) checks in one pass over the rows."""
+    def bag(detail: dict[str, str | Column]) -> Column:
+        pairs = []
+        for key, value in detail.items():
+            pairs += [F.lit(key), (quoted(value) if isinstance(value, str) else value).cast("string")]
+        return F.create_map(*pairs).cast("map<string,string>")
+
+    who = (F.lit(None) if sample is None else quoted(sample)).cast("string")
+    found = (
+        F.when(condition, F.struct(F.lit(kind).alias("event_type"), bag(detail).alias("detail")))
+        for condition, kind, detail in checks
+    )
+    return df.select("run", who.alias("sample"), F.inline(F.array_compact(F.array(*found))))
+
+
 def reject_events(all_rows: DataFrame, kept: DataFrame, keys: Sequence[str], event_type: str, **detail) -> DataFrame:
     """Events for the rows of `all_rows` whose key is not among `kept`.
 

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from runweave.config import DATASET_PROCESS, UNKNOWN_DATASET, JobConfig
 from runweave.functions.text import na_to_null, to_double, token_at
 from runweave.operators.align import map_columns, override_column, widen_maps
-from runweave.operators.events import events, reject_events
+from runweave.operators.events import check_events, events, reject_events
 from runweave.operators.guards import exactly_one
 from runweave.operators.joins import left_join_default
 from runweave.operators.topk import first_match, top1_per_group
 from runweave.plans.result import Result
-from runweave.sources.delimited import cell, delimited_rows, has_columns, header_names, parse_delimited, read_headerless
+from runweave.sources.delimited import (
+    cell, column_index, compute_once, has_columns, header_names, parse_delimited, read_headerless, row_at,
+)
 from runweave.sources.tables import RunTables
 from runweave.sources.task_log import process_dirs
 
@@ -59,25 +61,46 @@ def _parsed(tables: RunTables) -> DataFrame:
     return parse_delimited(tables.read("clades"), "\t")
 
 
+def _with_best_record(files: DataFrame, ha_only: bool) -> DataFrame:
+    """Adds, per file, the number of candidate records and the position of the best scored one.
+
+    A file is one row here, so this needs no shuffle; of equal scores the first record wins.
+    """
+    indexed = compute_once(
+        files, _seq=column_index("seqName"), _clade=column_index("clade"), _score=column_index("alignmentScore")
+    )
+
+    def candidate(record, i):
+        wanted = na_to_null(F.get(record, F.col("_clade"))).isNotNull()
+        if ha_only:
+            wanted &= token_at(F.get(record, F.col("_seq")), "_", -1) == "HA"
+        score = to_double(na_to_null(F.get(record, F.col("_score"))))
+        return F.when(wanted, F.struct(score.alias("score"), (-i).alias("before")))
+
+    usable = F.col("problem").isNull() & has_columns(*_NEEDED)
+    found = F.when(usable, F.array_compact(F.transform("records", candidate)))
+    listed = indexed.withColumn("_found", found)
+    best = F.array_max(F.filter("_found", lambda c: c["score"].isNotNull()))
+    return compute_once(
+        listed, ("_seq", "_clade", "_score", "_found"), n_candidates=F.size("_found"), best=-best["before"]
+    )
+
+
 def best_clades(tables: RunTables, config: JobConfig) -> Result:
     """(run, folder, path, sample, segment, dataset, clade, cells, dataset name and version).
 
     First the best scored row of each file, over all samples in it; then, within a folder, the best
     of these per sample. One bad file costs only itself.
     """
-    files = _parsed(tables)
-    lacking = F.when(~has_columns(*_NEEDED), "column missing")
-    rows = delimited_rows(files.withColumn("problem", F.coalesce("problem", lacking))).select(
-        "run", "folder", "path", "name", "pos", "cells",
+    files = _with_best_record(_parsed(tables), config.ha_only)
+    per_file = row_at(files.where("best is not null"), F.col("best")).select(
+        "run", "folder", "path", "name", "cells",
         token_at(cell("seqName"), "_", 0).alias("sample"),
         token_at(cell("seqName"), "_", -1).alias("segment"),
         cell("clade").alias("clade"),
         cell("legacy-clade").alias("legacy-clade"),
         to_double(cell("alignmentScore")).alias("score"),
-    ).where("clade is not null")
-    if config.ha_only:
-        rows = rows.where("segment = 'HA'")
-    per_file = top1_per_group(rows, ["run", "path"], "score", ["pos"])
+    )
     best = top1_per_group(
         per_file.where("sample is not null"), ["run", "folder", "sample"], "score", ["path"]
     )
@@ -88,7 +111,7 @@ def best_clades(tables: RunTables, config: JobConfig) -> Result:
     )
     shown = ["nextclade_dataset_name", "nextclade_dataset_version"]
     best = left_join_default(
-        best.drop("pos"), lookup, ["run", "name"], dict.fromkeys(shown, UNKNOWN_DATASET),
+        best, lookup, ["run", "name"], dict.fromkeys(shown, UNKNOWN_DATASET),
         on_duplicate="dedupe", order=["pos"],
     )
     best = override_column(best, "clade", "legacy-clade", config.legacy_clade).select(
@@ -96,21 +119,30 @@ def best_clades(tables: RunTables, config: JobConfig) -> Result:
         F.col("nextclade_dataset_name").alias("dataset"), "clade", "cells", *shown,
     )
 
-    good = files.where(F.col("problem").isNull() & has_columns(*_NEEDED))
-    unscored = rows.groupBy("run", "path").agg(F.max("score").alias("top")).where("top is null")
-    folders = tables.files("clade_dir").where("is_dir").select("run", F.col("name").alias("folder"))
-    tsv = tables.files("clades").select("run", "folder").distinct()
-    tsv_folders = folders.join(tsv, ["run", "folder"], "left_semi")
-    return Result(best, lambda: [
-        *datasets.events(),
-        events(files.where("problem is not null"), "tsv_file_read_failed", path="path", error="problem"),
-        events(files.where(F.col("problem").isNull() & ~has_columns(*_NEEDED)), "nextclade_file_read_error", path="path",
-               error=F.lit("column missing")),
-        events(unscored, "nextclade_file_read_error", path="path", error=F.lit("no score")),
-        reject_events(folders, tsv, ["run", "folder"], "no_nextclade_tsv_files_found", sample="folder"),
-        reject_events(tsv_folders, good, ["run", "folder"], "no_valid_dataframes_collected", sample="folder"),
-        reject_events(tables.runs, good, ["run"], "no_valid_nextclade_dataframes_collected"),
-    ])
+    good = F.col("problem").isNull() & has_columns(*_NEEDED)
+
+    def found() -> list[DataFrame]:
+        per_folder = files.groupBy("run", "folder").agg(F.max(good).alias("any_good"))
+        per_run = per_folder.where("any_good").groupBy("run").agg(F.lit(True).alias("any_good"))
+        folders = tables.files("clade_dir").where("is_dir").select("run", F.col("name").alias("folder"))
+        state = folders.join(per_folder, ["run", "folder"], "left")
+        return [
+            *datasets.events(),
+            check_events(files, [
+                (F.col("problem").isNotNull(), "tsv_file_read_failed", {"path": "path", "error": "problem"}),
+                (F.col("problem").isNull() & ~has_columns(*_NEEDED), "nextclade_file_read_error",
+                 {"path": "path", "error": F.lit("column missing")}),
+                ((F.col("n_candidates") > 0) & F.col("best").isNull(), "nextclade_file_read_error",
+                 {"path": "path", "error": F.lit("no score")}),
+            ]),
+            check_events(state, [
+                (F.col("any_good").isNull(), "no_nextclade_tsv_files_found", {"folder": "folder"}),
+                (~F.col("any_good"), "no_valid_dataframes_collected", {"folder": "folder"}),
+            ], "folder"),
+            reject_events(tables.runs, per_run, ["run"], "no_valid_nextclade_dataframes_collected"),
+        ]
+
+    return Result(best, found)
 
 
 def wide_clades(tables: RunTables, config: JobConfig, best: DataFrame) -> DataFrame:

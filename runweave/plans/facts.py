@@ -10,7 +10,7 @@ from runweave.config import (
 from runweave.functions.kv import kv_list, kv_list_valid
 from runweave.functions.sequence import fraction_called, threshold_flag
 from runweave.functions.text import extract, na_to_null, range_of, to_long, token_at
-from runweave.operators.events import events
+from runweave.operators.events import check_events, events
 from runweave.operators.pivot import pivot_last_wins
 from runweave.plans.result import Result
 from runweave.sources.delimited import cell, first_row, has_columns, parse_delimited, parse_headerless
@@ -92,12 +92,13 @@ def cleavage_sites(tables: RunTables) -> Result:
         span.getField("end").alias("HPAI_cleave_end"),
         F.when(has_motif, cell(motif)).alias("HPAI_cleavage_site_motif"),
     )
-    lacking = files.where((F.col("n_records") > 0) & ~has_columns(motif, title))
-    other = files.where("problem is not null")
-    kind = F.when(F.col("problem") == "empty", "cleavage_file_empty").otherwise("cleavage_file_read_error")
     return Result(rows, lambda: [
-        events(other, kind, "sample", path="path", error="problem"),
-        events(lacking, "cleavage_file_read_error", "sample", path="path", error=F.lit("column missing")),
+        check_events(files, [
+            (F.col("problem") == "empty", "cleavage_file_empty", {"path": "path"}),
+            (F.col("problem") != "empty", "cleavage_file_read_error", {"path": "path", "error": "problem"}),
+            ((F.col("n_records") > 0) & ~has_columns(motif, title), "cleavage_file_read_error",
+             {"path": "path", "error": F.lit("column missing")}),
+        ], "sample"),
     ])
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runweave.functions.text import na_to_null
 from runweave.operators.align import map_columns, widen_maps
-from runweave.operators.events import events, reject_events
+from runweave.operators.events import check_events, reject_events
 from runweave.plans.result import Result
 from runweave.sources.delimited import first_row, header_names, parse_delimited
 from runweave.sources.tables import RunTables
@@ -26,8 +26,10 @@ def mixtures(tables: RunTables) -> Result:
     files = _files(tables)
     good = files.where("n_records = 1")
     return Result(good.select("run", "path", "sample", "cells"), lambda: [
-        events(files.where("problem is not null"), "mixture_report_read_error", "sample", path="path", error="problem"),
-        events(files.where("n_records <> 1"), "unexpected_mixture_report_rows", "sample", row_count="n_records"),
+        check_events(files, [
+            (F.col("problem").isNotNull(), "mixture_report_read_error", {"path": "path", "error": "problem"}),
+            (F.col("n_records") != 1, "unexpected_mixture_report_rows", {"row_count": "n_records"}),
+        ], "sample"),
         reject_events(tables.runs, good, ["run"], "no_valid_mixture_reports_found"),
     ])
 

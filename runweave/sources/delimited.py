@@ -17,6 +17,15 @@ from runweave.functions.text import na_to_null
 _SEP, _BREAK = "\x1f", "\x1e"
 
 
+def compute_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
+    """Adds costly columns through a one-element inline.
+
+    The optimizer would else copy their expressions into every filter and lambda that uses them.
+    """
+    keep = [c for c in df.columns if c not in (*drop, *columns)]
+    return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def _protect(text: Column, sep: str) -> Column:
     """Replace separators and breaks inside quotes by stand-ins; linear in the text."""
     pieces = F.transform(
@@ -63,14 +72,13 @@ def _with_header(parsed: DataFrame) -> DataFrame:
     def last_resort(name: Column, i: Column) -> Column:  # a name may look like a suffixed repeat
         return F.when(F.array_position("_names", name) <= i, F.concat_ws("#", name, i.cast("string"))).otherwise(name)
 
-    def unique(names: str) -> Column:
-        return F.size(F.array_distinct(names)) == F.size(names)
-
+    plain = (F.size(F.array_distinct(cells)) == F.size(cells)) & ~F.array_contains(cells, F.lit(""))
     return (
-        parsed.withColumn("_named", named)
-        .withColumn("_names", F.when(unique("_named"), F.col("_named")).otherwise(F.transform("_named", repeat)))
-        .withColumn("header", F.when(unique("_names"), F.col("_names")).otherwise(F.transform("_names", last_resort)))
-        .drop("_named", "_names")
+        parsed.withColumn("_plain", plain)
+        .withColumn("_named", F.when(~F.col("_plain"), named))
+        .withColumn("_names", F.when(~F.col("_plain"), F.transform("_named", repeat)))
+        .withColumn("header", F.when(F.col("_plain"), cells).otherwise(F.transform("_names", last_resort)))
+        .drop("_plain", "_named", "_names")
     )
 
 
@@ -80,18 +88,16 @@ def parse_delimited(texts: DataFrame, sep: str, content: str = "content") -> Dat
     A text without any line is 'empty'; one with a line longer than its header is 'ragged'.
     Shorter lines are filled with nulls.
     """
-    # the one-element explode keeps the optimizer from copying the split into every later filter
-    keep = [c for c in texts.columns if c != content]
-    parsed = texts.select(*keep, F.explode(F.array(split_records(F.col(content), sep))).alias("_lines"))
+    keep = [c for c in texts.columns if c not in (content, "problem")]
+    known = F.col("problem") if "problem" in texts.columns else F.lit(None).cast("string")
     below = F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))
-    parsed = _with_header(parsed).withColumn("records", F.when(F.size("_lines") > 0, below))
+    parsed = _with_header(texts.select(
+        *keep, known.alias("problem"), split_records(F.col(content), sep).alias("_lines")
+    )).withColumn("records", F.when(F.size("_lines") > 0, below))
     ragged = F.array_max(F.transform("records", F.size)) > F.size("header")
-    known = F.col("problem") if "problem" in texts.columns else F.lit(None).cast("string")
-    problem = F.coalesce(
-        known,
-        F.when(F.size("_lines") == 0, "empty").when(ragged, "ragged"),
-    )
-    return parsed.withColumn("problem", problem).drop("_lines")
+    problem = F.coalesce("problem", F.when(F.size("_lines") == 0, "empty").when(ragged, "ragged"))
+    shown = parsed.select(*keep, "problem", "header", "records", "_lines")
+    return compute_once(shown, ("_lines",), header=F.col("header"), records=F.col("records"), problem=problem)
 
 
 def delimited_rows(parsed: DataFrame) -> DataFrame:
@@ -105,16 +111,27 @@ def delimited_rows(parsed: DataFrame) -> DataFrame:
                        F.map_from_arrays("header", cells).alias("cells"))
 
 
-def first_row(parsed: DataFrame) -> DataFrame:
-    """Adds `cells`, the map of the first record, and `n_records`; null for texts with a problem."""
-    first = F.get("records", F.lit(0))
-    cells = F.map_from_arrays("header", F.transform("header", lambda _, i: F.get(first, i)))
+def row_at(parsed: DataFrame, index: Column) -> DataFrame:
+    """Adds `cells`, the map of one record, and `n_records`; null for texts with a problem."""
     good = F.col("problem").isNull()
-    return parsed.withColumn("n_records", F.when(good, F.size("records"))).withColumn(
-        "cells", F.when(good & (F.size("records") > 0), cells)
+    rows = parsed.withColumn("_record", F.when(good, F.get("records", index)))
+    cells = F.map_from_arrays("header", F.transform("header", lambda _, i: F.get("_record", i)))
+    return compute_once(
+        rows, ("_record",), n_records=F.when(good, F.size("records")),
+        cells=F.when(F.col("_record").isNotNull(), cells),
     )
 
 
+def first_row(parsed: DataFrame) -> DataFrame:
+    """Adds `cells`, the map of the first record, and `n_records`."""
+    return row_at(parsed, F.lit(0))
+
+
+def column_index(name: str) -> Column:
+    """Position of a column in the header, -1 when absent."""
+    return F.array_position("header", F.lit(name)).cast("int") - 1
+
+
 def has_columns(*names: str) -> Column:
     """True when the header holds all the names."""
     return F.size(F.array_intersect("header", F.array(*map(F.lit, names)))) == len(names)
