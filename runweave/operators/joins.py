@@ -40,9 +40,8 @@ def left_join_default(
         grouped = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min_by(row, rank).alias("_row"))
         if on_duplicate == "error":
             message = F.concat(F.lit("duplicate key "), F.to_json(F.struct(*map(quoted, keys))))
-            grouped = grouped.withColumn(
-                "_n", F.when(F.col("_n") > 1, F.raise_error(message).cast("bigint")).otherwise(F.col("_n"))
-            )
+            single_row = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+            grouped = grouped.where(single_row)
         hit = F.col("_n") > 0
         single = grouped.select(
             *keys, "_n", *(F.col("_row").getField(c).alias(c) for c in rest), hit.alias("_hit")

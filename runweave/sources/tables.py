@@ -66,12 +66,13 @@ def _write(table: DataFrame, path: str) -> None:
 def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target: str) -> RunTables:
     """List and read once and keep the three tables as Parquet, replacing only the runs at hand."""
     table = as_runs(spark, runs)
-    _write(table, f"{target}/runs")
     _write(list_files(table), f"{target}/listing")
     _write(_texts(_load(spark, target, "listing", table)), f"{target}/texts")
+    _write(table, f"{target}/runs")  # last: a run listed here is complete
     return load_runs(spark, target, table)
 
 
+RUNS_SCHEMA = "run string, present boolean, run_part string"
 _SCHEMAS = {
     "runs": "run string, present boolean",
     "listing": "run string, source string, path string, folder string, name string, is_dir boolean, length bigint",
