@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ def kv_list_valid(col: Column) -> Column:
     return F.when(col != "", F.forall(_entries(col), lambda e: F.size(e) == 2))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once, also when body uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def kv_list(col: Column, rename: dict[str, str] | None = None) -> Column:
     """map of the list, the last entry of a key winning; null for null, empty or malformed text.
 
@@ -24,20 +31,25 @@ def kv_list(col: Column, rename: dict[str, str] | None = None) -> Column:
     name is dropped.
     """
     rename = rename or {}
-    entries = F.when(kv_list_valid(col), _entries(col))
-    if rename:
-        entries = F.filter(entries, lambda e: ~F.get(e, F.lit(0)).isin(*rename.values()))
-    keys = F.reverse(F.transform(entries, lambda e: F.get(e, F.lit(0))))
-    last = F.filter(
-        entries, lambda e, i: F.array_position(keys, F.get(e, F.lit(0))) == F.size(keys) - i
-    )
-
-    def renamed(key: Column) -> Column:
-        out = key
+
+    def key(entry: Column) -> Column:
+        return F.get(entry, F.lit(0))
+
+    def shown(entry: Column) -> Column:
+        name = key(entry)
         for old, new in rename.items():
-            out = F.when(key == old, new).otherwise(out)
-        return out
+            name = F.when(key(entry) == old, new).otherwise(name)
+        return F.struct(name, F.get(entry, F.lit(1)))
+
+    def to_map(entries: Column) -> Column:
+        return _let(
+            F.reverse(F.transform(entries, key)),
+            lambda keys: F.map_from_entries(F.transform(
+                F.filter(entries, lambda e, i: F.array_position(keys, key(e)) == F.size(keys) - i), shown
+            )),
+        )
 
-    return F.map_from_entries(
-        F.transform(last, lambda e: F.struct(renamed(F.get(e, F.lit(0))), F.get(e, F.lit(1))))
-    )
+    entries = F.when(kv_list_valid(col), _entries(col))
+    if rename:
+        entries = F.filter(entries, lambda e: ~key(e).isin(*rename.values()))
+    return _let(entries, to_map)

@@ -13,7 +13,9 @@ from runweave.functions.text import extract, na_to_null, range_of, to_long, toke
 from runweave.operators.events import check_events, events
 from runweave.operators.pivot import pivot_last_wins
 from runweave.plans.result import Result
-from runweave.sources.delimited import cell, first_row, has_columns, parse_delimited, parse_headerless
+from runweave.sources.delimited import (
+    cell, compute_once, first_row, has_columns, parse_delimited, parse_headerless,
+)
 from runweave.sources.fasta import read_fasta
 from runweave.sources.tables import RunTables
 
@@ -29,13 +31,12 @@ def mapped_reads(tables: RunTables) -> Result:
     texts = tables.read("idxstats").where(F.startswith("name", F.col("folder")))
     parsed = parse_headerless(texts, "\t").withColumnRenamed("folder", "sample")
     first = F.get("records", F.lit(0))
-    files = parsed.withColumns({
-        "n_rows": F.size("records"),
-        "width": F.size(first),
-        "seq_length": to_long(na_to_null(F.get(first, F.lit(1)))),
-        "reads_mapped": to_long(na_to_null(F.get(first, F.lit(2)))),
-        "segment": extract(F.col("name"), SEGMENT_IN_FILE_NAME),
-    })
+    files = compute_once(
+        parsed, ("records",), n_rows=F.size("records"), width=F.size(first),
+        seq_length=to_long(na_to_null(F.get(first, F.lit(1)))),
+        reads_mapped=to_long(na_to_null(F.get(first, F.lit(2)))),
+        segment=extract(F.col("name"), SEGMENT_IN_FILE_NAME),
+    )
     unreadable = F.col("problem").isNotNull() | (F.col("n_rows") < 1)
     no_numbers = ~F.col("width").between(3, 4) | F.col("seq_length").isNull() | F.col("reads_mapped").isNull()
     files = files.withColumn(
@@ -108,7 +109,8 @@ def genotypes(tables: RunTables) -> Result:
     texts = tables.read("genotype").withColumn("sample", _stem(".genoflu.tsv"))
     files = first_row(parse_delimited(texts, "\t")).withColumn(
         "list", F.when(has_columns("Genotype"), cell(listed))
-    ).withColumn("pairs", kv_list(F.col("list"), {"MP": "M"}))
+    )
+    files = compute_once(files, pairs=kv_list(F.col("list"), {"MP": "M"}))
     rows = files.select(
         *_KEY,
         cell("Genotype").alias("GenoFLU_Genotype"),
