@@ -20,12 +20,12 @@ def pivot_last_wins(
     default=None,
     name: Callable[[object, str], str] = "{}_{}".format,
 ) -> DataFrame:
-    """One row per key, one column per (value, measure); of several rows the highest order wins."""
-    rank = quoted(order[0]) if len(order) == 1 else F.struct(*map(quoted, order))
-    row = F.struct(*map(quoted, measures))
-    picked = [
-        F.max_by(row, F.when(quoted(dim) == F.lit(v), rank)).alias(f"_{i}") for i, v in enumerate(values)
-    ]
+    """One row per key, one column per (value, measure); of several rows the highest order wins.
+
+    Rows of equal order are told apart by their measures, so the result never depends on row order.
+    """
+    row = F.struct(*(quoted(c).alias(f"o{i}") for i, c in enumerate(order)), *map(quoted, measures))
+    picked = [F.max(F.when(quoted(dim) == F.lit(v), row)).alias(f"_{i}") for i, v in enumerate(values)]
     wide = df.where(quoted(dim).isin(*values)).groupBy(*keys).agg(*picked)
 
     def out(i: int, measure: str) -> Column:
