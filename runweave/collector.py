@@ -8,11 +8,14 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from runweave.config import JobConfig
+from runweave.operators.events import all_events
 from runweave.plans import sinks
-from runweave.plans.clades import best_clades, wide_clades
+from runweave.plans.clades import best_clades, dataset_versions, wide_clades
 from runweave.plans.manifest import consensus_manifest
 from runweave.plans.mixtures import wide_mixtures
+from runweave.plans.roster import roster
 from runweave.plans.run_events import run_events
+from runweave.plans.status import pipeline_status
 from runweave.plans.summary import run_summary
 from runweave.sources.tables import RunTables, land_runs, load_runs, scan_runs
 
@@ -23,6 +26,7 @@ class RunCollector:
     def __init__(self, tables: RunTables, config: JobConfig = JobConfig(), **settings):
         self.tables = tables
         self.config = replace(config, **settings)
+        self.written: list[DataFrame] = []  # one event per output written
 
     @classmethod
     def scan(cls, spark: SparkSession, runs: DataFrame | str | Iterable[str], **settings) -> "RunCollector":
@@ -53,20 +57,36 @@ class RunCollector:
     def manifest(self) -> DataFrame:
         return consensus_manifest(self.tables)
 
+    def dataset_versions(self) -> DataFrame:
+        return dataset_versions(self.tables).rows
+
+    def pipeline_status(self) -> DataFrame:
+        return pipeline_status(self.tables).rows
+
     def events(self) -> DataFrame:
-        return run_events(self.tables, self.config)
+        return all_events([run_events(self.tables, self.config), *self.written])
 
-    def write_summary(self, path: str) -> bool:
-        return sinks.write_text(self.summary(), path, ["run_folder", "roster_pos"])
+    def write_summary(self, path: str) -> int:
+        probe = roster(self.tables, self.config).rows
+        return self._text(self.summary(), "results_written", path, ["run_folder", "roster_pos"], probe=probe)
 
-    def write_clades(self, path: str) -> bool:
-        return sinks.write_text(self.clades(), path, ["run", "path"], sep="\t")
+    def write_clades(self, path: str) -> int:
+        return self._text(self.clades(), "nextclade_results_written", path, ["run", "path"], sep="\t")
 
-    def write_mixture_report(self, path: str) -> bool:
-        return sinks.write_text(self.mixture_report(), path, ["run", "path"])
+    def write_mixture_report(self, path: str) -> int:
+        return self._text(self.mixture_report(), "mixture_report_written", path, ["run", "path"])
 
     def write_manifest(self, path: str) -> None:
         sinks.write_table(self.manifest(), path)
 
+    def write_dataset_versions(self, path: str) -> None:
+        sinks.write_table(self.dataset_versions(), path)
+
     def write_summary_table(self, path: str) -> None:
         sinks.write_table(self.summary(), path, run="run_folder")
+
+    def _text(self, df: DataFrame, event_type: str, path: str, order: list[str], **options) -> int:
+        rows = sinks.write_text(df, path, order, **options)
+        if rows:
+            self.written.append(sinks.written_event(df.sparkSession, event_type, path, rows))
+        return rows

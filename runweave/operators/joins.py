@@ -33,7 +33,7 @@ def left_join_default(
     keys, defaults = list(on), dict(defaults or {})
     rest = [c for c in right.columns if c not in keys]
     if on_duplicate == "unique":
-        single = right.withColumn("_hit", F.lit(True))
+        single = right.withColumn("_hit", F.lit(True)) if defaults else right
     else:
         rank = F.struct(*map(quoted, order or rest)) if (order or rest) else F.lit(1)
         row = F.struct(*map(quoted, rest)) if rest else F.struct(F.lit(1).alias("_one"))
@@ -52,13 +52,11 @@ def left_join_default(
     else:
         joined = left.join(single, keys, "left")
 
-    def out(column: str):
-        if column not in defaults:
-            return quoted(column)
-        value = F.lit(defaults[column]).cast(right.schema[column].dataType)
-        return F.when(F.col("_hit"), quoted(column)).otherwise(value).alias(column)
-
-    extra = []
     if on_duplicate == "fanout":
-        extra = [(F.col("_m") * F.coalesce("_n", F.lit(1))).alias("n_copies")]
-    return joined.select(*map(quoted, left.columns), *map(out, rest), *extra)
+        joined = joined.withColumn("n_copies", F.col("_m") * F.coalesce("_n", F.lit(1)))
+    if defaults:
+        joined = joined.withColumns({
+            c: F.when(F.col("_hit"), quoted(c)).otherwise(F.lit(v).cast(right.schema[c].dataType))
+            for c, v in defaults.items()
+        })
+    return joined.drop("_hit", "_n", "_m")

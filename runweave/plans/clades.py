@@ -32,29 +32,41 @@ def dataset_versions(tables: RunTables) -> Result:
     rows = read_headerless(used.where("problem is null"), ",", _DATASET_COLUMNS)
     rows = rows.where("nextclade_filename is not null").select("run", "pos", *_DATASET_COLUMNS)
 
-    logs = exactly_one(tables.files("task_log"), ["run"], "path", roster=tables.runs)
-    single = logs.where("reason = 'one'").select("run", F.col("value").alias("path"))
-    found = first_match(
-        process_dirs(tables.read("task_log")), ["run", "path"], "process", "workdir", "first_seen", DATASET_PROCESS
-    )
-    kind = F.when(F.col("reason") == "none", "no_files_found").otherwise("multiple_files_found")
-    no_log = logs.where("reason <> 'one'")
-    no_process = single.join(found.select("run", "path"), ["run", "path"], "left_anti")
-    no_file = linked.where("problem = 'missing'")
-    repeated = rows.groupBy("run", "nextclade_filename").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return Result(rows, lambda: [
-        events(no_log, kind, file_count="n", pattern=F.lit("*nextflow.log")),
-        events(no_log, "nextflow_log_not_found"),
-        events(no_log, "publish_nc_datasets_failed_file_missing"),
-        events(no_process, "agg_nextclade_tsv_process_not_found", path="path"),
-        events(no_process, "publish_nc_datasets_failed_no_process", path="path"),
-        events(no_file, "nc_datasets_not_found_in_work_dir", path="path"),
-        events(no_file, "publish_nc_datasets_failed_file_missing", path="path"),
-        reject_events(tables.runs, used.where("problem is null"), ["run"], "nextclade_datasets_file_not_found"),
-        reject_events(tables.runs, used.where("problem is null"), ["run"], "no_nextclade_datasets_data"),
-        events(used.where("problem is not null"), "nextclade_datasets_read_error", path="path", error="problem"),
-        events(repeated, "duplicate_key", source=F.lit("dataset_versions"), key="nextclade_filename", n="n"),
-    ])
+    def found() -> list[DataFrame]:
+        logs = exactly_one(tables.files("task_log"), ["run"], "path", roster=tables.runs)
+        single = logs.where("reason = 'one'").select("run", F.col("value").alias("path"))
+        process = first_match(
+            process_dirs(tables.read("task_log")), ["run", "path"], "process", "workdir", "first_seen", DATASET_PROCESS
+        )
+        no_process = single.join(process.select("run", "path"), ["run", "path"], "left_anti")
+        used_runs = used.where("problem is null").select("run").distinct()
+        without = tables.runs.join(used_runs, "run", "left_anti")
+        repeated = rows.groupBy("run", "nextclade_filename").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        lost, always = F.col("problem") == "missing", F.lit(True)
+        return [
+            check_events(logs.where("reason <> 'one'"), [
+                (F.col("reason") == "none", "no_files_found", {"pattern": F.lit("*nextflow.log")}),
+                (F.col("reason") == "multiple", "multiple_files_found", {"file_count": "n"}),
+                (always, "nextflow_log_not_found", {}),
+                (always, "publish_nc_datasets_failed_file_missing", {}),
+            ]),
+            check_events(no_process, [
+                (always, "agg_nextclade_tsv_process_not_found", {"path": "path"}),
+                (always, "publish_nc_datasets_failed_no_process", {"path": "path"}),
+            ]),
+            check_events(linked, [
+                (lost, "nc_datasets_not_found_in_work_dir", {"path": "path"}),
+                (lost, "publish_nc_datasets_failed_file_missing", {"path": "path"}),
+            ]),
+            check_events(without, [
+                (always, "nextclade_datasets_file_not_found", {}),
+                (always, "no_nextclade_datasets_data", {}),
+            ]),
+            events(used.where("problem is not null"), "nextclade_datasets_read_error", path="path", error="problem"),
+            events(repeated, "duplicate_key", source=F.lit("dataset_versions"), key="nextclade_filename", n="n"),
+        ]
+
+    return Result(rows, found)
 
 
 def _parsed(tables: RunTables) -> DataFrame:

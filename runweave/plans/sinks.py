@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from runweave.operators.events import EVENT_SCHEMA
+
 
 def write_table(df: DataFrame, path: str, run: str = "run") -> None:
     """Parquet by run; only the runs at hand are replaced, and large runs get several files."""
@@ -14,24 +16,26 @@ def write_table(df: DataFrame, path: str, run: str = "run") -> None:
      .partitionBy(run).parquet(path))
 
 
-def write_text(df: DataFrame, path: str, order: Sequence[str], sep: str = ",") -> bool:
+def write_text(
+    df: DataFrame, path: str, order: Sequence[str], sep: str = ",", probe: DataFrame | None = None
+) -> int:
     """Delimited text with header, rows in order, nulls and empty texts both as nothing.
 
-    The order columns are not written. Nothing is written when there are no rows.
+    The order columns are not written. Nothing is written when there are no rows; `probe` is a
+    cheaper frame that is empty at the same time. Returns the number of rows, counted on the way.
     """
-    if df.isEmpty():
-        return False
+    if (df if probe is None else probe).isEmpty():
+        return 0
+    counted = Observation()
     shown = [c for c in df.columns if c not in order]
+    # counted above the sort, whose range sampling runs what lies below it twice
     (df.orderBy(*order).select(*(F.col(f"`{c}`") for c in shown))
+     .observe(counted, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("header", True).option("sep", sep)
      .option("emptyValue", "").option("nullValue", "").csv(path))
-    return True
+    return counted.get["rows"]
 
 
-def written_event(df: DataFrame, event_type: str, path: str) -> DataFrame:
-    """One event with the row count of an output."""
-    detail = F.create_map(F.lit("output"), F.lit(path), F.lit("rows"), F.count(F.lit(1)).cast("string"))
-    return df.agg(detail.alias("detail")).select(
-        F.lit(None).cast("string").alias("run"), F.lit(None).cast("string").alias("sample"),
-        F.lit(event_type).alias("event_type"), "detail",
-    )
+def written_event(spark: SparkSession, event_type: str, path: str, rows: int) -> DataFrame:
+    """One event for an output; run and sample are null, as it covers all runs."""
+    return spark.createDataFrame([(None, None, event_type, {"output": path, "rows": str(rows)})], EVENT_SCHEMA)

@@ -141,7 +141,9 @@ def document_runs(spark: SparkSession, sf_dir: str) -> RunTables:
               F.col("lang"), "\n"),
     )
     runs = docs.select("run").distinct().withColumn("present", F.lit(True))
-    return RunTables(runs, order_runs(spark, sf_dir).listing.limit(0), texts)
+    nothing = spark.createDataFrame([], "run string, source string, path string, folder string, name string, "
+                                    "is_dir boolean, length bigint")
+    return RunTables(runs, nothing, texts)
 
 
 # ---- SQL pieces --------------------------------------------------------------------------------

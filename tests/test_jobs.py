@@ -205,7 +205,7 @@ def test_events_of_auto_mode(collector):
 
 def test_text_outputs(collector, base):
     out = str(base / "summary")
-    assert collector.write_summary(out)
+    assert collector.write_summary(out) == 6
     rows = [r for part in sorted(glob.glob(f"{out}/*.csv")) for r in csv.DictReader(open(part, encoding="utf-8"))]
     assert list(rows[0]) == list(EXPECTED_COLUMNS)
     by = {(r["Run"], r["FastQID"]): r for r in rows}
@@ -215,7 +215,16 @@ def test_text_outputs(collector, base):
     from runweave.plans.sinks import write_text
     assert not write_text(empty, str(base / "nothing"), ["run_folder", "roster_pos"])
     assert not (base / "nothing").exists()
-    assert collector.write_clades(str(base / "clades")) and collector.write_mixture_report(str(base / "mix"))
+    assert (collector.write_clades(str(base / "clades")), collector.write_mixture_report(str(base / "mix"))) == (3, 2)
+    collector.write_dataset_versions(str(base / "datasets"))
+    kinds = {r["event_type"]: r["detail"]["rows"] for r in collector.events().where("detail['output'] is not null").collect()}
+    assert kinds == {"results_written": "6", "nextclade_results_written": "3", "mixture_report_written": "2"}
+
+
+def test_versions_table_and_status_table(collector):
+    table = collector.dataset_versions().where("nextclade_dataset_name = 'flu_h5_all'")
+    assert [r["nextclade_filename"] for r in table.collect()] == ["a.h5.nextclade.tsv"]
+    assert collector.pipeline_status().count() == 5
 
 
 def test_custom_and_empty_column_lists(collector):
