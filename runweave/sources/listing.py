@@ -9,6 +9,7 @@ rows, spread anew between the levels: one run with very many folders is shared b
 from __future__ import annotations
 
 import fnmatch
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,21 +30,37 @@ def file_system(path: str):
     return fs.LocalFileSystem(), path
 
 
-def _children(folder: str, pattern: str) -> Iterator[tuple[str, bool, int]]:
-    """Entries of one folder that match one pattern; dot files only match a pattern with a dot."""
+def _local_entries(folder: str) -> Iterator[tuple[str, bool, int]]:
+    """(name, is_dir, size) of a folder on a mounted disk; a dangling link counts by its name."""
+    try:
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                is_file = entry.is_file()
+                yield entry.name, entry.is_dir(), entry.stat().st_size if is_file else -1
+    except (FileNotFoundError, NotADirectoryError):
+        return
+
+
+def _remote_entries(folder: str) -> Iterator[tuple[str, bool, int]]:
     from pyarrow import fs
 
     system, local = file_system(folder)
-    if "*" in pattern:
-        found = system.get_file_info(fs.FileSelector(local, allow_not_found=True))
-    else:
-        found = [system.get_file_info(f"{local}/{pattern}")]
-    for info in found:
-        hidden = info.base_name.startswith(".") and not pattern.startswith(".")
-        exists = info.type != fs.FileType.NotFound
-        if exists and not hidden and fnmatch.fnmatchcase(info.base_name, pattern):
-            is_dir = info.type == fs.FileType.Directory
-            yield f"{folder}/{info.base_name}", is_dir, -1 if is_dir else info.size
+    for info in system.get_file_info(fs.FileSelector(local, allow_not_found=True)):
+        yield info.base_name, info.type == fs.FileType.Directory, info.size if info.is_file else -1
+
+
+def _children(folder: str, pattern: str) -> Iterator[tuple[str, bool, int]]:
+    """Entries of one folder that match one pattern; dot files only match a pattern with a dot."""
+    if "*" not in pattern:
+        system, local = file_system(f"{folder}/{pattern}")
+        info = system.get_file_info(local)
+        if info.type.name != "NotFound":
+            yield f"{folder}/{pattern}", info.type.name == "Directory", info.size if info.is_file else -1
+        return
+    for name, is_dir, size in (_remote_entries if "://" in folder else _local_entries)(folder):
+        hidden = name.startswith(".") and not pattern.startswith(".")
+        if not hidden and fnmatch.fnmatchcase(name, pattern):
+            yield f"{folder}/{name}", is_dir, size
 
 
 def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

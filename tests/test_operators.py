@@ -25,6 +25,7 @@ from runweave.operators.pivot import first_failing_stage, membership_matrix, piv
 from runweave.operators.topk import first_match, last_wins_map, top1_per_group
 from runweave.sources.delimited import delimited_rows, parse_delimited, read_headerless
 from runweave.sources.fasta import read_fasta
+from runweave.sources.listing import _children
 from runweave.sources.sections import read_sections
 from runweave.sources.task_log import process_dirs
 
@@ -291,3 +292,20 @@ def test_task_log(spark):
         ("r", "l", 5, "Task completed > TaskHandler[name: P (1); workDir: /d]"),
     ], "run string, path string, pos bigint, content string")
     assert tuples(process_dirs(lines)) == [("r", "l", "P (1)", "/d]", 1)]
+
+
+# ---- listing -----------------------------------------------------------------------------------
+
+def test_folder_entries(tmp_path):
+    (tmp_path / "real").mkdir()
+    (tmp_path / "real" / "a.txt").write_text("hi")
+    (tmp_path / "_b.txt").write_text("")
+    (tmp_path / ".hidden.txt").write_text("x")
+    (tmp_path / "folder.txt").symlink_to(tmp_path / "real")
+    (tmp_path / "gone.txt").symlink_to(tmp_path / "nowhere")
+    base = str(tmp_path)
+    assert sorted(_children(base, "*.txt")) == [
+        (f"{base}/_b.txt", False, 0), (f"{base}/folder.txt", True, -1), (f"{base}/gone.txt", False, -1)]
+    assert list(_children(f"{base}/folder.txt", "a.txt")) == [(f"{base}/folder.txt/a.txt", False, 2)]
+    assert list(_children(base, "none.txt")) == [] and list(_children(f"{base}/none", "*")) == []
+    assert list(_children(f"{base}/_b.txt", "*")) == []
