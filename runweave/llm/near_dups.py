@@ -149,3 +149,14 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80, halves: int = 16, rows: int = 3) -> DataFrame:
+    """The rows of `docs`, all columns, with one row for each group of near-duplicates: that of the least doc_id.
+
+    Of several rows with that doc_id one stays only if their texts are equal too; else each distinct text stays.
+    Rows with a null doc_id stay unless their group has another row. Blank and null texts stay.
+    """
+    found = near_duplicates(docs, shingle_words, percent, halves, rows)
+    kept = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
