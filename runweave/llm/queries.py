@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runweave.llm import near_dups
+from runweave.llm import near_dups, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,36 @@ FROM s JOIN least ON s.doc_id = least.a
 @query("op2_minhash_near_dedup", NEAR_DUPS_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS))
+QUALITY_RULES_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {SQL_WORDS.format(text="coalesce(text, '')")} AS words FROM documents),
+runs AS (SELECT doc_id, i, words[i:i + 2] AS run FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM t)),
+again AS (SELECT doc_id, i FROM runs SEMI JOIN (SELECT doc_id, run FROM runs GROUP BY ALL HAVING count(*) > 1) USING (doc_id, run)),
+spots AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS spot FROM again),
+repeated AS (SELECT doc_id, count(*) AS n_repeat_words FROM spots GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         len(regexp_extract_all(text, '!'))::BIGINT AS n_exclamations,
+         len(list_intersect(list_distinct(words), [{_STOPS}])) AS n_stop_words,
+         list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM t
+), b AS (
+  SELECT m.*, len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM m LEFT JOIN repeated USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words AND 100 * n_symbols <= 30 * n_words
+       AND 100 * n_exclamations <= 30 * n_words AND n_stop_words >= 2 AND 100 * n_dup_lines <= 60 * n_lines AS kept
+FROM b
+"""
+
+
+@query("op9_quality_rules", QUALITY_RULES_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measured(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
