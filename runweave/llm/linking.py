@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runweave.llm.components import connected_components
 from runweave.llm.store import Workspace
 
-#: Rounds in which each bucket compares its members with one leader before the rest is enumerated.
-LEADER_ROUNDS = 3
+#: Rounds in which each bucket compares its members with one leader before the rest is searched.
+LEADER_ROUNDS = 2
+#: Buckets of up to so many members are then compared in full; larger ones by the members' differences from a leader.
+SMALL = 16
 
 
 def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -21,48 +23,83 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         common * (100 + percent) >= percent * (F.size("x") + F.size("y"))).select("a", "b")
 
 
+def _pairs_of_small(members: DataFrame, near_size: str) -> DataFrame:
+    return members.alias("p").join(members.alias("q"), F.expr(
+        f"p.bucket = q.bucket and p.component < q.component and {near_size}")).select(
+        F.expr("least(p.item, q.item)").alias("a"), F.expr("greatest(p.item, q.item)").alias("b"))
+
+
+def _pairs_of_large(work: Workspace, members: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """Pairs of the same large buckets that may be similar, found by what they have in common against their leader.
+
+    Let h be the leader's set, a_u = |h - u|, b_u = |u - h| and s = percent / 100. If v is not linked with the leader,
+    a_v + s * b_v > (1 - s) * |h|. From that follows: u and v reach s only if they share more than
+    (a_u + s * b_u) / (1 + s) of the differences of u from h. So of any sort order, the first
+    |differences| - that many of u must hold one that v has too. Rarest first, nearly all of them are u's alone.
+    """
+    leaders = members.groupBy("bucket").agg(F.max(F.struct("score", "item")).getField("item").alias("lead"))
+    led = work.keep(members.join(leaders, "bucket").select("lead", "item", "component").distinct(), f"{name}-led")
+    apart = led.join(sets, "item").join(
+        sets.select(F.col("item").alias("lead"), F.col("members").alias("h")), "lead").select(
+        "lead", "item", "component", F.array_except("h", "members").alias("lost"),
+        F.array_except("members", "h").alias("gained"), F.size("h").alias("n"))
+    weight = 100 * F.size("lost") + percent * F.size("gained")
+    apart = apart.select("lead", "item", "component", (weight > (100 - percent) * F.col("n")).alias("unlinked"),
+                         (F.size("lost") + F.size("gained") - F.floor(weight / (100 + percent))).alias("first"),
+                         F.concat("lost", "gained").alias("differences"))
+    rows = work.keep(apart.select("lead", "item", "component", "unlinked", "first",
+                                  F.explode("differences").alias("difference")), f"{name}-differences")
+    common = rows.groupBy("lead", "difference").agg(F.count("*").alias("k"))
+    rows = rows.join(common, ["lead", "difference"])
+    order = Window.partitionBy("lead", "item").orderBy("k", "difference")
+    first = rows.withColumn("at", F.row_number().over(order)).where("at <= first and k > 1")
+    return first.alias("p").join(rows.where("unlinked and k > 1").alias("q"), F.expr(
+        "p.lead = q.lead and p.difference = q.difference and p.component <> q.component")).select(
+        F.expr("least(p.item, q.item)").alias("a"), F.expr("greatest(p.item, q.item)").alias("b"))
+
+
 def link_buckets(work: Workspace, buckets: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
     """(item, component) of the items that are linked, directly or by others, to an item in a common bucket.
 
     buckets: (bucket, item, n, score): n the size of the item's set, score high for items that sit in full buckets.
-    sets: (item, members). The result is as if all pairs of each bucket had been checked:
+    sets: (item, members). The result is the same as if all pairs of each bucket had been checked:
 
     - In a leader round each bucket with members of more than one component compares its members outside the leader's
       component with the leader: rows grow with the bucket, not with its square. First the member with the best score
       leads (the text that most copies resemble), then one drawn by hash.
-    - What is then still open, members of one bucket in different components, is compared in full. Pairs whose sizes
+    - What is then still open is compared in full in small buckets, and by _pairs_of_large in others. Pairs whose sizes
       alone rule a link out are not formed, and no pair is checked twice.
     """
     near_size = "100 * least(p.n, q.n) >= {0} * greatest(p.n, q.n)".format(percent)
+    members = buckets.withColumn("component", F.col("item"))
     components, tried, links = None, None, None
     for round_ in range(LEADER_ROUNDS + 1):
-        if components is None:
-            members = buckets.withColumn("component", F.col("item"))
-        else:
-            members = buckets.join(components, "item", "left").withColumn("component", F.coalesce("component", "item"))
-        rank = F.col("score") if round_ == 0 else F.xxhash64("bucket", "item", F.lit(round_))
-        leaders = members.groupBy("bucket").agg(
-            F.max(F.struct(rank.alias("rank"), "item", "n", "component")).alias("lead"),
-            F.min("component").alias("low"), F.max("component").alias("high"),
-        ).where("low < high").select("bucket", "lead.item", "lead.n", "lead.component")
         if round_ < LEADER_ROUNDS:
-            other, apart = leaders, "p.component <> q.component"
+            rank = F.col("score") if round_ == 0 else F.xxhash64("bucket", "item", F.lit(round_))
+            other = members.groupBy("bucket").agg(F.max(F.struct(rank.alias("rank"), "item", "n", "component")).alias("lead"))
+            other = other.select("bucket", "lead.item", "lead.n", "lead.component")
+            pairs = members.alias("p").join(other.alias("q"), F.expr(
+                f"p.bucket = q.bucket and p.component <> q.component and {near_size}"))
+            pairs = pairs.select(F.expr("least(p.item, q.item)").alias("a"), F.expr("greatest(p.item, q.item)").alias("b"))
         else:
-            other, apart = members.join(leaders, "bucket", "left_semi"), "p.component < q.component"
-        pairs = members.alias("p").join(other.alias("q"), F.expr(f"p.bucket = q.bucket and {apart} and {near_size}"))
-        pairs = pairs.select(F.expr("least(p.item, q.item)").alias("a"),
-                             F.expr("greatest(p.item, q.item)").alias("b")).distinct()
+            large = members.groupBy("bucket").agg(F.count("*").alias("k")).where(F.col("k") > SMALL)
+            pairs = _pairs_of_small(members.join(large, "bucket", "left_anti"), near_size).union(
+                _pairs_of_large(work, members.join(large, "bucket", "left_semi"), sets, percent, name))
+        pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = work.keep(pairs, f"{name}-pairs-{round_}")
         tried = pairs if tried is None else tried.union(pairs)
-        if not pairs.take(1):
-            if round_ == LEADER_ROUNDS or components is None:
-                break
-            continue
         found = work.keep(similar(pairs, sets, percent), f"{name}-links-{round_}")
+        if not found.take(1):
+            continue
         links = found if links is None else links.union(found)
         components = work.keep(connected_components(work, links, f"{name}-cc-{round_}"), f"{name}-components-{round_}")
+        if round_ < LEADER_ROUNDS:
+            members = members.drop("component").join(components, "item", "left").withColumn(
+                "component", F.coalesce("component", "item"))
+            open_ = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            members = work.keep(members.join(open_.where("low < high"), "bucket", "left_semi"), f"{name}-open-{round_}")
     if components is None:
         return buckets.select("item", F.col("item").alias("component")).limit(0)
     return components

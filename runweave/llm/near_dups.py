@@ -56,7 +56,7 @@ def _half_keys(flat: np.ndarray, offsets: np.ndarray, halves: int, rows: int) ->
 
 def _signatures(size: int, halves: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.pieces(batches):
             sets = shingle_sets(batch, size)
             n = np.array([len(s) for s in sets], np.int64)
             item, other = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
@@ -80,7 +80,7 @@ def _signatures(size: int, halves: int, rows: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.pieces(batches):
             sets = [s for s in shingle_sets(batch, size) if len(s)]
             if not sets:
                 continue
@@ -94,7 +94,7 @@ def _sets(size: int):
 
 
 def _table_rows(work: Workspace, classes: DataFrame, halves: int) -> DataFrame:
-    """(bucket, item, n, score) for all tables' buckets with at least two items.
+    """(bucket, item, n, score) for all tables' buckets with at least two items, equal buckets once.
 
     Half keys that only one item has can't take part in a shared table key, so they go before the tables are formed.
     """
@@ -110,7 +110,9 @@ def _table_rows(work: Workspace, classes: DataFrame, halves: int) -> DataFrame:
     rows = rows.select(F.xxhash64("l.slot", "l.key", "r.slot", "r.key").alias("bucket"), "item", "n", "score")
     rows = work.keep(rows, "tables")
     work.drop("half-keys")
-    full = rows.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1")
+    full = rows.groupBy("bucket").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("item")).alias("who")).where("k > 1")
+    full = full.groupBy("k", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same items, one
     return work.keep(rows.join(full, "bucket", "left_semi"), "buckets")
 
 

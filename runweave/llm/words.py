@@ -7,7 +7,11 @@ apart from 24 bytes for each of its words.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 #: Odd multipliers of the rolling hash, of its inverse and of the mixer; fixed values.
@@ -20,6 +24,19 @@ WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 2 * BLOCK) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `limit` bytes of text, so a task's memory does not follow its batches."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        low = 0
+        while low < batch.num_rows:
+            before = int(ends[low - 1]) if low else 0
+            high = max(low + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(low, high - low)
+            low = high
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(30))
