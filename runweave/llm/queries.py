@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runweave.llm import near_dups, quality_rules, url_rules
+from runweave.llm import line_quality, near_dups, quality_rules, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,13 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f W
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op1_toxicity")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_quality_classifier")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -92,7 +92,7 @@ def _blocks(texts: list[bytes]):
         yield first, len(texts)
 
 
-def _pieces(text: bytes):
+def stretches(text: bytes):
     """Offsets that cut one long text near each BLOCK bytes, always at white space."""
     low = 0
     while low < len(text):
@@ -109,7 +109,7 @@ def hashed_words(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.nd
     for first, last in _blocks(texts):
         if last == first + 1 and len(texts[first]) > BLOCK:
             parts = []
-            for low, high in _pieces(texts[first]):
+            for low, high in stretches(texts[first]):
                 buf = np.frombuffer(texts[first], np.uint8, high - low, low)
                 starts, ends = word_spans(buf)
                 parts.append((span_hashes(buf, starts, ends), starts + low, ends + low))
