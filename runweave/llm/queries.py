@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runweave.llm import line_quality, near_dups, quality_rules, toxicity, url_rules
+from runweave.llm import line_quality, near_dups, packing, quality_rules, sequences, toxicity, url_rules
+from runweave.llm.encoding import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +116,13 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_classifier")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op4_best_fit_packing")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op5_token_files")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequences.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
