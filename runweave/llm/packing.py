@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from runweave.llm import words
 from runweave.llm.encoding import encoder
 
-#: Documents that are packed together in one task; about a thousandth of a sequence is left open for each of them.
+#: Documents that are packed together in one task; each group may leave a few sequences partly filled.
 GROUP = 50_000
 
 
@@ -48,6 +49,40 @@ def sum_of_squares(sizes: list[int], capacity: int) -> tuple[list[int], list[int
     return bins, offsets, made
 
 
+def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], int]:
+    """Bin and offset of each size, in the order given: the open bin with the least gap that holds it, or a new one."""
+    gaps: list[tuple[int, int]] = []
+    bins, offsets, made = [], [], 0
+    for size in sizes:
+        k = bisect.bisect_left(gaps, (size, -1))
+        gap, at = gaps.pop(k) if k < len(gaps) else (capacity, made)
+        made = max(made, at + 1)
+        bins.append(at)
+        offsets.append(capacity - gap)
+        if gap > size:
+            bisect.insort(gaps, (gap - size, at))
+    return bins, offsets, made
+
+
+def pack_sizes(sizes: list[int], capacity: int) -> tuple[list[int], list[int], int]:
+    """sum_of_squares, whose bins left with a gap are then emptied and filled again by best_fit if that takes fewer.
+
+    The rule keeps bins of every gap in stock for sizes still to come; when none come any more, best fit closes them.
+    """
+    bins, offsets, made = sum_of_squares(sizes, capacity)
+    fill = np.bincount(bins, sizes, made) if sizes else np.zeros(0)
+    loose = [k for k, at in enumerate(bins) if fill[at] < capacity]
+    again, places, count = best_fit([sizes[k] for k in loose], capacity)
+    if count >= int((fill < capacity).sum()):
+        return bins, offsets, made
+    seat = np.cumsum(fill == capacity) - 1  # full bins move together
+    full = int((fill == capacity).sum())
+    bins = seat[bins].tolist()
+    for k, at, offset in zip(loose, again, places):
+        bins[k], offsets[k] = full + at, offset
+    return bins, offsets, full + count
+
+
 def _lengths(path: str, keeps_space: bool, end_id: int, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, keeps_space)
@@ -78,7 +113,7 @@ def _place(capacity: int):
         # largest first; the rest of the key makes a task that runs again give the same rows
         rows.sort(key=lambda row: (-((row[1] - 1) % capacity), row[0] is None, row[0] or 0, row[1], row[2]))
         firsts = [(n - 1) % capacity + 1 for _, n, _ in rows]
-        bins, offsets, made = sum_of_squares(firsts, capacity)
+        bins, offsets, made = pack_sizes(firsts, capacity)
         base = TaskContext.get().partitionId() << 40
         columns = [[] for _ in range(7)]
         for (doc_id, n, sums), first, at, offset in zip(rows, firsts, bins, offsets):
@@ -119,7 +154,7 @@ def pack(docs: DataFrame, path: str, keeps_space: bool = True, end_id: int = 2,
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row of `docs`.
 
     A row longer than `capacity` ids is cut so that all pieces but the first are full; full pieces are sequences of
-    their own, and the first pieces are packed, largest first, by sum of squares in groups of about GROUP documents.
+    their own, and the first pieces are packed, largest first, by pack_sizes in groups of about GROUP documents.
 
     - Null texts are empty: one piece that holds the end id. Null or repeated doc_ids are packed row by row.
     - Documents are dealt to groups by a hash of id and content, so no source or key fills a group. Other columns are
