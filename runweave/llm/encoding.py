@@ -17,7 +17,7 @@ SPACED = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?;:%*&#$|])| ?[^ \t\n\r]+
 PLAIN = re.compile(r"[a-zà-öø-ÿ]+(?=[.,!?;:%*&#$|])|[^ \t\n\r]+")
 LOWER_ODD = "Σ"
 #: Pieces that stay known, and further ones that are forgotten together.
-KEPT, PASSING = 400_000, 100_000
+KEPT, PASSING = 900_000, 200_000
 LONGEST = 64
 
 

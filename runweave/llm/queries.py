@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runweave.llm import line_quality, near_dups, packing, quality_rules, sequences, toxicity, url_rules
+from runweave.llm import (
+    line_quality, mixing, near_dups, neighbours, packing, paragraphs, quality_rules, sequences, toxicity, url_rules,
+)
 from runweave.llm.encoding import vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +129,45 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_files")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def _mixing_sql(rounds: int = 15) -> str:
+    steps = ["""d AS (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+         CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table'
+              WHEN regexp_matches(coalesce(text, ''), '[Ll]icensed? |rights reserved') THEN 'legal'
+              WHEN contains(coalesce(text, ''), '@') THEN 'contact' ELSE 'prose' END AS topic,
+         len(""" + SQL_WORDS.format(text="coalesce(text, '')") + """) AS tokens FROM documents)""",
+             """r0 AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens, sum(tokens)::DOUBLE AS weight
+  FROM d GROUP BY ALL HAVING sum(tokens) > 0)"""]
+    for dimension in mixing.DIMENSIONS:
+        steps.append(f"""t_{dimension} AS MATERIALIZED (SELECT {dimension}, r / sum(r) OVER () AS share
+  FROM (SELECT {dimension}, pow(sum(tokens), 0.5) AS r FROM r0 GROUP BY ALL))""")
+    at = 0
+    for _ in range(rounds):
+        for dimension in mixing.DIMENSIONS:
+            steps.append(f"""r{at + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens,
+  weight * share / sum(weight) OVER (PARTITION BY {dimension}) AS weight FROM r{at} JOIN t_{dimension} USING ({dimension}))""")
+            at += 1
+    return "WITH " + ",\n".join(steps) + f""",
+p AS (SELECT source, lang, topic, (weight / tokens) / max(weight / tokens) OVER () AS p FROM r{at})
+SELECT doc_id, topic, round(coalesce(p, 0), 6) AS keep_probability,
+       ('0x' || substr(md5('mix:' || doc_id), 1, 8))::BIGINT / 4294967296.0 < coalesce(p, 0) AS kept
+FROM d LEFT JOIN p USING (source, lang, topic)"""
+
+
+@query("op8_mixing", _mixing_sql())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "topic", F.round("keep_probability", 6).alias("keep_probability"), "kept")
+
+
+@query("op3_substring_dedup")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("low").alias("start"), F.col("high").alias("end"), "n_words", "first_doc_id", "component")
+
+
+@query("op10_nn_descent")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
