@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from runweave.llm import words
 from runweave.llm.labelled import remainder, training_texts
@@ -172,15 +173,25 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
     return Model(parts, float(b[1] - b[0]))
 
 
-def _score(shared):
+def _score(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in words.pieces(batches):
             scores = model.scores(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(scores)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), pa.array(scores)], [*names, "_score"])
     return run
 
 
+def _scored(docs: DataFrame, labels: DataFrame, names: list[str], modulus: int, held_out: int, per_class: int,
+            max_chars: int) -> DataFrame:
+    """The columns `names` of `docs` and _score."""
+    usable = remainder(F.col("doc_id"), modulus) != held_out
+    sample = training_texts(docs, labels, "toxic", usable, per_class, max_chars)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(sample))
+    schema = StructType([docs.schema[name] for name in names] + [StructField("_score", DoubleType())])
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(_score(shared, names), schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, threshold: float = 0.7,
              per_class: int = 800, max_chars: int = 12_000) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of `docs` (doc_id, text); only the text enters the score.
@@ -192,8 +203,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int
       scores are the low base.
     - A null doc_id is scored, held_out is null for it; repeated rows are each answered; other columns are not read.
     """
-    sample = training_texts(docs, labels, "toxic", remainder(F.col("doc_id"), modulus) != held_out, per_class, max_chars)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(sample))
-    scored = docs.select("doc_id", "text").mapInArrow(_score(shared), "doc_id long, score double")
-    return scored.select("doc_id", (remainder(F.col("doc_id"), modulus) == held_out).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = _scored(docs, labels, ["doc_id"], modulus, held_out, per_class, max_chars)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), modulus) == held_out).alias("held_out"),
+                         F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, modulus: int = 3, held_out: int = 1,
+                  per_class: int = 800, max_chars: int = 12_000) -> DataFrame:
+    """The rows of `docs`, all columns, that score below `threshold`; as in `toxicity` otherwise. Nothing is shuffled."""
+    scored = _scored(docs, labels, docs.columns, modulus, held_out, per_class, max_chars)
+    return scored.where(F.col("_score") < threshold).drop("_score")
