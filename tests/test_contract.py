@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from runweave.plans.table_queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -30,14 +31,15 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) <= set(entry_points.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     result = entry_points.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)
