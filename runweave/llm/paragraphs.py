@@ -29,55 +29,62 @@ STOPS[list(b".!?")] = True
 
 
 class Cut:
-    """The paragraphs of one text: first and last word, names, and byte spans, for both series one after the other."""
-
-    def __init__(self, text: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        n = len(hashes)
-        self.hashes, self.starts, self.ends = hashes, starts, ends
-        buf = np.frombuffer(text, np.uint8)
-        stop = STOPS[buf[ends - 1]]
-        lines = np.cumsum(buf == 10)
-        stop[:-1] |= lines[starts[1:] - 1] > lines[ends[:-1] - 1]
+    """The paragraphs of a batch of texts: row, first and last word, name and series, for both series in turn.
+
+    Words are numbered through the batch; starts and ends are their byte offsets in their own text.
+    """
+
+    def __init__(self, batch: pa.RecordBatch):
+        texts = [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
+        found = words.hashed_words(texts)
+        none = np.zeros(0, np.int64)
+        self.hashes, self.starts, self.ends = (
+            np.concatenate([np.zeros(0, np.uint64) if k == 0 else none, *(x[k] for x in found)]) for k in range(3))
+        count = np.array([len(x[0]) for x in found], np.int64)
+        self.text_first = np.cumsum(count) - count
+        n = int(count.sum())
+        stop = np.zeros(n, bool)
+        for text, low, own in zip(texts, self.text_first.tolist(), found):
+            if len(own[0]):
+                buf = np.frombuffer(text, np.uint8)
+                part = STOPS[buf[own[2] - 1]]
+                part[np.maximum(np.searchsorted(own[2], np.flatnonzero(buf == 10), side="right") - 1, 0)] = True
+                stop[low:low + len(part)] = part
         at = np.flatnonzero(stop)
-        side = words.mix(hashes[at] * words.FOLD + hashes[np.maximum(at - 1, 0)]) >> np.uint64(63)
-        first, last, names, series = [], [], [], []
-        for k in range(2):
-            bounds = np.unique(np.concatenate([[0], at[side == k] + 1, [n]]))
+        row_of = np.repeat(np.arange(len(count)), count)
+        before = np.maximum(at - 1, self.text_first[row_of[at]])
+        side = words.mix(self.hashes[at] * words.FOLD + self.hashes[before]) >> np.uint64(63)
+        parts = []
+        for k in range(2 if n else 0):
+            cut = np.zeros(n + 1, bool)
+            cut[self.text_first] = cut[n] = True
+            cut[at[side == k] + 1] = True
+            bounds = np.flatnonzero(cut)
             low, high = bounds[:-1], bounds[1:]
-            place = np.arange(n) - np.repeat(low, high - low)
-            names.append(words.mix(np.add.reduceat(
-                words.mix(hashes + place.astype(np.uint64) * words.FOLD), low) + np.uint64(k + 1)))
-            first.append(low)
-            last.append(high)
-            series.append(np.full(len(low), k))
-        self.first, self.last = np.concatenate(first), np.concatenate(last)
-        self.names, self.series = np.concatenate(names), np.concatenate(series)
+            place = (np.arange(n) - np.repeat(low, high - low)).astype(np.uint64)
+            names = words.mix(np.add.reduceat(words.mix(self.hashes + place * words.FOLD), low) + np.uint64(k + 1))
+            parts.append((low, high, names, np.full(len(low), k), row_of[low]))
+        self.first, self.last, self.names, self.series, self.row = (
+            np.concatenate(c) for c in zip(*parts)) if parts else (none, none, none.astype(np.uint64), none, none)
 
     def banded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Names, shingle counts and (paragraphs, BANDS) keys of the first series' paragraphs that are long enough."""
+        """Paragraphs of the first series that are long enough, their shingle counts and (paragraphs, BANDS) keys."""
         own = np.flatnonzero((self.series == 0) & (self.last - self.first >= LEAST_WORDS))
+        count = self.last[own] - self.first[own] - SHINGLE + 1
         if not len(own):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64)
-        shingles = words.shingles(self.hashes, SHINGLE)
-        low, count = self.first[own], self.last[own] - self.first[own] - SHINGLE + 1
+            return own, count, np.zeros((0, BANDS), np.uint64)
         offsets = np.cumsum(count) - count
-        flat = shingles[np.repeat(low - offsets, count) + np.arange(int(count.sum()))]
+        flat = words.shingles(self.hashes, SHINGLE)[
+            np.repeat(self.first[own] - offsets, count) + np.arange(int(count.sum()))]
         seeds = words.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
         keys = [words.mix(np.minimum.reduceat((flat ^ seeds[2 * b]) * (seeds[2 * b + 1] | np.uint64(1)), offsets)
                           + np.uint64(b)) for b in range(BANDS)]
-        return self.names[own], count, np.stack(keys, 1)
+        return own, count, np.stack(keys, 1)
 
     def shingles_of(self, k: int) -> np.ndarray:
         return np.unique(words.shingles(self.hashes[self.first[k]:self.last[k]], SHINGLE))
 
 
-def _cuts(batch: pa.RecordBatch) -> Iterator[tuple[int, Cut]]:
-    texts = [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
-    for k, (text, found) in enumerate(zip(texts, words.hashed_words(texts))):
-        if len(found[0]):
-            yield k, Cut(text, *found)
-
-
 def _has(shared, names: np.ndarray) -> np.ndarray:
     at = (names >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     return (shared.value[at >> 3] >> (at & 7)) & 1 == 1
@@ -98,40 +105,28 @@ def _filter(names: DataFrame):
     return spark.sparkContext.broadcast(out)
 
 
-def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in words.pieces(batches):
-        found = [cut.names for _, cut in _cuts(batch)]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(words.signed(np.concatenate(found)))], ["name"])
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, item): for each paragraph its name under itself, and its name under each of its keys."""
+    for batch in words.pieces(batches, limit=words.BLOCK):
+        cut = Cut(batch)
+        own, _, keys = cut.banded()
+        marks = np.concatenate([cut.names, keys.ravel()])
+        items = np.concatenate([cut.names, np.repeat(cut.names[own], BANDS)])
+        yield pa.RecordBatch.from_arrays([pa.array(words.signed(marks)), pa.array(words.signed(items))], ["mark", "item"])
 
 
-def _bands(shared=None):
+def _candidates(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.pieces(batches):
-            found = [cut.banded() for _, cut in _cuts(batch)]
-            if not found:
-                continue
-            names, count, keys = (np.concatenate(column) for column in zip(*found))
-            names, count, keys = np.repeat(names, BANDS), np.repeat(count, BANDS), keys.ravel()
-            if shared:
-                own = _has(shared, keys)
-                names, count, keys = names[own], count[own], keys[own]
+        """(item, keys, members) of the paragraphs with a shared key; members are their shingles."""
+        for batch in words.pieces(batches, limit=words.BLOCK):
+            cut = Cut(batch)
+            own, _, keys = cut.banded()
+            some = np.flatnonzero(_has(shared, keys).any(1)) if len(own) else own
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words.signed(keys)), pa.array(words.signed(names)), pa.array(count)], ["key", "item", "n"])
-    return run
-
-
-def _sets(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.pieces(batches):
-            names, sets = [], []
-            for _, cut in _cuts(batch):
-                for k in np.flatnonzero((cut.series == 0) & _has(shared, cut.names)):
-                    names.append(cut.names[k:k + 1])
-                    sets.append(words.signed(cut.shingles_of(k)))
-            if names:
-                yield pa.RecordBatch.from_arrays([pa.array(words.signed(np.concatenate(names))),
-                                                  pa.array(sets, pa.list_(pa.int64()))], ["item", "members"])
+                [pa.array(words.signed(cut.names[own[some]])),
+                 pa.array([words.signed(keys[k]) for k in some], pa.list_(pa.int64())),
+                 pa.array([words.signed(cut.shingles_of(own[k])) for k in some], pa.list_(pa.int64()))],
+                ["item", "keys", "members"])
     return run
 
 
@@ -140,42 +135,35 @@ _PLACE = "name long, doc_id long, text_id long, series int, first long, last lon
 
 def _places(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.pieces(batches):
-            rows, columns = [], [[] for _ in range(6)]
-            for at, cut in _cuts(batch):
-                own = np.flatnonzero(_has(shared, cut.names))
-                rows.append(np.full(len(own), at))
-                # up to the start of the next word, so that what is cut out takes its white space along
-                after = np.append(cut.starts[1:], cut.ends[-1])[cut.last[own] - 1]
-                for column, values in zip(columns, (words.signed(cut.names[own]), cut.series[own], cut.first[own],
-                                                    cut.last[own], cut.starts[cut.first[own]], after)):
-                    column.append(values)
-            if not rows:
-                continue
-            taken = batch.take(pa.array(np.concatenate(rows)))
-            names, series, first, last, low, high = (pa.array(np.concatenate(c)) for c in columns)
+        for batch in words.pieces(batches, limit=words.BLOCK):
+            cut = Cut(batch)
+            own = np.flatnonzero(_has(shared, cut.names))
+            first, last = cut.first[own], cut.last[own]
+            taken = batch.take(pa.array(cut.row[own]))
+            ends = last - cut.text_first[cut.row[own]]
+            # up to the start of the next word, so that what is cut out takes its white space along
+            more = np.append(cut.text_first[1:], len(cut.starts))[cut.row[own]] > last
+            high = np.where(more, np.append(cut.starts, 0)[last], cut.ends[last - 1])
             yield pa.RecordBatch.from_arrays(
-                [names, taken.column("doc_id"), taken.column("text_id"), series.cast(pa.int32()), first, last, low, high],
+                [pa.array(words.signed(cut.names[own])), taken.column("doc_id"), taken.column("text_id"),
+                 pa.array(cut.series[own], pa.int32()), pa.array(first - cut.text_first[cut.row[own]]), pa.array(ends),
+                 pa.array(cut.starts[first]), pa.array(high)],
                 ["name", "doc_id", "text_id", "series", "first", "last", "low", "high"])
     return run
 
 
-def _near(work: Workspace, docs: DataFrame) -> DataFrame:
-    """(item, component) of paragraphs that are linked with a different one."""
-    keys = docs.mapInArrow(_bands(), "key long, item long, n long")
-    shared = keys.groupBy("key").agg(F.min("item").alias("a"), F.max("item").alias("b"))
-    shared = work.keep(shared.where("a <> b").select(F.col("key").alias("name")), "keys")
-    rows = docs.mapInArrow(_bands(_filter(shared)), "key long, item long, n long").distinct()
-    buckets = rows.join(shared.withColumnRenamed("name", "key"), "key", "left_semi").withColumnRenamed("key", "bucket")
-    buckets = work.keep(buckets, "band-rows")
-    scores = buckets.groupBy("bucket").agg(F.count("*").alias("k"))
-    scores = buckets.join(scores, "bucket").groupBy("item").agg(F.sum("k").alias("score"))
-    buckets = work.keep(buckets.join(scores, "item"), "buckets")
-    wanted = work.keep(buckets.select(F.col("item").alias("name")).distinct(), "wanted")
-    sets = docs.mapInArrow(_sets(_filter(wanted)), "item long, members array<long>")
-    sets = sets.join(wanted.withColumnRenamed("name", "item"), "item", "left_semi")
-    sets = work.keep(sets.groupBy("item").agg(F.first("members").alias("members")), "sets")
-    return link_buckets(work, buckets, sets, PERCENT, "near")
+def _near(work: Workspace, docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """(item, component) of paragraphs that are linked with a different one; shared: (mark), keys of several names."""
+    rows = docs.mapInArrow(_candidates(_filter(shared.withColumnRenamed("mark", "name"))),
+                           "item long, keys array<long>, members array<long>")
+    found = work.keep(rows.groupBy("item").agg(F.first("keys").alias("keys"), F.first("members").alias("members")), "found")
+    buckets = found.select("item", F.size("members").cast("long").alias("n"), F.explode("keys").alias("bucket"))
+    buckets = work.keep(buckets.join(shared.withColumnRenamed("mark", "bucket"), "bucket", "left_semi"), "band-rows")
+    full = buckets.groupBy("bucket").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("item")).alias("who"))
+    same = full.where("k > 1").groupBy("k", "who").agg(F.min("bucket").alias("bucket"))  # equal buckets once
+    scores = buckets.join(full, "bucket").groupBy("item").agg(F.sum("k").alias("score"))
+    buckets = work.keep(buckets.join(same.select("bucket"), "bucket", "left_semi").join(scores, "item"), "buckets")
+    return link_buckets(work, buckets, found.select("item", "members"), PERCENT, "near")
 
 
 def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int = 16) -> DataFrame:
@@ -195,9 +183,11 @@ def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int
     work = Workspace(docs.sparkSession, "paragraphs")
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_id"), "text")
     docs = docs.where("text is not null")
-    repeated = docs.mapInArrow(_names, "name long").groupBy("name").agg(F.count("*").alias("k"))
-    repeated = work.keep(repeated.where("k > 1").select("name"), "repeated")
-    near = work.keep(_near(work, docs), "near")
+    marks = docs.mapInArrow(_marks, "mark long, item long").groupBy("mark").agg(
+        F.min("item").alias("a"), F.max("item").alias("b"), F.count("*").alias("k")).where("k > 1")
+    marks = work.keep(marks, "marks")
+    repeated = marks.where("a = mark and b = mark").select(F.col("mark").alias("name"))
+    near = work.keep(_near(work, docs, marks.where("a <> b").select("mark")), "near")
     classes = repeated.join(near.withColumnRenamed("item", "name"), "name", "full").select(
         "name", F.coalesce("component", "name").alias("component"))
     classes = work.keep(classes, "classes")

@@ -33,8 +33,9 @@ def corpus(seed=2, n=420):
 @pytest.fixture(scope="module")
 def tables(spark):
     docs, labels = corpus()
+    n = len(docs)
     docs += [(None, "text without id", "s", "t"), (9001, None, "s", "t"), (9002, "", "s", "t"), (9003, " \n\t", "s", "t"),
-             docs[5], (9004, "plain words. " * 60_000, "s", "t"), (9005, "plain words. " * 60_000 + "nitwit " * 3, "s", "t")]
+             docs[5], (9006, "\n".join(text for k, text, _, _ in docs[:n] if k % 4) * 12, "s", "t"), (9004, "plain words. " * 60_000, "s", "t"), (9005, "plain words. " * 60_000 + "nitwit " * 3, "s", "t")]
     labels += [(None, 1, 1), (7, None, None), labels[5]]
     return (spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
 
@@ -70,7 +71,7 @@ def test_quality(spark, tables):
     result = line_quality.quality(docs, labels).cache()
     assert held_out_accuracy(spark, result, labels, "quality") > 0.95
     rows = {row.doc_id: row for row in result.collect()}
-    assert rows[9001].score == rows[9002].score == rows[9003].score == 0 and rows[9004].predicted == 1
+    assert rows[9001].score == rows[9002].score == rows[9003].score == 0 and rows[9006].predicted == 1
 
 
 def test_marginals_against_enumeration():
