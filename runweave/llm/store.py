@@ -13,16 +13,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_of_session: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir. Unset: a new folder in local mode (kept for the session), else an error."""
     named = spark.conf.get("spark.checkpoint.dir", "")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.applicationId in _of_session:
+        return _of_session[spark.sparkContext.applicationId]
+    if not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    named = "file://" + tempfile.mkdtemp(prefix="runweave-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    return _of_session.setdefault(
+        spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="runweave-"))
 
 
 class Workspace:
