@@ -128,5 +128,6 @@ class JobConfig:
 
     expected_columns: tuple[str, ...] = EXPECTED_COLUMNS
     auto_mode: bool = False
+    pipelines: tuple[str, ...] | None = None  # status columns; None: those of the runs at hand, so columns may change
     legacy_clade: bool = False
     ha_only: bool = True

@@ -37,11 +37,25 @@ def map_columns(headers: DataFrame) -> list[str]:
     return [r[0] for r in first.orderBy("at").select("column_name").collect()]
 
 
+def shown_names(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:
+    """Column names for map keys: a name equal, but for case, to a taken or an earlier one gets a numbered suffix."""
+    used, out = {c.lower() for c in taken}, {}
+    for name in names:
+        shown, k = name, 1
+        while shown.lower() in used:
+            shown, k = f"{name}.{k}", k + 1
+        used.add(shown.lower())
+        out[name] = shown
+    return out
+
+
 def widen_maps(
-    df: DataFrame, column: str, names: Sequence[str], keep: Sequence[str], clean: Callable[[Column], Column]
+    df: DataFrame, column: str, names: Sequence[str], keep: Sequence[str], clean: Callable[[Column], Column],
+    taken: Sequence[str] = (),
 ) -> DataFrame:
-    """One column per map key, each value passed through `clean`."""
-    cells = (clean(F.try_element_at(quoted(column), F.lit(n))).alias(n) for n in names)
+    """One column per map key, each value passed through `clean`; named by shown_names, so no column hides another."""
+    shown = shown_names(names, [*keep, *taken])
+    cells = (clean(F.try_element_at(quoted(column), F.lit(n))).alias(shown[n]) for n in names)
     return df.select(*map(quoted, keep), *cells)
 
 

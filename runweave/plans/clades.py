@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runweave.config import DATASET_PROCESS, UNKNOWN_DATASET, JobConfig
 from runweave.functions.text import na_to_null, to_double, token_at
-from runweave.operators.align import map_columns, override_column, widen_maps
+from runweave.operators.align import map_columns, override_column, shown_names, widen_maps
 from runweave.operators.events import check_events, events, reject_events
 from runweave.operators.guards import exactly_one
 from runweave.operators.joins import left_join_default
@@ -20,6 +20,7 @@ from runweave.sources.tables import RunTables
 from runweave.sources.task_log import process_dirs
 
 _DATASET_COLUMNS = ["sample_name", "nextclade_dataset_name", "nextclade_dataset_version", "nextclade_filename"]
+_WIDE_KEYS = ["run", "path", "sample", "segment", "dataset", "nextclade_dataset_name", "nextclade_dataset_version"]
 _NEEDED = ("seqName", "clade", "alignmentScore")
 
 
@@ -163,14 +164,23 @@ def wide_clades(tables: RunTables, config: JobConfig, best: DataFrame) -> DataFr
     `segment` and `dataset` stand before `clade`, the sample first; columns that only later files
     have follow the dataset columns.
     """
-    good = _parsed(tables).where(F.col("problem").isNull() & has_columns(*_NEEDED))
-    names = [n for n in map_columns(header_names(good, ["run"])) if n not in ("index", "sample")]
-    wide = widen_maps(best, "cells", names, ["run", "path", "sample", "segment", "dataset",
-                                              "nextclade_dataset_name", "nextclade_dataset_version"], na_to_null)
+    names = _clade_names(tables)
+    wide = widen_maps(best, "cells", names, _WIDE_KEYS, na_to_null)
+    shown = shown_names(names, _WIDE_KEYS)
     if config.legacy_clade and "legacy-clade" in names:
-        wide = override_column(wide, "clade", "legacy-clade", True)
+        wide = override_column(wide, shown["clade"], shown["legacy-clade"], True)
     order = ["run", "path", "sample"]
     for n in names:
-        order += ["segment", "dataset", n] if n == "clade" else [n]
+        order += ["segment", "dataset", shown[n]] if n == "clade" else [shown[n]]
     order += [c for c in wide.columns if c not in order]
     return wide.select(*(F.col(f"`{c}`") for c in order))
+
+
+def _clade_names(tables: RunTables) -> list[str]:
+    good = _parsed(tables).where(F.col("problem").isNull() & has_columns(*_NEEDED))
+    return [n for n in map_columns(header_names(good, ["run"])) if n not in ("index", "sample")]
+
+
+def renamed_columns(tables: RunTables) -> list[tuple[str, str]]:
+    """(column of the files, column of the table) of the names that the wide table has to change."""
+    return [(name, shown) for name, shown in shown_names(_clade_names(tables), _WIDE_KEYS).items() if name != shown]

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runweave.functions.text import na_to_null
-from runweave.operators.align import map_columns, widen_maps
+from runweave.operators.align import map_columns, shown_names, widen_maps
 from runweave.operators.events import check_events, reject_events
 from runweave.plans.result import Result
 from runweave.sources.delimited import first_row, header_names, parse_delimited
 from runweave.sources.tables import RunTables
 
 _SUFFIX = "_mixtures.csv"
+_TAKEN = ["run", "path", "FastQID"]
 
 
 def _files(tables: RunTables) -> DataFrame:
@@ -38,5 +39,11 @@ def wide_mixtures(tables: RunTables) -> DataFrame:
     """The report: all columns in order of first appearance, sample_name shown as FastQID."""
     good = _files(tables).where("n_records = 1")
     names = map_columns(header_names(good, ["run"]))
-    wide = widen_maps(good, "cells", names, ["run", "path"], na_to_null)
+    wide = widen_maps(good, "cells", names, ["run", "path"], na_to_null, taken=["FastQID"])
     return wide.withColumnRenamed("sample_name", "FastQID")
+
+
+def renamed_columns(tables: RunTables) -> list[tuple[str, str]]:
+    """(column of the files, column of the report) of the names that the report has to change."""
+    names = map_columns(header_names(_files(tables).where("n_records = 1"), ["run"]))
+    return [(name, shown) for name, shown in shown_names(names, _TAKEN).items() if name != shown]

@@ -10,10 +10,30 @@ from pyspark.sql import functions as F
 from runweave.operators.events import EVENT_SCHEMA
 
 
-def write_table(df: DataFrame, path: str, run: str = "run") -> None:
-    """Parquet by run; only the runs at hand are replaced, and large runs get several files."""
-    (df.hint("rebalance", run).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(run).parquet(path))
+def write_table(df: DataFrame, path: str, run: str = "run", runs: DataFrame | None = None) -> int:
+    """Parquet by run; only the runs at hand are replaced, and large runs get several files.
+
+    `runs` (run): the runs at hand; those of them that have no rows any more lose their old ones. Returns the number of
+    rows, counted on the way.
+    """
+    spark, counted = df.sparkSession, Observation()
+    (df.hint("rebalance", run).observe(counted, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path))
+    rows = counted.get["rows"]
+    if runs is not None:
+        drop_runs(spark, path, run, runs.select("run").join(
+            df.select(F.col(run).alias("run")).distinct(), "run", "left_anti"))
+    return rows
+
+
+def drop_runs(spark: SparkSession, path: str, column: str, gone: DataFrame) -> None:
+    """Removes the partitions of the runs in `gone`, one after the other; runs without a partition are passed over."""
+    jvm = spark.sparkContext._jvm
+    named = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in gone.distinct().toLocalIterator():
+        files.delete(jvm.org.apache.hadoop.fs.Path(top, named(column, row[0])), True)
 
 
 def write_text(

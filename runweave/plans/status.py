@@ -92,3 +92,15 @@ def pipeline_status(tables: RunTables, pipelines: Sequence[str] | None = None) -
         *staged.events(),
         reject_events(tables.runs, roster, ["run"], "no_sample_names_found"),
     ])
+
+
+def pipeline_status_rows(tables: RunTables) -> DataFrame:
+    """(run, sample, pipeline, status): the same as rows, whose columns don't depend on the pipelines of the runs."""
+    roster = sheet_samples(tables).rows.select(*_KEY).distinct()
+    sheets = pipeline_sheets(tables).rows
+    listed = sheets.where("sample is not null").select(*_KEY, "pipeline").distinct().withColumn("status", F.lit(0))
+    asked = roster.join(sheets.select("run", "pipeline").distinct(), "run")
+    rows = asked.join(listed, [*_KEY, "pipeline"], "left").withColumn("status", F.coalesce("status", F.lit(1)))
+    own = file_status(tables, roster).rows.select(
+        *_KEY, F.lit(FILE_STATUS.removeprefix("status_")).alias("pipeline"), F.col(f"`{FILE_STATUS}`").alias("status"))
+    return rows.unionByName(own)

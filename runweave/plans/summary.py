@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runweave.config import CLADE_COLUMNS, PRESENCE_TEXTS, SEGMENTS, VERSION_KEYS, JobConfig
+from runweave.config import CLADE_COLUMNS, PRESENCE_TEXTS, SEGMENTS, JobConfig
 from runweave.functions.text import presence_text, to_double
 from runweave.operators.align import align_to
 from runweave.operators.events import column_events, events
@@ -64,7 +64,7 @@ def run_summary(tables: RunTables, config: JobConfig = JobConfig()) -> Result:
     status: list[str] = []
     parts = [names, calls, clades, reads, called, sites, types, versions]
     if config.auto_mode:
-        codes = pipeline_status(tables)
+        codes = pipeline_status(tables, config.pipelines)
         status = [c for c in codes.rows.columns if c not in _KEY]
         wide = left_join_default(wide, codes.rows, _KEY)
         parts.append(codes)
@@ -82,7 +82,12 @@ def run_summary(tables: RunTables, config: JobConfig = JobConfig()) -> Result:
 
     wide = wide.withColumnsRenamed({"run": "run_folder"}).withColumnsRenamed({"Run_": "Run"})
     def found() -> list[DataFrame]:
-        return [frame for part in parts for frame in part.events()]
+        # of several folders with a row for one sample, one is shown
+        several = clades.rows.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        return [
+            *(frame for part in parts for frame in part.events()),
+            events(several, "duplicate_key", "sample", source=F.lit("clades"), key="sample", n="n"),
+        ]
 
     keys = ["run_folder", "roster_pos"]
     if not config.expected_columns:

@@ -22,7 +22,7 @@ from runweave.operators.guards import exactly_one, singleton_groups
 from runweave.operators.joins import left_join_default
 from runweave.operators.pivot import first_failing_stage, membership_matrix, pivot_last_wins
 from runweave.operators.topk import first_match, last_wins_map, top1_per_group
-from runweave.sources.delimited import delimited_rows, parse_delimited
+from runweave.sources.delimited import cell, delimited_rows, parse_delimited
 from runweave.sources.fasta import read_fasta
 from runweave.sources.sections import read_sections
 from runweave.sources.task_log import process_dirs
@@ -523,43 +523,35 @@ def content_flag(spark, sf_dir):
 
 # ---- sources on texts --------------------------------------------------------------------------
 
-# quoted parts keep their separators and breaks; chr(30) and chr(31) stand in for them
-def _protected_sql(sep: str) -> str:
-    return f"""array_to_string(list_transform(string_split(text, '"'),
-        lambda p, i: CASE WHEN i % 2 = 0 THEN translate(p, {sep} || chr(10), chr(31) || chr(30)) ELSE p END), '"')"""
+def _as_csv(*columns: str) -> str:
+    """A line of quoted cells, in SQL."""
+    return " || ',' || ".join(f"""'"' || replace({c}, '"', '""') || '"'""" for c in columns)
 
 
-@query("c32_delimited_shape", f"""
-    WITH l AS (SELECT doc_id, list_filter(string_split({_protected_sql("','")}, chr(10)),
-                 lambda x: trim(x) <> '') AS lines FROM documents),
-    w AS (SELECT doc_id, list_transform(lines, lambda x: len(string_split(x, ','))) AS widths FROM l)
-    SELECT doc_id, CASE WHEN len(widths) = 0 THEN 'empty'
-                        WHEN len(widths) > 1 AND list_max(widths[2:]) > widths[1] THEN 'ragged' END AS problem,
-           widths[1] AS n_columns, CASE WHEN len(widths) > 0 THEN len(widths) - 1 END AS n_records
-    FROM w""")
+_QUOTING = """concat(left(text, 400), ' say "hi", ', lang)"""
+# a table in a cell: text with quotes, separators and breaks quoted; quotes inside a cell as they are
+_CSV_TEXT = f"""
+    'id,text,size' || chr(10) || {_as_csv("cast(doc_id as string)", _QUOTING)}
+    || ',5" x' || chr(10) || chr(10) || doc_id || ',"",' || source || '"s'"""
+
+
+@query("c32_delimited_shape", """
+    SELECT doc_id, CASE WHEN lang = 'de' THEN 'unclosed quote' WHEN lang = 'fr' THEN 'ragged' END AS problem,
+           CAST(3 AS BIGINT) AS n_columns FROM documents""")
 def delimited_shape(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
-    return parse_delimited(texts, ",").select(
-        "doc_id", "problem",
-        F.when(F.col("header").isNotNull(), F.size("header")).cast("bigint").alias("n_columns"),
-        F.when(F.col("records").isNotNull(), F.size("records")).cast("bigint").alias("n_records"),
-    )
+    end = F.when(F.col("lang") == "de", '\n1,"open,2').when(F.col("lang") == "fr", '\n1,2,"3","4"').otherwise("")
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.expr(_CSV_TEXT), end).alias("content"))
+    return parse_delimited(texts, ",").select("doc_id", "problem", F.size("header").cast("bigint").alias("n_columns"))
 
 
-@query("c33_delimited_rows", f"""
-    WITH l AS (SELECT doc_id, list_filter(string_split({_protected_sql("chr(9)")}, chr(10)),
-                 lambda x: trim(x) <> '') AS lines FROM documents),
-    r AS (SELECT doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM l),
-    v AS (SELECT doc_id, i, CASE WHEN contains(line, '"') THEN
-            replace(translate(regexp_replace(line, '^"|"$', '', 'g'), chr(31) || chr(30), chr(9) || chr(10)),
-                    '""', '"') ELSE line END AS value FROM r)
-    SELECT doc_id, CAST(i - 2 AS BIGINT) AS pos,
-           CASE WHEN value NOT IN ({", ".join(f"'{t}'" for t in NA_TOKENS)}) THEN value END AS value
-    FROM v WHERE i > 1""")
+@query("c33_delimited_rows", """
+    SELECT doc_id, CAST(0 AS BIGINT) AS pos, CAST(doc_id AS VARCHAR) AS id, left(text, 400) || ' say "hi", ' || lang AS text,
+           '5" x' AS size FROM documents
+    UNION ALL SELECT doc_id, 1, CAST(doc_id AS VARCHAR), NULL, source || '"s' FROM documents""")
 def delimited_values(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
-    rows = delimited_rows(parse_delimited(texts, "\t"))
-    return rows.select("doc_id", "pos", na_to_null(F.get(F.map_values("cells"), F.lit(0))).alias("value"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(_CSV_TEXT).alias("content"))
+    rows = delimited_rows(parse_delimited(texts, ","))
+    return rows.select("doc_id", "pos", *(cell(name).alias(name) for name in ("id", "text", "size")))
 
 
 @query("c34_fasta_records", """

@@ -1,7 +1,8 @@
 """Delimited files whose header differs from file to file.
 
 Works on whole texts in Catalyst expressions: line 0 is the header, each further line becomes a
-map from header name to cell. Quoted cells may hold the separator, line breaks and doubled quotes.
+map from header name to cell. A quoted cell starts with a quote and ends with the next one that is not doubled, right
+before a separator, a line break or the end; it may hold separators, breaks and doubled quotes. Other quotes are text.
 """
 
 from __future__ import annotations
@@ -13,10 +14,6 @@ from pyspark.sql import functions as F
 
 from runweave.functions.text import na_to_null
 
-# stand-ins for a separator or line break inside quotes
-_SEP, _BREAK = "\x1f", "\x1e"
-
-
 def compute_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
     """Adds costly columns through a one-element inline.
 
@@ -26,18 +23,26 @@ def compute_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -
     return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
 
 
-def _protect(text: Column, sep: str) -> Column:
-    """Replace separators and breaks inside quotes by stand-ins; linear in the text."""
-    pieces = F.transform(
-        F.split(text, '"'),
-        lambda piece, i: F.when(i % 2 == 1, F.translate(piece, sep + "\n", _SEP + _BREAK)).otherwise(piece),
-    )
-    return F.array_join(pieces, '"')
+def _tokens(text: Column, sep: str) -> Column:
+    """The cells of a text, each with the separator or line break behind it."""
+    end = f"[{re.escape(sep)}\n]"
+    quoted = f'"(?:[^"]++|"")*+"(?={end})'
+    cells = f"(?:{quoted}|[^{re.escape(sep)}\n]*+){end}"
+    return F.regexp_extract_all(F.concat(F.rtrim(text, F.lit("\n")), F.lit("\n")), F.lit(cells), F.lit(0))
+
+
+def _is_quoted(cell: Column) -> Column:
+    return F.rlike(cell, F.lit(r'\A"(?:[^"]++|"")*+"\z'))
+
 
+def _raw(token: Column) -> Column:
+    return F.left(token, F.length(token) - 1)
 
-def _cell(cell: Column, sep: str) -> Column:
-    plain = F.translate(F.regexp_replace(cell, '^"|"$', ""), _SEP + _BREAK, sep + "\n")
-    return F.when(F.contains(cell, F.lit('"')), F.replace(plain, F.lit('""'), F.lit('"'))).otherwise(cell)
+
+def unclosed_quote(text: Column, sep: str) -> Column:
+    """True when a cell opens with a quote that never closes: one that starts with a quote and holds an odd number."""
+    return F.contains(text, F.lit('"')) & F.exists(_tokens(text, sep), lambda token: F.startswith(
+        token, F.lit('"')) & ~_is_quoted(_raw(token)) & (F.regexp_count(token, F.lit('"')) % 2 == 1))
 
 
 def split_records(text: Column, sep: str) -> Column:
@@ -48,9 +53,23 @@ def split_records(text: Column, sep: str) -> Column:
     def cells(line: Column) -> Column:
         return F.split(line, re.escape(sep))
 
-    quoted = F.transform(
-        lines(_protect(text, sep)), lambda line: F.transform(cells(line), lambda c: _cell(c, sep))
-    )
+    def value(token: Column) -> Column:
+        cell = _raw(token)
+        inner = F.replace(cell.substr(F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        return F.when(_is_quoted(cell), inner).otherwise(cell)
+
+    def records(tokens: Column) -> Column:
+        ends = F.array_compact(F.transform(tokens, lambda t, i: F.when(F.endswith(t, F.lit("\n")), i)))
+
+        def cut(ends: Column) -> Column:
+            return F.transform(ends, lambda end, k: F.slice(
+                tokens, F.coalesce(F.get(ends, k - 1), F.lit(-1)) + 2, end - F.coalesce(F.get(ends, k - 1), F.lit(-1))))
+
+        rows = F.transform(F.array(ends), cut)[0]
+        full = F.filter(rows, lambda row: (F.size(row) > 1) | (F.length(F.trim(_raw(row[0]))) > 0))
+        return F.transform(full, lambda row: F.transform(row, value))
+
+    quoted = F.transform(F.array(_tokens(text, sep)), records)[0]
     return F.when(F.contains(text, F.lit('"')), quoted).otherwise(F.transform(lines(text), cells))
 
 
@@ -85,14 +104,16 @@ def _with_header(parsed: DataFrame) -> DataFrame:
 def parse_delimited(texts: DataFrame, sep: str, content: str = "content") -> DataFrame:
     """Adds header, records (without the header) and `problem` for texts that are no table.
 
-    A text without any line is 'empty'; one with a line longer than its header is 'ragged'.
+    A text without any line is 'empty'; one with a line longer than its header is 'ragged'; one in which a quote opens
+    a cell and never closes is 'unclosed quote'.
     Shorter lines are filled with nulls.
     """
     keep = [c for c in texts.columns if c not in (content, "problem")]
     known = F.col("problem") if "problem" in texts.columns else F.lit(None).cast("string")
     below = F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))
     parsed = _with_header(texts.select(
-        *keep, known.alias("problem"), split_records(F.col(content), sep).alias("_lines")
+        *keep, F.coalesce(known, F.when(unclosed_quote(F.col(content), sep), "unclosed quote")).alias("problem"),
+        split_records(F.col(content), sep).alias("_lines")
     )).withColumn("records", F.when(F.size("_lines") > 0, below))
     ragged = F.array_max(F.transform("records", F.size)) > F.size("header")
     problem = F.coalesce("problem", F.when(F.size("_lines") == 0, "empty").when(ragged, "ragged"))

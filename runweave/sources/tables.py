@@ -57,7 +57,10 @@ def scan_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> Run
     return RunTables(table, listing, _texts(listing))
 
 
-def _write(table: DataFrame, path: str) -> None:
+def _write(table: DataFrame, path: str, runs: DataFrame | None = None) -> None:
+    if runs is not None:  # a row without source for each run, so that a run without files replaces its old rows too
+        nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != "run")
+        table = table.unionByName(runs.select("run", *nothing))
     # REBALANCE splits the rows of a very large run over several files and joins small ones
     (table.withColumn("run_part", F.col("run")).hint("rebalance", "run_part").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("run_part").parquet(path))
@@ -66,8 +69,8 @@ def _write(table: DataFrame, path: str) -> None:
 def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target: str) -> RunTables:
     """List and read once and keep the three tables as Parquet, replacing only the runs at hand."""
     table = as_runs(spark, runs)
-    _write(list_files(table), f"{target}/listing")
-    _write(_texts(_load(spark, target, "listing", table)), f"{target}/texts")
+    _write(list_files(table), f"{target}/listing", table)
+    _write(_texts(_load(spark, target, "listing", table)), f"{target}/texts", table)
     _write(table, f"{target}/runs")  # last: a run listed here is complete
     return load_runs(spark, target, table)
 
@@ -85,6 +88,8 @@ def _load(spark: SparkSession, target: str, name: str, runs: DataFrame | None) -
     table = spark.read.schema(_SCHEMAS[name] + ", run_part string").parquet(f"{target}/{name}")
     if runs is not None:  # prunes the partitions of other runs
         table = table.join(runs.select(F.col("run").alias("run_part")), "run_part", "left_semi")
+    if name != "runs":
+        table = table.where("source is not null")
     # `run` is a plain column of its own: joins on it would else plan a pruning subquery each
     return table.drop("run_part")
 

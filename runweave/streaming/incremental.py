@@ -6,6 +6,8 @@ the runs that were landed (again) and replaces their part of the summary table.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,15 +28,22 @@ def progress_folder(spark: SparkSession, name: str) -> str:
 def follow_landed_runs(
     spark: SparkSession, landed: str, target: str, config: JobConfig = JobConfig(), progress: str | None = None
 ) -> StreamingQuery:
-    """Summaries of all runs landed since the last call, written by run to `target`."""
+    """Summaries of all runs landed since the last call, written by run to `target`.
+
+    In auto mode config.pipelines must name the status columns, as one table can't change its columns by batch. Each
+    pair of landed tables and target has its own progress, and other settings begin anew.
+    """
+    if config.auto_mode and config.pipelines is None:
+        raise ValueError("auto mode needs config.pipelines here: the pipelines whose status columns the table has")
+    own = hashlib.md5(repr((landed.rstrip("/"), target.rstrip("/"), config)).encode()).hexdigest()[:16]
     arrivals = spark.readStream.schema(RUNS_SCHEMA).parquet(f"{landed}/runs")
 
     def roll_up(batch: DataFrame, _: int) -> None:
         tables = load_runs(batch.sparkSession, landed, batch.select("run").distinct())
-        write_table(run_summary(tables, config).rows, target, run="run_folder")
+        write_table(run_summary(tables, config).rows, target, run="run_folder", runs=tables.runs)
 
     return (
         arrivals.writeStream.foreachBatch(roll_up)
-        .option("checkpointLocation", progress or progress_folder(spark, "landed_runs"))
+        .option("checkpointLocation", progress or progress_folder(spark, f"landed_runs-{own}"))
         .trigger(availableNow=True).start()
     )
