@@ -19,7 +19,8 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("item").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("item").alias("b"), F.col("members").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return pairs.join(left, "a").join(right, "b").where(
+    # sort-merge at every size: which side is the smaller depends on the corpus
+    return pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(
         common * (100 + percent) >= percent * (F.size("x") + F.size("y"))).select("a", "b")
 
 
@@ -35,7 +36,9 @@ def _pairs_of_large(work: Workspace, members: DataFrame, sets: DataFrame, percen
     Let h be the leader's set, a_u = |h - u|, b_u = |u - h| and s = percent / 100. If v is not linked with the leader,
     a_v + s * b_v > (1 - s) * |h|. From that follows: u and v reach s only if they share more than
     (a_u + s * b_u) / (1 + s) of the differences of u from h. So of any sort order, the first
-    |differences| - that many of u must hold one that v has too. Rarest first, nearly all of them are u's alone.
+    |differences| - that many of u must hold one that v has too. Rarest first, nearly all of them are u's alone. And as
+    the pair must share (a_u + a_v + s * (b_u + b_v) - (1 - s) * |h|) / (1 + s) differences, the first one that it
+    shares must have as many behind it in the order of either.
     """
     leaders = members.groupBy("bucket").agg(F.max(F.struct("score", "item")).getField("item").alias("lead"))
     led = work.keep(members.join(leaders, "bucket").select("lead", "item", "component").distinct(), f"{name}-led")
@@ -44,17 +47,18 @@ def _pairs_of_large(work: Workspace, members: DataFrame, sets: DataFrame, percen
         "lead", "item", "component", F.array_except("h", "members").alias("lost"),
         F.array_except("members", "h").alias("gained"), F.size("h").alias("n"))
     weight = 100 * F.size("lost") + percent * F.size("gained")
-    apart = apart.select("lead", "item", "component", (weight > (100 - percent) * F.col("n")).alias("unlinked"),
-                         (F.size("lost") + F.size("gained") - F.floor(weight / (100 + percent))).alias("first"),
-                         F.concat("lost", "gained").alias("differences"))
-    rows = work.keep(apart.select("lead", "item", "component", "unlinked", "first",
-                                  F.explode("differences").alias("difference")), f"{name}-differences")
+    rows = apart.select(
+        "lead", "item", "component", ((100 - percent) * F.col("n")).alias("spare"), weight.alias("weight"),
+        (F.size("lost") + F.size("gained")).alias("d"), F.explode(F.concat("lost", "gained")).alias("difference"))
+    rows = work.keep(rows, f"{name}-differences")
     common = rows.groupBy("lead", "difference").agg(F.count("*").alias("k"))
-    rows = rows.join(common, ["lead", "difference"])
     order = Window.partitionBy("lead", "item").orderBy("k", "difference")
-    first = rows.withColumn("at", F.row_number().over(order)).where("at <= first and k > 1")
-    return first.alias("p").join(rows.where("unlinked and k > 1").alias("q"), F.expr(
-        "p.lead = q.lead and p.difference = q.difference and p.component <> q.component")).select(
+    placed = rows.join(common, ["lead", "difference"]).withColumn("at", F.row_number().over(order)).where("k > 1")
+    placed = work.keep(placed, f"{name}-placed")
+    first = placed.where(f"at <= d - floor(weight / (100 + {percent}))")
+    return first.alias("p").join(placed.where("weight > spare").alias("q"), F.expr(
+        "p.lead = q.lead and p.difference = q.difference and p.component <> q.component and "
+        f"p.weight + q.weight - p.spare <= (100 + {percent}) * (1 + least(p.d - p.at, q.d - q.at))")).select(
         F.expr("least(p.item, q.item)").alias("a"), F.expr("greatest(p.item, q.item)").alias("b"))
 
 

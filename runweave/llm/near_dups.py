@@ -100,7 +100,7 @@ def _table_rows(work: Workspace, classes: DataFrame, halves: int) -> DataFrame:
     """
     keys = work.keep(classes.select("item", "n", F.posexplode("halves").alias("slot", "key")), "half-keys")
     shared = keys.groupBy("slot", "key").agg(F.count("*").alias("score")).where("score > 1")
-    kept = keys.join(shared, ["slot", "key"])
+    kept = keys.join(shared.hint("merge"), ["slot", "key"])
     sides = kept.groupBy("item", "n").agg(
         F.sum("score").alias("score"),
         F.collect_list(F.when(F.col("slot") < halves, F.struct("slot", "key"))).alias("left"),
@@ -113,7 +113,7 @@ def _table_rows(work: Workspace, classes: DataFrame, halves: int) -> DataFrame:
     full = rows.groupBy("bucket").agg(
         F.count("*").alias("k"), F.bit_xor(F.xxhash64("item")).alias("who")).where("k > 1")
     full = full.groupBy("k", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same items, one
-    return work.keep(rows.join(full, "bucket", "left_semi"), "buckets")
+    return work.keep(rows.join(full.hint("merge"), "bucket", "left_semi"), "buckets")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85, halves: int = 12,
