@@ -124,11 +124,13 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
     used = used[texts_with[:, used].sum(0) > 0]
     if not len(used):
         return Model(np.zeros(BUCKETS), float(np.log(n[1, 0] / n[0, 0])))
-    seat = np.full(BUCKETS, len(used))  # the last seat's embedding stays zero
+    seat = np.full(BUCKETS, len(used), np.int32)
     seat[used] = np.arange(len(used))
     sizes = np.array([len(f) for f in features])
-    bucket, kind = seat[np.concatenate(features)], np.repeat(np.arange(len(features)), sizes)
-    offsets = np.cumsum(sizes) - sizes
+    bucket = seat[np.concatenate(features)]
+    kind = np.repeat(np.arange(len(features), dtype=np.int32), sizes)
+    bucket, kind = bucket[bucket < len(used)], kind[bucket < len(used)]  # the others count in a word's size alone
+    del features
     token_kind, token_passage = np.concatenate(token_kind), np.concatenate(token_passage)
     passage_text = np.array(passage_text)
     y = np.array([label for _, label in sample], float)[passage_text]
@@ -138,13 +140,13 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
 
     of_kind = sizes[kind].astype(float) ** 2
     tokens_of_kind = np.bincount(token_kind, (weight / length ** 2)[token_passage], len(sizes))
-    curve = np.bincount(bucket, tokens_of_kind[kind] / of_kind, len(used) + 1) / (4 * weight.sum())
+    curve = np.bincount(bucket, tokens_of_kind[kind] / of_kind, len(used)) / (4 * weight.sum())
     one = (1 / (PASSAGE * sizes.mean())) ** 2 / (4 * weight.sum())
     rng = np.random.default_rng(seed)
-    e, w, b = np.zeros((len(used) + 1, WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
+    e, w, b = np.zeros((len(used), WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.zeros(2)
     speed = [np.zeros_like(e), np.zeros_like(w), np.zeros_like(b)]
     for epoch in range(epochs):
-        vectors = np.add.reduceat(e[bucket], offsets, axis=0) / sizes[:, None]
+        vectors = np.stack([np.bincount(kind, e[bucket, d], len(sizes)) for d in range(WIDTH)], 1) / sizes[:, None]
         mean = np.stack([np.bincount(token_passage, vectors[token_kind, d], len(y)) for d in range(WIDTH)], 1)
         mean /= length[:, None]
         logits = mean @ w + b
@@ -160,16 +162,15 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
         into = (error @ w.T) / length[:, None]
         to_kind = np.stack([np.bincount(token_kind, into[token_passage, d], len(sizes)) for d in range(WIDTH)], 1)
         to_kind /= sizes[:, None]
-        slope = np.stack([np.bincount(bucket, to_kind[kind, d], len(used) + 1) for d in range(WIDTH)], 1)
+        slope = np.stack([np.bincount(bucket, to_kind[kind, d], len(used)) for d in range(WIDTH)], 1)
         norm = float(((w[:, 1] - w[:, 0]) ** 2).sum()) / 2
         slope = (slope / norm + prior * one * e) / (curve + prior * one)[:, None]
-        slope[-1] = 0
         for k, (value, step) in enumerate(((e, rate * slope), (w, 0.01 * mean.T @ error), (b, 0.2 * error.sum(0)))):
             speed[k] = 0.9 * speed[k] - step
             value += speed[k]
     turn = w[:, 1] - w[:, 0]
     parts = np.zeros(BUCKETS)
-    parts[used] = e[:-1] @ turn
+    parts[used] = e @ turn
     return Model(parts, float(b[1] - b[0]))
 
 
