@@ -139,7 +139,7 @@ def _places(shared):
             cut = Cut(batch)
             own = np.flatnonzero(_has(shared, cut.names))
             first, last = cut.first[own], cut.last[own]
-            taken = batch.take(pa.array(cut.row[own]))
+            taken = batch.select(["doc_id", "text_id"]).take(pa.array(cut.row[own]))  # without the texts
             ends = last - cut.text_first[cut.row[own]]
             # up to the start of the next word, so that what is cut out takes its white space along
             more = np.append(cut.text_first[1:], len(cut.starts))[cut.row[own]] > last
