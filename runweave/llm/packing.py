@@ -65,22 +65,36 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], int
 
 
 def pack_sizes(sizes: list[int], capacity: int) -> tuple[list[int], list[int], int]:
-    """sum_of_squares, whose bins left with a gap are then emptied and filled again by best_fit if that takes fewer.
+    """sum_of_squares, of whose bins the loose ones are then emptied and filled again by best_fit if that takes fewer.
 
     The rule keeps bins of every gap in stock for sizes still to come; when none come any more, best fit closes them.
+    Loose are the bins with a gap, and of the full ones none, or the quarter, half or three quarters that were full last,
+    whichever gives the fewest bins.
     """
     bins, offsets, made = sum_of_squares(sizes, capacity)
-    fill = np.bincount(bins, sizes, made) if sizes else np.zeros(0)
-    loose = [k for k, at in enumerate(bins) if fill[at] < capacity]
-    again, places, count = best_fit([sizes[k] for k in loose], capacity)
-    if count >= int((fill < capacity).sum()):
+    if not sizes:
         return bins, offsets, made
-    seat = np.cumsum(fill == capacity) - 1  # full bins move together
-    full = int((fill == capacity).sum())
-    bins = seat[bins].tolist()
-    for k, at, offset in zip(loose, again, places):
-        bins[k], offsets[k] = full + at, offset
-    return bins, offsets, full + count
+    at = np.array(bins)
+    last = np.zeros(made, np.int64)
+    last[at] = np.arange(len(sizes))  # the latest size of each bin
+    full = np.flatnonzero(np.bincount(at, sizes, made) == capacity)
+    full = full[np.argsort(last[full])]
+    best = (made, None, None)
+    for quarters in (4, 3, 2, 1):
+        kept = full[:len(full) * quarters // 4]
+        loose = np.flatnonzero(~np.isin(at, kept))
+        again = best_fit([sizes[k] for k in loose], capacity)
+        if len(kept) + again[2] < best[0]:
+            best = (len(kept) + again[2], kept, (loose, again))
+    if best[1] is None:
+        return bins, offsets, made
+    made, kept, (loose, again) = best
+    seat = np.zeros(len(last), np.int64)
+    seat[kept] = np.arange(len(kept))
+    bins = seat[at].tolist()
+    for k, own, offset in zip(loose.tolist(), again[0], again[1]):
+        bins[k], offsets[k] = len(kept) + own, offset
+    return bins, offsets, made
 
 
 def _lengths(path: str, keeps_space: bool, end_id: int, capacity: int, with_ids: bool):
