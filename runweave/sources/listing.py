@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import fnmatch
 import os
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,16 +20,25 @@ from pyspark.sql import functions as F
 
 from runweave.config import SOURCE_GLOBS
 
+#: Entries that a task holds before it hands them on.
+_BATCH_ROWS = 5000
+_COLUMNS = ["run", "source", "path", "is_dir", "length", "rest"]
 _STEP = "run string, source string, path string, is_dir boolean, length bigint, rest array<string>"
 
 
-def file_system(path: str):
-    """(file system, path on it) for a plain path or a URI such as s3:// or hdfs://."""
+@lru_cache(maxsize=64)
+def _client(store: str):
+    """(file system, what its paths start with) of a scheme and authority; kept by the worker process."""
     from pyarrow import fs
 
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(f"{store}/") if store else (fs.LocalFileSystem(), "")
+
+
+def file_system(path: str):
+    """(file system, path on it) for a plain path or a URI such as s3:// or hdfs://."""
+    store, rest = re.fullmatch(r"([^:/]+://[^/]*)?(.*)", path, re.DOTALL).groups()
+    system, top = _client(store or "")
+    return system, top.rstrip("/") + rest
 
 
 def _local_entries(folder: str) -> Iterator[tuple[str, bool, int]]:
@@ -77,7 +88,10 @@ def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for child, child_dir, size in _children(path, parts[0]):
                 if child_dir or len(parts) == 1:
                     out.append((run, source, child, child_dir, size, parts[1:]))
-        yield pd.DataFrame(out, columns=["run", "source", "path", "is_dir", "length", "rest"])
+                    if len(out) >= _BATCH_ROWS:
+                        yield pd.DataFrame(out, columns=_COLUMNS)
+                        out = []
+        yield pd.DataFrame(out, columns=_COLUMNS)
 
 
 def spread(df: DataFrame, *cols: str, rounds: int = 4) -> DataFrame:

@@ -22,12 +22,14 @@ class RunTables:
     runs: DataFrame     # run, present
     listing: DataFrame  # run, source, path, folder, name, is_dir, length
     texts: DataFrame    # run, source, path, folder, name, pos, content, problem
+    live: bool = False  # texts are read from the run folders at each use
 
     def files(self, source: str) -> DataFrame:
         return self.listing.where(F.col("source") == source)
 
     def read(self, source: str) -> DataFrame:
-        return self.texts.where(F.col("source") == source)
+        """The texts of one source; of live runs only its files are opened."""
+        return _texts(self.listing, source) if self.live else self.texts.where(F.col("source") == source)
 
 
 def as_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> DataFrame:
@@ -39,12 +41,14 @@ def as_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> DataF
     return folders.withColumn("present", F.lit(True))
 
 
-def _texts(listing: DataFrame) -> DataFrame:
-    """The small files of a listing, and the dataset tables that its task logs point to."""
+def _texts(listing: DataFrame, source: str | None = None) -> DataFrame:
+    """The small files of a listing, of all sources or one, and the dataset tables that its task logs point to."""
     files = listing.where(F.col("source").isin(*CONTENT_SOURCES) & ~F.col("is_dir"))
+    if source not in (None, "linked_datasets"):
+        return read_texts(files.where(F.col("source") == source))
     logs = files.where(F.col("source") == "task_log")
-    linked = dataset_files(read_texts(logs), logs)
-    return read_texts(files).unionByName(read_texts(linked))
+    linked = read_texts(dataset_files(read_texts(logs), logs))
+    return linked if source else read_texts(files).unionByName(linked)
 
 
 def scan_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> RunTables:
@@ -54,7 +58,7 @@ def scan_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> Run
     """
     table = as_runs(spark, runs)
     listing = list_files(table)
-    return RunTables(table, listing, _texts(listing))
+    return RunTables(table, listing, _texts(listing), live=True)
 
 
 def _write(table: DataFrame, path: str, runs: DataFrame | None = None) -> None:
@@ -62,8 +66,10 @@ def _write(table: DataFrame, path: str, runs: DataFrame | None = None) -> None:
         nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != "run")
         table = table.unionByName(runs.select("run", *nothing))
     # REBALANCE splits the rows of a very large run over several files and joins small ones
-    (table.withColumn("run_part", F.col("run")).hint("rebalance", "run_part").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_part").parquet(path))
+    table = table.withColumn("run_part", F.col("run")).hint("rebalance", "run_part")
+    if "source" in table.columns:  # in order of source, so that a reader of one skips the pages of the others
+        table = table.sortWithinPartitions("run_part", "source")
+    (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_part").parquet(path))
 
 
 def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target: str) -> RunTables:

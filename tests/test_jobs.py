@@ -218,7 +218,8 @@ def test_text_outputs(collector, base):
     assert (collector.write_clades(str(base / "clades")), collector.write_mixture_report(str(base / "mix"))) == (3, 2)
     collector.write_dataset_versions(str(base / "datasets"))
     kinds = {r["event_type"]: r["detail"]["rows"] for r in collector.events().where("detail['output'] is not null").collect()}
-    assert kinds == {"results_written": "6", "nextclade_results_written": "3", "mixture_report_written": "2"}
+    assert kinds == {"results_written": "6", "nextclade_results_written": "3", "mixture_report_written": "2",
+                     "nextclade_datasets_written": "1"}
 
 
 def test_versions_table_and_status_table(collector):
