@@ -89,7 +89,7 @@ class Chains:
 
     def at(self, t: int) -> np.ndarray:
         """Line t of the texts that have more than t lines, longest text first."""
-        return self.start[self.order[:self.alive[t + 1]]] + t
+        return self.start[self.order[:self.alive[t]]] + t
 
     def messages(self, unary: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Forward and backward log-odds that reach each line; unary are the lines' own log-odds."""
