@@ -131,7 +131,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-def _mixing_sql(rounds: int = 15) -> str:
+def _mixing_sql(rounds: int = 30) -> str:
     steps = ["""d AS (
   SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
          CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table'
