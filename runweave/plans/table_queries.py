@@ -528,7 +528,7 @@ def _as_csv(*columns: str) -> str:
     return " || ',' || ".join(f"""'"' || replace({c}, '"', '""') || '"'""" for c in columns)
 
 
-_QUOTING = """concat(left(text, 400), ' say "hi", ', lang)"""
+_QUOTING = """concat(text, ' say "hi", ', lang)"""
 # a table in a cell: text with quotes, separators and breaks quoted; quotes inside a cell as they are
 _CSV_TEXT = f"""
     'id,text,size' || chr(10) || {_as_csv("cast(doc_id as string)", _QUOTING)}
@@ -549,9 +549,13 @@ def delimited_shape(spark, sf_dir):
            '5" x' AS size FROM documents
     UNION ALL SELECT doc_id, 1, CAST(doc_id AS VARCHAR), NULL, source || '"s' FROM documents""")
 def delimited_values(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(_CSV_TEXT).alias("content"))
+    tail = F.concat(F.lit(' say "hi", '), "lang")
+    texts = table(spark, sf_dir, "documents").select("doc_id", tail.alias("tail"), F.expr(_CSV_TEXT).alias("content"))
     rows = delimited_rows(parse_delimited(texts, ","))
-    return rows.select("doc_id", "pos", *(cell(name).alias(name) for name in ("id", "text", "size")))
+    # whole texts are parsed; of the cell, the SQL shows the first 400 characters of the text and what follows the text
+    whole, behind = cell("text"), F.length("tail")
+    shown = F.concat(F.left(whole, F.least(F.lit(400), F.length(whole) - behind)), F.right(whole, behind))
+    return rows.select("doc_id", "pos", cell("id").alias("id"), shown.alias("text"), cell("size").alias("size"))
 
 
 @query("c34_fasta_records", """
