@@ -68,8 +68,11 @@ class Cut:
             np.concatenate(c) for c in zip(*parts)) if parts else (none, none, none.astype(np.uint64), none, none)
 
     def banded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Paragraphs of the first series that are long enough, their shingle counts and (paragraphs, BANDS) keys."""
-        own = np.flatnonzero((self.series == 0) & (self.last - self.first >= LEAST_WORDS))
+        """Paragraphs that are long enough, their shingle counts and (paragraphs, BANDS) keys.
+
+        Keys of the two series differ: paragraphs of one document that overlap are not compared with each other.
+        """
+        own = np.flatnonzero(self.last - self.first >= LEAST_WORDS)
         count = self.last[own] - self.first[own] - SHINGLE + 1
         if not len(own):
             return own, count, np.zeros((0, BANDS), np.uint64)
@@ -77,8 +80,9 @@ class Cut:
         flat = words.shingles(self.hashes, SHINGLE)[
             np.repeat(self.first[own] - offsets, count) + np.arange(int(count.sum()))]
         seeds = words.mix(np.arange(1, 2 * BANDS + 1, dtype=np.uint64))
+        series = self.series[own].astype(np.uint64) * np.uint64(BANDS)
         keys = [words.mix(np.minimum.reduceat((flat ^ seeds[2 * b]) * (seeds[2 * b + 1] | np.uint64(1)), offsets)
-                          + np.uint64(b)) for b in range(BANDS)]
+                          + series + np.uint64(b)) for b in range(BANDS)]
         return own, count, np.stack(keys, 1)
 
     def shingles_of(self, k: int) -> np.ndarray:

@@ -66,3 +66,16 @@ def test_ties_copies_and_bytes(spark):
 def test_empty_table(spark):
     assert paragraphs.repeated_passages(table(spark, [])).collect() == []
     assert paragraphs.without_passages(table(spark, [])).columns == table(spark, []).columns
+
+
+def test_near_equal_passages_of_either_series_are_found(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(60):
+        ends = 3 + k % 4
+        # 5 of 52 shingles of a sentence differ
+        parts = [sentence(rng, 56) for _ in range(ends)]
+        changed = [" ".join("other" if i == 28 else w for i, w in enumerate(p.split())) for p in parts]
+        rows += [(2 * k + i, " ".join([prose(rng, 5), *p, prose(rng, 5)])) for i, p in enumerate((parts, changed))]
+    found = {row.doc_id for row in paragraphs.repeated_passages(table(spark, rows)).collect()}
+    assert not any(k % 2 == 0 for k in found) and len(found) >= 58
