@@ -2,7 +2,9 @@
 
 A paragraph is a run of sentences between cuts, and a cut is a sentence or line end that the hash of its last two words
 picks, so a passage is cut alike wherever it stands. Half of the ends are cuts of one series of paragraphs, the other
-half of a second one; a repeated passage with three sentence ends inside holds a whole paragraph of one of them.
+half of a second one; both are compared by MinHash bands. A third series does not depend on sentences: windows of WINDOW
+words, of any SELECT in a row the one with the least hash (winnowing), so two texts that share WINDOW + SELECT - 1 words
+share such a window. Equal windows are extended word by word to the whole run of words that both texts have.
 """
 
 from __future__ import annotations
@@ -22,19 +24,61 @@ from runweave.llm.store import Workspace
 BANDS, SHINGLE, PERCENT = 4, 5, 80
 #: Paragraphs with fewer words are only compared as they are.
 LEAST_WORDS = 8
+#: Words of a window, and how many windows in a row have at least one selected: 50 words on end hold a selected one.
+WINDOW, SELECT = 30, 21
 #: Bits of the fixed-size filter that keeps paragraphs without a match from being shuffled.
 FILTER_BITS = 26
 STOPS = np.zeros(256, bool)
 STOPS[list(b".!?")] = True
 
 
+def window_hashes(hashes: np.ndarray) -> np.ndarray:
+    """A hash of the WINDOW words from each word on, from two overlapping runs of 16."""
+    out, size = hashes, 1
+    while size < 16:
+        out = words.mix(out[:-size] * words.FOLD + out[size:])
+        size *= 2
+    return words.mix(out[:len(out) - (WINDOW - 16)] * words.FOLD + out[WINDOW - 16:])
+
+
+def selected_windows(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the windows that are the least of SELECT in a row within a text, and their hashes.
+
+    first, count: each text's first word and its words. Of windows in a row with one hash (a word over and over), the
+    first, the last and every twentieth stand for all, so each SELECT in a row still hold one.
+    """
+    if len(hashes) < WINDOW + SELECT - 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    names = window_hashes(hashes)
+    least, size = names, 1
+    while size < 16:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    least = np.minimum(least[:len(least) - (SELECT - 16)], least[SELECT - 16:])
+    # rows of SELECT windows that do not reach into the next text
+    inside = np.zeros(len(hashes) + 1, np.int64)
+    some = count >= WINDOW + SELECT - 1
+    np.add.at(inside, first[some], 1)
+    np.add.at(inside, first[some] + count[some] - (WINDOW + SELECT - 2), -1)
+    starts = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+    picked = np.zeros(len(names), bool)
+    for k in range(SELECT):
+        picked[starts[names[starts + k] == least[starts]] + k] = True
+    at = np.flatnonzero(picked)
+    again = (np.diff(at, prepend=-2) == 1) & (names[at] == names[at - 1])
+    onward = np.append(again[1:], False)
+    run_start = np.maximum.accumulate(np.where(again, 0, np.arange(len(at))))
+    at = at[~(again & onward & ((np.arange(len(at)) - run_start) % (SELECT - 1) != 0))]
+    return at, names[at]
+
+
 class Cut:
-    """The paragraphs of a batch of texts: row, first and last word, name and series, for both series in turn.
+    """The paragraphs of a batch of texts: row, first and last word, name and series, for the three series in turn.
 
     Words are numbered through the batch; starts and ends are their byte offsets in their own text.
     """
 
-    def __init__(self, batch: pa.RecordBatch):
+    def __init__(self, batch: pa.RecordBatch, windows: bool = True):
         texts = [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
         found = words.hashed_words(texts)
         none = np.zeros(0, np.int64)
@@ -64,15 +108,18 @@ class Cut:
             place = (np.arange(n) - np.repeat(low, high - low)).astype(np.uint64)
             names = words.mix(np.add.reduceat(words.mix(self.hashes + place * words.FOLD), low) + np.uint64(k + 1))
             parts.append((low, high, names, np.full(len(low), k), row_of[low]))
+        if n and windows:
+            low, names = selected_windows(self.hashes, self.text_first, count)
+            parts.append((low, low + WINDOW, words.mix(names + np.uint64(3)), np.full(len(low), 2), row_of[low]))
         self.first, self.last, self.names, self.series, self.row = (
             np.concatenate(c) for c in zip(*parts)) if parts else (none, none, none.astype(np.uint64), none, none)
 
     def banded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Paragraphs that are long enough, their shingle counts and (paragraphs, BANDS) keys.
+        """Paragraphs between cuts that are long enough, their shingle counts and (paragraphs, BANDS) keys.
 
         Keys of the two series differ: paragraphs of one document that overlap are not compared with each other.
         """
-        own = np.flatnonzero(self.last - self.first >= LEAST_WORDS)
+        own = np.flatnonzero((self.series < 2) & (self.last - self.first >= LEAST_WORDS))
         count = self.last[own] - self.first[own] - SHINGLE + 1
         if not len(own):
             return own, count, np.zeros((0, BANDS), np.uint64)
@@ -123,7 +170,7 @@ def _candidates(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(item, keys, members) of the paragraphs with a shared key; members are their shingles."""
         for batch in words.pieces(batches, limit=words.BLOCK):
-            cut = Cut(batch)
+            cut = Cut(batch, windows=False)
             own, _, keys = cut.banded()
             some = np.flatnonzero(_has(shared, keys).any(1)) if len(own) else own
             yield pa.RecordBatch.from_arrays(
@@ -134,7 +181,30 @@ def _candidates(shared):
     return run
 
 
-_PLACE = "name long, doc_id long, text_id long, series int, first long, last long, low long, high long"
+_PLACE = ("name long, doc_id long, text_id long, series int, first long, last long, low long, high long, "
+          "before array<int>, before_at array<int>, after array<int>, after_at array<int>")
+
+
+def _lists(values: np.ndarray, some: np.ndarray) -> pa.Array:
+    """The values of each row where `some` holds, as lists of int."""
+    offsets = np.concatenate([[0], np.cumsum(some.sum(1))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[some].astype(np.int32)))
+
+
+def _around(cut: Cut, own: np.ndarray) -> list[pa.Array]:
+    """Hashes of the SELECT - 1 words before each window, nearest first, and where these start; and of those after it.
+
+    No run that two texts share goes on for more words beyond the windows that are selected in it.
+    """
+    step = np.arange(SELECT - 1)
+    text_first, text_end = (np.append(cut.text_first, len(cut.starts))[cut.row[own] + k][:, None] for k in (0, 1))
+    window = (cut.series[own] == 2)[:, None]
+    hashes = (cut.hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    before, after = cut.first[own][:, None] - 1 - step, cut.last[own][:, None] + step
+    some, more = window & (before >= text_first), window & (after < text_end)
+    before, after = np.maximum(before, 0), np.minimum(after, len(hashes) - 1)
+    up_to = np.where(after + 1 < text_end, cut.starts[np.minimum(after + 1, len(hashes) - 1)], cut.ends[after])
+    return [_lists(hashes[before], some), _lists(cut.starts[before], some), _lists(hashes[after], more), _lists(up_to, more)]
 
 
 def _places(shared):
@@ -142,6 +212,8 @@ def _places(shared):
         for batch in words.pieces(batches, limit=words.BLOCK):
             cut = Cut(batch)
             own = np.flatnonzero(_has(shared, cut.names))
+            if not len(own):
+                continue
             first, last = cut.first[own], cut.last[own]
             taken = batch.select(["doc_id", "text_id"]).take(pa.array(cut.row[own]))  # without the texts
             ends = last - cut.text_first[cut.row[own]]
@@ -151,8 +223,8 @@ def _places(shared):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words.signed(cut.names[own])), taken.column("doc_id"), taken.column("text_id"),
                  pa.array(cut.series[own], pa.int32()), pa.array(first - cut.text_first[cut.row[own]]), pa.array(ends),
-                 pa.array(cut.starts[first]), pa.array(high)],
-                ["name", "doc_id", "text_id", "series", "first", "last", "low", "high"])
+                 pa.array(cut.starts[first]), pa.array(high), *_around(cut, own)],
+                ["name", "doc_id", "text_id", "series", "first", "last", "low", "high", "before", "before_at", "after", "after_at"])
     return run
 
 
@@ -170,6 +242,24 @@ def _near(work: Workspace, docs: DataFrame, shared: DataFrame) -> DataFrame:
     return link_buckets(work, buckets, found.select("item", "members"), PERCENT, "near")
 
 
+def _in_common(a: str, b: str) -> Column:
+    """How many of the elements at the start of two arrays are equal."""
+    equal = F.zip_with(a, b, lambda x, y: x.eqNullSafe(y))
+    first = F.array_position(equal, False)
+    return F.when(first == 0, F.size(equal)).otherwise(first - 1).cast("int")
+
+
+def _extended(late: DataFrame) -> DataFrame:
+    """Late windows with all words before and after that stand at the first occurrence too, up to that occurrence."""
+    room = F.when(F.col("own"), F.greatest(F.col("first") - F.col("first_last"), F.lit(0))).otherwise(F.lit(SELECT))
+    late = late.withColumns({"_b": F.least(_in_common("before", "first_before"), room.cast("int")),
+                             "_a": _in_common("after", "first_after")})
+    return late.withColumns({
+        "low": F.when(F.col("_b") > 0, F.get("before_at", F.col("_b") - 1).cast("long")).otherwise(F.col("low")),
+        "high": F.when(F.col("_a") > 0, F.get("after_at", F.col("_a") - 1).cast("long")).otherwise(F.col("high")),
+        "first": F.col("first") - F.col("_b"), "last": F.col("last") + F.col("_a")})
+
+
 def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int = 16) -> DataFrame:
     """(doc_id, text_id, low, high, n_words, first_doc_id, component) of every passage to take out of `docs`.
 
@@ -177,8 +267,8 @@ def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int
     (component). The first occurrence, by doc_id and place, stays; of the others, those that touch or overlap in one
     text form a passage, and passages of `least_words` words or more are returned, if `least_stretch` words on end were
     first in one document (a few short common lines in a row are no passage). low and high are byte offsets in the
-    UTF-8 text, high at the next word. A passage of over 50 words that two texts share loses all but its first sentence,
-    which joins what stands before it; short repeated lines stay.
+    UTF-8 text, high at the next word. Of a run of 50 words or more that two texts share, the later one goes whole, however
+    many sentences it has; shorter ones go if they hold whole paragraphs. Short repeated lines stay.
 
     - Words are runs outside white space, A-Z lower-cased. Null, empty and blank texts have no paragraphs.
     - Rows with a null doc_id come last in order. Rows of one doc_id and one text (text_id, its hash) are one document.
@@ -192,18 +282,24 @@ def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int
     marks = work.keep(marks, "marks")
     repeated = marks.where("a = mark and b = mark").select(F.col("mark").alias("name"))
     near = work.keep(_near(work, docs, marks.where("a <> b").select("mark")), "near")
+    for name in ("band-rows", "found", "buckets"):
+        work.drop(name)
     classes = repeated.join(near.withColumnRenamed("item", "name"), "name", "full").select(
         "name", F.coalesce("component", "name").alias("component"))
     classes = work.keep(classes, "classes")
     places = docs.mapInArrow(_places(_filter(classes)), _PLACE).distinct()
     places = work.keep(places.join(classes, "name"), "places")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id", "first")
-    firsts = places.groupBy("component").agg(F.min(order).alias("o"), F.count("*").alias("k")).where("k > 1")
+    firsts = places.groupBy("component").agg(
+        F.min_by(F.struct("doc_id", "text_id", "first", "last", "before", "after"), order).alias("o"),
+        F.count("*").alias("k")).where("k > 1")
     firsts = firsts.select("component", F.col("o.doc_id").alias("first_doc_id"), F.col("o.text_id").alias("first_text"),
-                           F.col("o.first").alias("first_place"))
-    late = places.join(firsts, "component").where(
-        ~(F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_id") == F.col("first_text"))
-          & (F.col("first") == F.col("first_place"))))
+                           F.col("o.first").alias("first_place"), F.col("o.last").alias("first_last"),
+                           F.col("o.before").alias("first_before"), F.col("o.after").alias("first_after"))
+    late = places.join(firsts, "component").withColumn(
+        "own", F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_id") == F.col("first_text")))
+    # a window that overlaps its own first occurrence (words over and over) is part of it
+    late = _extended(late.where(~F.col("own") | (F.col("first") >= F.col("first_last"))))
     spans = late.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct(
         "first", "last", "low", "high", "first_doc_id", "component"))).alias("spans"))
     runs = spans.select("doc_id", "text_id", F.explode(_merged(F.col("spans"))).alias("run"))

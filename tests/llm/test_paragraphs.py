@@ -68,6 +68,29 @@ def test_empty_table(spark):
     assert paragraphs.without_passages(table(spark, [])).columns == table(spark, []).columns
 
 
+def words_of(rng, n):
+    return ["w%d" % rng.randrange(50_000) for _ in range(n)]
+
+
+def sentences_of(rng, n, ends):
+    out = words_of(rng, n)
+    for k in range(1, ends + 1):
+        out[k * n // (ends + 1) + rng.randrange(-3, 4)] += "."
+    return " ".join(out)
+
+
+def test_short_passages_go_whole_with_any_sentences(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for k in range(120):
+        passage = sentences_of(rng, rng.randrange(51, 81), k % 5)  # none to four sentence ends
+        fill = [" ".join(words_of(rng, 40)) for _ in range(4)]
+        rows += [(2 * k, f"{fill[0]} {passage} {fill[1]}"), (2 * k + 1, f"{fill[2]} {passage} {fill[3]}")]
+        want[2 * k], want[2 * k + 1] = rows[-2][1], f"{fill[2]} {fill[3]}"
+    out = {row.doc_id: row.text for row in paragraphs.without_passages(table(spark, rows)).collect()}
+    assert out == want
+
+
 def test_near_equal_passages_of_either_series_are_found(spark):
     rng = random.Random(12)
     rows = []
@@ -79,3 +102,10 @@ def test_near_equal_passages_of_either_series_are_found(spark):
         rows += [(2 * k + i, " ".join([prose(rng, 5), *p, prose(rng, 5)])) for i, p in enumerate((parts, changed))]
     found = {row.doc_id for row in paragraphs.repeated_passages(table(spark, rows)).collect()}
     assert not any(k % 2 == 0 for k in found) and len(found) >= 58
+
+
+def test_words_over_and_over_keep_their_first_occurrence(spark):
+    rows = [(1, "x " * 500), (2, "a b " * 300), (3, "before it " + "x " * 80 + "and after")]
+    out = {row.doc_id: row.text.split() for row in paragraphs.without_passages(table(spark, rows)).collect()}
+    assert 30 <= len(out[1]) and set(out[1]) == {"x"} and 30 <= len(out[2]) and set(out[2]) == {"a", "b"}
+    assert out[3] == "before it and after".split()
