@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by cosine: an NN-descent graph, and greedy search on it.
 
 Vectors that are equal up to their length are one node. The graph starts from random hyperplane blocks and is refined by
-joins of neighbours of neighbours: around each node, the vectors of its neighbours in both directions are brought
-together and compared with each other. A query walks the graph from its own node, a beam of the best nodes at a time.
+joins of neighbours of neighbours, until a round changes next to nothing: around each node, the vectors of its
+neighbours in both directions are brought together and compared with each other. A query walks the graph from its own
+node, a beam of the best nodes at a time, until all of the beam are expanded.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -20,10 +22,10 @@ from runweave.llm.store import Workspace
 
 #: Neighbours kept for a node, hyperplane divisions, and the size of a block in which all vectors are compared.
 DEGREE, DIVISIONS, BLOCK = 20, 6, 1500
-#: Rounds of neighbours of neighbours, and how many of its partners each vector proposes at most in a round's group.
-ROUNDS = 3
-#: Nodes that a query keeps and expands in a step, and the steps.
-BEAM, STEPS = 192, 4
+#: Rounds of neighbours of neighbours end when one changes no more than this share of the graph's edges.
+CHANGED = 0.01
+#: Nodes that a query keeps, all of which it expands.
+BEAM = 192
 #: Nodes and queries whose vectors a task of the search holds at once.
 NODES_AT_ONCE, QUERIES_AT_ONCE = 16_384, 2_048
 
@@ -121,31 +123,62 @@ def _best(edges: DataFrame, degree: int) -> DataFrame:
     return edges.groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("rank", rank).where(F.col("rank") <= degree)
 
 
-def _plane_bits(dimensions: int, bits: int, seed: int):
-    planes = np.random.default_rng(seed).normal(size=(dimensions, bits)).astype(np.float32)
+def _projected(dimensions: int, bits: int, more: int):
+    """For each division, the side of `bits` planes as a first block, and the places along `more` other directions."""
+    planes = [np.random.default_rng(100 + d).normal(size=(dimensions, bits + more)).astype(np.float32) for d in range(DIVISIONS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            side = (_matrix(batch.column("unit")) @ planes > 0) if batch.num_rows else np.zeros((0, bits), bool)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("unit"),
-                                              pa.array(side @ (1 << np.arange(bits)), pa.int64())], ["node", "unit", "code"])
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch.column("unit"))
+            for division, own in enumerate(planes):
+                at = x @ own
+                codes = (at[:, :bits] > 0) @ (1 << np.arange(bits))
+                places = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * more),
+                                                  pa.array(np.ascontiguousarray(at[:, bits:]).ravel()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), division, np.int32)), batch.column("node"), pa.array(codes, pa.int64()), places],
+                    ["division", "node", "block", "places"])
     return run
 
 
+def _blocks(work: Workspace, nodes: DataFrame, dimensions: int, bits: int) -> DataFrame:
+    """(node, block) of DIVISIONS divisions into blocks of at most about 2 * BLOCK nodes that lie close together.
+
+    A crowded block is halved at the median along a further direction, so nodes of a hot direction are told apart too.
+    """
+    more = 2 * bits + 8
+    blocks = work.keep(nodes.mapInArrow(_projected(dimensions, bits, more),
+                                        "division int, node long, block long, places array<float>"), "blocks-0")
+    for level in range(more):
+        place = F.get("places", F.lit(level))
+        crowded = blocks.groupBy("division", "block").agg(
+            F.count("*").alias("k"), F.percentile_approx(place, 0.5, 1000).alias("middle")).where(F.col("k") > 2 * BLOCK)
+        crowded = work.keep(crowded.select("division", "block", "middle"), f"crowded-{level}")
+        if not crowded.take(1):
+            break
+        half = F.when(F.col("middle").isNull(), F.col("block")).otherwise(F.xxhash64("block", place > F.col("middle")))
+        blocks = work.keep(blocks.join(crowded, ["division", "block"], "left").select(
+            "division", "node", half.alias("block"), "places"), f"blocks-{level + 1}")
+        work.drop(f"blocks-{level}")
+    # what no direction divides (places that are equal in float32) is dealt by the nodes' hashes
+    full = blocks.groupBy("division", "block").agg(F.count("*").alias("k"))
+    return blocks.join(full, ["division", "block"]).select("node", F.xxhash64("division", "block", F.pmod(
+        F.xxhash64("node", "division"), F.ceil(F.col("k") / (2 * BLOCK)))).alias("block"))
+
+
 def build_graph(work: Workspace, nodes: DataFrame, dimensions: int, count: int) -> DataFrame:
     """(a, b, sim): the approximate DEGREE nearest neighbours of every node."""
     bits = max(0, math.ceil(math.log2(max(1, count) / BLOCK)))
-    first = None
-    for division in range(DIVISIONS if bits else 1):
-        coded = nodes.mapInArrow(_plane_bits(dimensions, bits, 100 + division), "node long, unit binary, code long")
-        # a crowded side is split further by the nodes' hashes, so no block is larger than about BLOCK
-        full = coded.groupBy("code").agg(F.count("*").alias("k"))
-        blocks = coded.join(full, "code").select("node", "unit", F.xxhash64(
-            "code", F.pmod(F.xxhash64("node", F.lit(division)), F.ceil(F.col("k") / (2 * BLOCK)))).alias("block"))
-        found = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(_compare_block(DEGREE), EDGE)
-        first = found if first is None else first.union(found)
+    if bits:
+        blocks = _blocks(work, nodes, dimensions, bits).join(nodes, "node")
+    else:
+        blocks = nodes.withColumn("block", F.lit(0).cast("long"))
+    first = blocks.select("node", "unit", "block").repartition("block").sortWithinPartitions("block").mapInArrow(
+        _compare_block(DEGREE), EDGE)
     graph = work.keep(_best(first, DEGREE), "graph-0")
-    for k in range(1, ROUNDS + 1 if bits else 1):
+    for k in itertools.count(1) if bits else ():
         worst = graph.groupBy("a").agg(F.min("sim").alias("worst"), F.count("*").alias("n"))
         worst = worst.select(F.col("a").alias("member"), F.when(F.col("n") < DEGREE, F.lit(-2.0)).otherwise(F.col("worst")).cast("float").alias("worst"))
         around = graph.select(F.col("a").alias("centre"), F.col("b").alias("member"))
@@ -156,8 +189,12 @@ def build_graph(work: Workspace, nodes: DataFrame, dimensions: int, count: int)
         carried = nodes.select(F.col("node").alias("member"), "unit").join(worst, "member")
         around = around.join(carried, "member").repartition("centre").sortWithinPartitions("centre")
         found = around.mapInArrow(_compare_around(), EDGE)
-        graph = work.keep(_best(graph.select("a", "b", "sim").union(found), DEGREE), f"graph-{k}")
+        before, graph = graph, work.keep(_best(graph.select("a", "b", "sim").union(found), DEGREE), f"graph-{k}")
+        # edges are only replaced by better ones, so the rounds come to an end
+        new = graph.join(before.select("a", "b"), ["a", "b"], "left_anti").count()
         work.drop(f"graph-{k - 1}")
+        if new <= CHANGED * graph.count():
+            break
     return graph.select("a", "b", "sim")
 
 
@@ -208,16 +245,22 @@ def _measured(pairs: DataFrame, nodes: DataFrame, queries: DataFrame, node_parts
 
 def search_graph(work: Workspace, graph: DataFrame, nodes: DataFrame, queries: DataFrame, count: int,
                  beam: int = BEAM, keep: int = 24) -> DataFrame:
-    """(query, node): the best `keep` nodes of each query's beam; queries are nodes themselves and start where they are."""
+    """(query, node): the best `keep` nodes of each query's beam; queries are nodes themselves and start where they are.
+
+    A step expands all nodes of the beams that are not expanded yet; the search ends when no query has one left.
+    """
     links = work.keep(graph.select("a", "b").union(graph.select("b", "a")).distinct(), "links")
     node_parts = max(1, math.ceil(count / NODES_AT_ONCE))
     query_parts = max(1, math.ceil(queries.count() / QUERIES_AT_ONCE))
     seen = work.keep(queries.select(F.col("node").alias("query"), "node", F.lit(9.0).cast("float").alias("sim"),
                                     F.lit(False).alias("done")), "seen-0")
-    for k in range(1, STEPS + 2):
+    for k in itertools.count(1):
         rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("sim"), "node"))
         ranked = seen.withColumn("open", (rank <= beam + 1) & ~F.col("done"))
-        reached = ranked.where("open").select("query", F.col("node").alias("a")).join(links, "a").select(
+        opened = work.keep(ranked.where("open").select("query", "node"), f"opened-{k}")
+        if not opened.take(1):
+            break
+        reached = opened.select("query", F.col("node").alias("a")).join(links, "a").select(
             "query", F.col("b").alias("node")).distinct().join(seen, ["query", "node"], "left_anti")
         found = _measured(reached, nodes, queries, node_parts, query_parts)
         seen = work.keep(ranked.select("query", "node", "sim", (F.col("done") | F.col("open")).alias("done")).union(

@@ -3,6 +3,7 @@ import math
 import numpy as np
 
 from runweave.llm import neighbours
+from runweave.llm.store import Workspace
 
 SCHEMA = "vec_id long, embedding array<float>, node long, rank string"
 
@@ -62,3 +63,20 @@ def test_few_or_no_rows(spark):
     assert neighbours.nearest(table(spark, [(0, [1.0, 0.0])])).collect() == []
     rows = neighbours.nearest(table(spark, [(0, [1.0, 0.0]), (7, [1.0, 1.0]), (3, [-1.0, 0.0])])).collect()
     assert [(r.query_id, r.rank, r.vec_id) for r in sorted(rows, key=lambda r: r.rank)] == [(0, 1, 7), (0, 2, 3)]
+
+
+def test_graph_of_a_hot_direction(spark, monkeypatch):
+    for name, value in (("BLOCK", 10), ("DEGREE", 5), ("DIVISIONS", 2)):
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 8)) + 12 * np.eye(8)[0]  # all on one side of nearly every plane
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("<f4")
+    work = Workspace(spark, "test")
+    nodes = work.keep(spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in enumerate(x)], "node long, unit binary"), "nodes")
+    got = {}
+    for row in neighbours.build_graph(work, nodes, 8, len(x)).collect():
+        got.setdefault(row.a, set()).add(row.b)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -9)
+    want = np.argpartition(-sims, 4, axis=1)[:, :5]
+    assert np.mean([len(got[k] & set(want[k].tolist())) / 5 for k in range(len(x))]) >= 0.7
