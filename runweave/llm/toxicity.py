@@ -2,8 +2,8 @@
 
 A word is the mean of the embeddings of its character n-grams (3 to 5 bytes, word edges included) and of itself, hashed
 into buckets, so a misspelling that was never seen shares most of its parts with the word. Passages of up to PASSAGE
-words are the mean of their words; a linear softmax over that mean gives their probability. A document scores as its
-most toxic passage, so a few words in a long text are not thinned out.
+words, one from every half of that on, are the mean of their words; a linear softmax over that mean gives their
+probability. A document scores as its most toxic passage, so a few words in a long text are not thinned out.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ BUCKETS = 1 << 18
 WIDTH = 8
 GRAMS = (3, 4, 5)
 PASSAGE = 48
-#: Subwords whose share of the texts differs between the labels by fewer standard errors carry no weight.
-LEAST_EVIDENCE = 5.0
+#: Subwords whose share of the texts differs between the labels by fewer standard errors are pulled to zero harder.
+EVIDENCE = 5.0
 
 
 def spread(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,9 +51,16 @@ def gram_range(starts: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray
     return starts - 1, np.maximum(ends + 2 - n, starts - 1)
 
 
-def passages(n_words: int) -> np.ndarray:
-    """First words of the passages of a text; all are PASSAGE words long but the last, which may be half longer."""
-    return np.arange(0, max(1, n_words - PASSAGE // 2), PASSAGE)
+def word_buckets(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words themselves, and their buckets."""
+    names = words.span_hashes(buf, starts, ends)
+    return names, (names >> np.uint64(64 - 18)).astype(np.int32)
+
+
+def passages(n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and ends of the passages of a text: PASSAGE words from every half of that on, the last may be shorter."""
+    first = np.arange(0, max(1, n_words - PASSAGE // 2), PASSAGE // 2)
+    return first, np.minimum(first + PASSAGE, n_words)
 
 
 @dataclass
@@ -66,7 +73,7 @@ class Model:
     def word_parts(self, text: bytes) -> np.ndarray:
         """The log-odds that each word of a text adds to a passage of its own."""
         buf, starts, ends = spread(text)
-        total, count = np.zeros(len(starts)), np.zeros(len(starts))
+        total, count = self.parts[word_buckets(buf, starts, ends)[1]], np.ones(len(starts))
         for n, bucket in gram_buckets(buf):
             sums = np.concatenate([[0.0], np.cumsum(self.parts[bucket])])
             low, high = gram_range(starts, ends, n)
@@ -81,9 +88,9 @@ class Model:
             for low, high in words.stretches(data):
                 word = self.word_parts(data[low:high])
                 if len(word):
-                    first = passages(len(word))
-                    mean = np.add.reduceat(word, first) / np.diff(np.append(first, len(word)))
-                    best = max(best, float(mean.max()))
+                    first, end = passages(len(word))
+                    sums = np.concatenate([[0.0], np.cumsum(word)])
+                    best = max(best, float(((sums[end] - sums[first]) / (end - first)).max()))
             if best > -np.inf:
                 out[k] = 1 / (1 + np.exp(-np.clip(self.base + best, -50, 50)))
         return out
@@ -94,42 +101,50 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
 
     First all passages carry their text's label, then the most toxic passage of each text does. Each embedding's step is
     divided by its curvature, and `prior` texts' worth of curvature pulls it to zero, so a subword counts for as much as
-    the number of texts that speak for it.
+    the number of texts that speak for it. All subwords of the sample are trained; of one whose share differs between the
+    labels by z < EVIDENCE standard errors, the prior is (EVIDENCE / z) ** 2 times as strong, which is never a bar.
     """
     if len({y for _, y in sample}) < 2:
         return Model(np.zeros(BUCKETS), -4.0)
     kinds: dict[int, int] = {}
-    features, token_kind, token_passage, passage_text = [], [], [], []
+    features, sizes, token_kind, token_passage, passage_text = [], [], [], [], []
     texts_with = np.zeros((2, BUCKETS))
     for k, (text, label) in enumerate(sample):
         buf, starts, ends = spread(text.lower().encode())
         if not len(starts):
             continue
-        names = words.span_hashes(buf, starts, ends).tolist()
+        names, whole = word_buckets(buf, starts, ends)
+        names = names.tolist()
         new = [at for at, name in enumerate(names) if name not in kinds and kinds.setdefault(name, len(kinds)) >= 0]
-        grams, own = list(gram_buckets(buf)), []
-        for n, bucket in grams:
+        own, held = [], [whole]
+        for n, bucket in gram_buckets(buf):
             low, high = gram_range(starts, ends, n)
+            inside = np.zeros(len(bucket) + 1, np.int32)
+            np.add.at(inside, low, 1)
+            np.add.at(inside, high, -1)
+            held.append(bucket[np.cumsum(inside[:-1]) > 0])
+            low, high = gram_range(starts[new], ends[new], n)
             own.append([bucket[i:j] for i, j in zip(low, high)])
-        features += [np.concatenate([column[at] for column in own]) for at in new]
-        texts_with[label, np.unique(np.concatenate([part for column in own for part in column]))] += 1
-        first = passages(len(starts))
-        token_kind.append(np.array([kinds[name] for name in names]))
-        token_passage.append(len(passage_text) + np.searchsorted(first, np.arange(len(names)), side="right") - 1)
+        texts_with[label, np.unique(np.concatenate(held))] += 1
+        parts = [np.concatenate([whole[at:at + 1], *(column[i] for column in own)]) for i, at in enumerate(new)]
+        sizes += map(len, parts)
+        features += [np.concatenate(parts)] if parts else []  # one array a text
+        first, end = passages(len(starts))
+        spot = np.repeat(first - np.cumsum(end - first) + (end - first), end - first) + np.arange((end - first).sum())
+        token_kind.append(np.array([kinds[name] for name in names], np.int32)[spot])
+        token_passage.append(np.repeat(np.arange(len(first), dtype=np.int32) + len(passage_text), end - first))
         passage_text += [k] * len(first)
-    n = np.bincount([label for _, label in sample], minlength=2)[:, None]
-    all_ = texts_with.sum(0) / n.sum()
-    error = np.sqrt(all_ * (1 - all_) * (1 / n).sum()) + 1e-12
-    used = np.flatnonzero(np.abs(texts_with[1] / n[1] - texts_with[0] / n[0]) >= LEAST_EVIDENCE * error)
-    used = used[texts_with[:, used].sum(0) > 0]
-    if not len(used):
-        return Model(np.zeros(BUCKETS), float(np.log(n[1, 0] / n[0, 0])))
-    seat = np.full(BUCKETS, len(used), np.int32)
-    seat[used] = np.arange(len(used))
-    sizes = np.array([len(f) for f in features])
-    bucket = seat[np.concatenate(features)]
-    kind = np.repeat(np.arange(len(features), dtype=np.int32), sizes)
-    bucket, kind = bucket[bucket < len(used)], kind[bucket < len(used)]  # the others count in a word's size alone
+    n = np.bincount([label for _, label in sample], minlength=2)
+    if not features:
+        return Model(np.zeros(BUCKETS), float(np.log(n[1] / n[0])))
+    used, bucket = np.unique(np.concatenate(features), return_inverse=True)
+    shares = texts_with[:, used] / n[:, None]
+    both = texts_with[:, used].sum(0) / n.sum()
+    error = np.sqrt(both * (1 - both) * (1 / n).sum()) + 1e-12
+    seen = np.maximum(np.abs(shares[1] - shares[0]) / error, 1e-3)
+    pull = prior * np.maximum(1.0, EVIDENCE / seen) ** 2
+    bucket, sizes = bucket.astype(np.int32), np.array(sizes)
+    kind = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     del features
     token_kind, token_passage = np.concatenate(token_kind), np.concatenate(token_passage)
     passage_text = np.array(passage_text)
@@ -164,7 +179,7 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
         to_kind /= sizes[:, None]
         slope = np.stack([np.bincount(bucket, to_kind[kind, d], len(used)) for d in range(WIDTH)], 1)
         norm = float(((w[:, 1] - w[:, 0]) ** 2).sum()) / 2
-        slope = (slope / norm + prior * one * e) / (curve + prior * one)[:, None]
+        slope = (slope / norm + pull[:, None] * one * e) / (curve + pull * one)[:, None]
         for k, (value, step) in enumerate(((e, rate * slope), (w, 0.01 * mean.T @ error), (b, 0.2 * error.sum(0)))):
             speed[k] = 0.9 * speed[k] - step
             value += speed[k]

@@ -66,6 +66,28 @@ def test_misspellings_share_subwords(spark, tables):
     assert seen > 0.7 and unseen > 0.7 > model.scores([clean])[0]
 
 
+def test_few_labels_and_rare_words_are_learned():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice(["ta", "re", "mi", "lo", "sen", "du", "ka"]) for _ in range(rng.randrange(1, 4)))
+    text = lambda *more: " ".join([word() for _ in range(30)] + list(more))
+    few = toxicity.fit([(text("blockhead"), 1) for _ in range(12)] + [(text(), 0) for _ in range(12)])
+    assert few.scores([text("blockhead")])[0] > few.scores([text()])[0]
+    rude = ["%s%s" % (a, b) for a in ("zog", "vix", "quap", "brof") for b in ("ny", "hup", "wix", "gly", "fev", "pob")]
+    sample = [(text(rude[k % 24]), 1) for k in range(240)] + [(text(), 0) for _ in range(240)]  # each word in 4 % of a label
+    rare = toxicity.fit(sample)
+    toxic, clean = rare.scores([text(w) for w in rude]), rare.scores([text() for _ in range(24)])
+    assert toxic.min() > clean.max()
+
+
+def test_words_themselves_and_every_half_passage_count():
+    model = toxicity.Model(np.zeros(toxicity.BUCKETS), -4.0)
+    buf, starts, ends = toxicity.spread(b"nitwit")
+    model.parts[toxicity.word_buckets(buf, starts, ends)[1]] = 2000.0
+    around = ["a"] * 43 + ["nitwit"] * 10 + ["a"] * 43  # across the end of the first 48 words
+    alone = ["a"] * 10 + ["nitwit"] * 10 + ["a"] * 28
+    assert model.scores([" ".join(around)])[0] == pytest.approx(model.scores([" ".join(alone)])[0])
+
+
 def test_quality(spark, tables):
     docs, labels = tables
     result = line_quality.quality(docs, labels).cache()
