@@ -30,8 +30,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose sources, languages and topics have slightly tempered shares of the tokens."""
-    return mixing.mixed(docs, power=0.9).where("kept").select(COLUMNS)
+    """A sample of three quarters of the tokens whose sources, languages and topics have slightly tempered shares."""
+    return mixing.mixed(docs, power=0.9, kept_share=0.75).where("kept").select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

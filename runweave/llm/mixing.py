@@ -7,6 +7,8 @@ in proportion to their cell's raked weight over its tokens, drawn by a hash of t
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,18 +81,48 @@ def rake(work: Workspace, cells: DataFrame, targets: dict[str, DataFrame], round
     return raked
 
 
+def within_budget(work: Workspace, cells: DataFrame, targets: dict[str, DataFrame], kept_share: float) -> DataFrame:
+    """(source, lang, topic, tokens, _p): probabilities that keep `kept_share` of the tokens, with the target shares.
+
+    Cells that would have to give more tokens than they hold are kept whole, and the others are raked again to what is
+    left of the targets, until no more cells are whole. So a stray scarce cell takes nothing from the others. If a level
+    is kept whole and still short of its target, the other levels share what it lacks.
+    """
+    budget = kept_share * (cells.agg(F.sum("tokens")).first()[0] or 0)
+    free, whole = cells, work.keep(cells.limit(0), "whole-0")
+    for k in itertools.count(1):
+        rest = budget - (whole.agg(F.sum("tokens")).first()[0] or 0)
+        left = {}
+        for d, target in targets.items():
+            own = whole.groupBy(F.col(d).alias("level")).agg(F.sum("tokens").alias("own"))
+            amount = F.greatest(F.col("share") * F.lit(budget) - F.coalesce("own", F.lit(0)), F.lit(0.0))
+            now = target.join(own, "level", "left").join(free.select(F.col(d).alias("level")).distinct(), "level", "left_semi")
+            now = work.keep(now.select("level", amount.alias("share")), f"left-{d}-{k}")
+            left[d] = now.withColumn("share", F.col("share") / F.lit(now.agg(F.sum("share")).first()[0] or 1.0))
+        raked = rake(Workspace(work.spark, "mixing-rest"), free, left)
+        raked = raked.withColumn("_p", F.col("weight") * F.lit(rest) / F.col("tokens")).drop("weight")
+        raked = work.keep(raked, f"free-{k}")
+        over = raked.where("_p > 1").drop("_p")
+        if not over.take(1):
+            return raked.union(whole.withColumn("_p", F.lit(1.0)))
+        whole = work.keep(whole.union(over), f"whole-{k}")
+        free = work.keep(raked.where("_p <= 1").drop("_p"), f"rest-{k}")
+
+
 def draw(doc_id: Column) -> Column:
     """A number from 0 to below 1 that depends on the id alone; a null id counts as empty text."""
     digest = F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
 
 
-def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.5) -> DataFrame:
+def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: float = 0.5,
+          kept_share: float | None = None) -> DataFrame:
     """`docs` with the columns topic, keep_probability and kept added (equal names are replaced).
 
     `targets`: for each dimension a table (level, share); left out, tempered shares of the tokens that there are. The
     cell that is scarcest against its target keeps all of its documents, the others in proportion, so the kept tokens
-    have the target shares in expectation.
+    have the target shares in expectation. With `kept_share` (above 0, up to 1) that share of the tokens is kept in
+    expectation instead, and cells too scarce for their targets are kept whole (within_budget).
 
     - Null sources and languages are the level (none); null and blank texts have no tokens. Cells without tokens, and
       levels without a target, have probability 0.
@@ -99,9 +131,13 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, power: f
     work = Workspace(docs.sparkSession, "mixing")
     cells = work.keep(cells_of(docs), "cells")
     targets = targets or {d: work.keep(tempered(cells, d, power), f"target-{d}") for d in DIMENSIONS}
-    raked = rake(work, cells, targets).withColumn("ratio", F.col("weight") / F.col("tokens"))
-    most = raked.agg(F.max("ratio")).first()[0] or 1.0
-    kept = raked.select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), (F.col("ratio") / F.lit(most)).alias("_p"))
+    if kept_share is None:
+        raked = rake(work, cells, targets).withColumn("ratio", F.col("weight") / F.col("tokens"))
+        most = raked.agg(F.max("ratio")).first()[0] or 1.0
+        kept = raked.withColumn("_p", F.col("ratio") / F.lit(most))
+    else:
+        kept = within_budget(work, cells, targets, kept_share)
+    kept = kept.select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), "_p")
     rows = with_levels(docs).join(kept, [f"_{d}" for d in DIMENSIONS], "left")
     rows = rows.withColumns({"topic": F.col("_topic"), "keep_probability": F.coalesce("_p", F.lit(0.0))})
     rows = rows.withColumn("kept", draw(F.col("doc_id")) < F.col("keep_probability"))

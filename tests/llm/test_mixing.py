@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from runweave.llm import mixing
 from runweave.llm.store import Workspace
 
@@ -55,3 +56,22 @@ def test_no_targets_no_tokens_no_rows(spark):
 def test_plan_is_native(spark):
     plan = mixing.mixed(spark.createDataFrame(rows(30), SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_stray_document_takes_nothing_from_the_others(spark, monkeypatch):
+    rng = random.Random(7)
+    docs = [(k, "word " * rng.randrange(200, 400), rng.choice(["en", "de", "fr"]), "s%d" % max(0, rng.randrange(-6, 12)), "x", 1)
+            for k in range(2000)]
+    seen = []
+    monkeypatch.setattr(corpus_pipeline.mixing, "mixed", lambda *a, run=mixing.mixed, **k: seen.append(run(*a, **k)) or seen[-1])
+    for rows in (docs, docs + [(5000, "word " * 30, "en", "stray", "x", 1)]):
+        table = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "text", "lang", "source", "1L as n_chars")
+        corpus_pipeline.mix_sources(spark, table, "")
+        found = seen[-1].collect()
+        size = {r.doc_id: len(r.text.split()) for r in found}
+        kept = {r.doc_id: r.keep_probability * size[r.doc_id] for r in found}
+        assert sum(kept.values()) / sum(size.values()) == pytest.approx(0.75, abs=1e-3)
+        power = lambda s: sum(size[r.doc_id] for r in found if r.source == s) ** 0.9  # noqa: E731,B023
+        of = lambda s: sum(kept[r.doc_id] for r in found if r.source == s)  # noqa: E731,B023
+        assert of("s0") / of("s1") == pytest.approx(power("s0") / power("s1"), rel=1e-2)
+    assert kept[5000] == pytest.approx(30)
