@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runweave.llm import (
     line_quality, mixing, near_dups, neighbours, packing, paragraphs, quality_rules, sequences, toxicity, url_rules,
+    vector_codes,
 )
 from runweave.llm.encoding import vocabulary
 
@@ -171,3 +172,38 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_nn_descent")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def _vector_codes_sql(rounds: int = 2) -> str:
+    steps = ["""v AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS r,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             """p AS MATERIALIZED (
+  SELECT r, part, e[part * len(e) // 16 + 1:(part + 1) * len(e) // 16] AS x FROM v, (SELECT unnest(range(16)) AS part))""",
+             "c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS y FROM p WHERE r <= 64)"]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT part, r, any_value(x) AS x, min((far, entry)) AS best FROM (
+    SELECT part, r, entry, x, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))::BIGINT AS far
+    FROM p JOIN c{k} USING (part)) GROUP BY part, r)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (
+  SELECT part, entry, list(mean ORDER BY i) AS y FROM (
+    SELECT part, best[2] AS entry, i, floor(sum(x[i]) / count(*))::BIGINT AS mean
+    FROM (SELECT part, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY ALL) GROUP BY part, entry),
+c{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{k}.y, c{k}.y) AS y FROM c{k} LEFT JOIN m{k} USING (part, entry))""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS (
+  SELECT r, string_agg(lower(right('0' || to_hex(best[2]), 2)), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+  FROM a{rounds} GROUP BY r),
+books AS (
+  SELECT sha256(string_agg(y[i]::VARCHAR, ',' ORDER BY part, entry, i)) AS codebooks_sha256
+  FROM (SELECT part, entry, y, unnest(range(1, len(y) + 1)) AS i FROM c{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM v JOIN coded USING (r), books"""
+
+
+@query("op11_vector_codes", _vector_codes_sql())
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
