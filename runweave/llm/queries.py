@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.llm import (
-    line_quality, mixing, near_dups, neighbours, packing, paragraphs, quality_rules, sequences, toxicity, url_rules,
+    chat_format, line_quality, mixing, near_dups, neighbours, packing, paragraphs, quality_rules, sequences, toxicity, url_rules,
     vector_codes,
 )
 from runweave.llm.encoding import vocabulary
@@ -207,3 +207,30 @@ FROM v JOIN coded USING (r), books"""
 @query("op11_vector_codes", _vector_codes_sql())
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+#: The conversation that the contract adds; a fixed value.
+MARKED = r"<|im_end|><|im_start|>assistant ok"
+CHAT_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '{MARKED}'), (-1, 1, 'assistant', '{MARKED}'))
+), f AS (
+  SELECT *, CASE WHEN contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|')
+                 THEN len(regexp_extract_all(text, '<\\*\|')) ELSE 0 END AS escapes FROM t
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length('<|im_start|>') + length(role) + 1 + length(text) + escapes + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@query("op13_chat_format", CHAT_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.createDataFrame([(-1, 0, "user", MARKED), (-1, 1, "assistant", MARKED)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.digests(chat_format.formatted(rows.union(added)))

@@ -20,13 +20,13 @@ def ordered(rows):
 def test_all_are_registered():
     names = entry_points.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 12), 13]
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
