@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.llm import (
-    chat_format, line_quality, mixing, near_dups, neighbours, packing, paragraphs, quality_rules, sequences, toxicity, url_rules,
+    chat_format, filter_audit, line_quality, mixing, near_dups, neighbours, packing, paragraphs, quality_rules, sequences, toxicity, url_rules,
     vector_codes,
 )
 from runweave.llm.encoding import vocabulary
@@ -234,3 +234,43 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat_format.digests(chat_format.formatted(rows.union(added)))
+
+
+AUDIT_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {SQL_WORDS.format(text="coalesce(text, '')")} AS words
+  FROM documents
+), f AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+         (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * (doc_id > min(doc_id) OVER (PARTITION BY text))::INT AS failed
+  FROM d LEFT JOIN labels USING (doc_id)
+), g AS MATERIALIZED (SELECT part, failed, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+o AS (
+  SELECT a || b || c || d || e AS filter_order, unnest(range(1, 6)) AS step
+  FROM (SELECT unnest(string_split('ABCDE', '')) AS a), (SELECT unnest(string_split('ABCDE', '')) AS b),
+       (SELECT unnest(string_split('ABCDE', '')) AS c), (SELECT unnest(string_split('ABCDE', '')) AS d),
+       (SELECT unnest(string_split('ABCDE', '')) AS e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5
+), s AS MATERIALIZED (
+  SELECT filter_order, step, (1 << (strpos('ABCDE', filter_order[step]) - 1))::INT AS bit,
+         coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (strpos('ABCDE', filter_order[i]) - 1))), 0)::INT AS before FROM o
+), r AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (WHERE failed & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE failed & bit > 0 AND failed & before = 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE failed & bit > 0 AND failed & before > 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE failed = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n) FILTER (WHERE failed & bit > 0 AND failed & before = 0 AND good), 0)::BIGINT AS good_lost,
+         coalesce(sum(n) FILTER (WHERE failed & bit > 0 AND failed & before = 0 AND toxic), 0)::BIGINT AS toxic_lost
+  FROM g, s GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM r
+"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
