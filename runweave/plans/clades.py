@@ -14,7 +14,7 @@ from runweave.operators.joins import left_join_default
 from runweave.operators.topk import first_match, top1_per_group
 from runweave.plans.result import Result
 from runweave.sources.delimited import (
-    cell, column_index, compute_once, has_columns, header_names, parse_delimited, read_headerless, row_at,
+    cell, column_index, compute_once, has_columns, header_names, headerless_rows, row_at,
 )
 from runweave.sources.tables import RunTables
 from runweave.sources.task_log import process_dirs
@@ -26,11 +26,11 @@ _NEEDED = ("seqName", "clade", "alignmentScore")
 
 def dataset_versions(tables: RunTables) -> Result:
     """(run, pos, dataset columns): the table the task log points to, else the published one."""
-    linked = tables.read("linked_datasets")
+    linked = tables.parsed("linked_datasets")
     present = linked.where("problem is null")
-    published = tables.read("dataset_versions").join(present.select("run").distinct(), "run", "left_anti")
+    published = tables.parsed("dataset_versions").join(present.select("run").distinct(), "run", "left_anti")
     used = present.unionByName(published)
-    rows = read_headerless(used.where("problem is null"), ",", _DATASET_COLUMNS)
+    rows = headerless_rows(used.where("problem is null"), _DATASET_COLUMNS)
     rows = rows.where("nextclade_filename is not null").select("run", "pos", *_DATASET_COLUMNS)
 
     def found() -> list[DataFrame]:
@@ -71,7 +71,7 @@ def dataset_versions(tables: RunTables) -> Result:
 
 
 def _parsed(tables: RunTables) -> DataFrame:
-    return parse_delimited(tables.read("clades"), "\t")
+    return tables.parsed("clades")
 
 
 def _with_best_record(files: DataFrame, ha_only: bool) -> DataFrame:

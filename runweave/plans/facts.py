@@ -14,7 +14,7 @@ from runweave.operators.events import check_events, events
 from runweave.operators.pivot import pivot_last_wins
 from runweave.plans.result import Result
 from runweave.sources.delimited import (
-    cell, compute_once, first_row, has_columns, parse_delimited, parse_headerless,
+    cell, compute_once, first_row, has_columns,
 )
 from runweave.sources.fasta import read_fasta
 from runweave.sources.tables import RunTables
@@ -28,8 +28,8 @@ def _stem(suffix: str):
 
 def mapped_reads(tables: RunTables) -> Result:
     """(run, sample, {segment}_reads_mapped, {segment}_seq_length) from files of exactly two lines."""
-    texts = tables.read("idxstats").where(F.startswith("name", F.col("folder")))
-    parsed = parse_headerless(texts, "\t").withColumnRenamed("folder", "sample")
+    texts = tables.parsed("idxstats").where(F.startswith("name", F.col("folder")))
+    parsed = texts.withColumnRenamed("folder", "sample")
     first = F.get("records", F.lit(0))
     files = compute_once(
         parsed, ("records",), n_rows=F.size("records"), width=F.size(first),
@@ -82,8 +82,8 @@ def tree_pass() -> dict:
 
 def cleavage_sites(tables: RunTables) -> Result:
     """(run, sample, HPAI_cleave_start, HPAI_cleave_end, HPAI_cleavage_site_motif) of the first row."""
-    texts = tables.read("cleavage").where(F.col("name") == F.concat("folder", F.lit(".cleavage.tsv")))
-    files = first_row(parse_delimited(texts, "\t")).withColumnRenamed("folder", "sample")
+    parsed = tables.parsed("cleavage").where(F.col("name") == F.concat("folder", F.lit(".cleavage.tsv")))
+    files = first_row(parsed).withColumnRenamed("folder", "sample")
     motif, title = "Cleavage Sequence", "Cleavage Site Sequence Header"
     has_motif = has_columns(motif)
     span = F.when(has_motif, range_of(cell(title), RANGE_IN_HEADER))
@@ -106,8 +106,7 @@ def cleavage_sites(tables: RunTables) -> Result:
 def genotypes(tables: RunTables) -> Result:
     """(run, sample, GenoFLU_Genotype, GenoFLU_{segment}) of the first row."""
     listed = "Genotype List Used, >=98.0%"
-    texts = tables.read("genotype").withColumn("sample", _stem(".genoflu.tsv"))
-    files = first_row(parse_delimited(texts, "\t")).withColumn(
+    files = first_row(tables.parsed("genotype").withColumn("sample", _stem(".genoflu.tsv"))).withColumn(
         "list", F.when(has_columns("Genotype"), cell(listed))
     )
     files = compute_once(files, pairs=kv_list(F.col("list"), {"MP": "M"}))

@@ -9,7 +9,7 @@ from runweave.functions.text import na_to_null
 from runweave.operators.align import map_columns, shown_names, widen_maps
 from runweave.operators.events import check_events, reject_events
 from runweave.plans.result import Result
-from runweave.sources.delimited import first_row, header_names, parse_delimited
+from runweave.sources.delimited import first_row, header_names
 from runweave.sources.tables import RunTables
 
 _SUFFIX = "_mixtures.csv"
@@ -17,7 +17,7 @@ _TAKEN = ["run", "path", "FastQID"]
 
 
 def _files(tables: RunTables) -> DataFrame:
-    return first_row(parse_delimited(tables.read("mixtures"), ",")).withColumn(
+    return first_row(tables.parsed("mixtures")).withColumn(
         "sample", F.expr(f"left(name, length(name) - {len(_SUFFIX)})")
     )
 

@@ -11,7 +11,7 @@ from runweave.functions.text import path_component
 from runweave.operators.events import events
 from runweave.operators.guards import exactly_one
 from runweave.plans.result import Result
-from runweave.sources.delimited import cell, delimited_rows, has_columns, parse_delimited
+from runweave.sources.delimited import cell, delimited_rows, has_columns
 from runweave.sources.tables import RunTables
 
 
@@ -31,7 +31,7 @@ def fastq_samples(tables: RunTables) -> DataFrame:
 def sheet_samples(tables: RunTables) -> Result:
     """(run, sample, roster_pos) of the start sheet of runs that have exactly one."""
     listed = exactly_one(tables.files("start_sheet"), ["run"], "path", roster=tables.runs)
-    parsed = parse_delimited(tables.read("start_sheet"), ",").withColumn(
+    parsed = tables.parsed("start_sheet").withColumn(
         "problem", F.coalesce("problem", F.when(~has_columns("ID"), "no ID column"))
     )
     used = parsed.join(listed.where("reason = 'one'").select("run"), "run", "left_semi")

@@ -8,32 +8,31 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.operators.events import EVENT_SCHEMA
+from runweave.sources import landings
 
 
 def write_table(df: DataFrame, path: str, run: str = "run", runs: DataFrame | None = None) -> int:
-    """Parquet by run; only the runs at hand are replaced, and large runs get several files.
+    """A table that is read with `read_table`; the runs at hand are replaced, all at once.
 
-    `runs` (run): the runs at hand; those of them that have no rows any more lose their old ones. Returns the number of
-    rows, counted on the way.
+    `runs` (run): the runs at hand; those of them that have no rows any more lose their old ones. By default the runs
+    that have rows. Returns the number of rows, which the written files know.
     """
-    spark, counted = df.sparkSession, Observation()
-    (df.hint("rebalance", run).observe(counted, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path))
-    rows = counted.get["rows"]
-    if runs is not None:
-        drop_runs(spark, path, run, runs.select("run").join(
-            df.select(F.col(run).alias("run")).distinct(), "run", "left_anti"))
-    return rows
-
-
-def drop_runs(spark: SparkSession, path: str, column: str, gone: DataFrame) -> None:
-    """Removes the partitions of the runs in `gone`, one after the other; runs without a partition are passed over."""
-    jvm = spark.sparkContext._jvm
-    named = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    top = jvm.org.apache.hadoop.fs.Path(path)
-    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for row in gone.distinct().toLocalIterator():
-        files.delete(jvm.org.apache.hadoop.fs.Path(top, named(column, row[0])), True)
+    spark, landing = df.sparkSession, landings.new_landing()
+    landings.write(df, path, "rows", landing, (run,))
+    written = spark.read.schema(df.schema).parquet(f"{path}/rows/landing={landing}")
+    landings.commit((written.select(F.col(run).alias("run")) if runs is None else runs).select("run"), path, landing)
+    return written.count()
+
+
+def read_table(spark: SparkSession, path: str, run: str = "run", schema: str | None = None) -> DataFrame:
+    """The rows that `write_table` last wrote for each run, as of now."""
+    return landings.rows_of(landings.current(spark, path), path, "rows", schema, run)
+
+
+def tidy_table(spark: SparkSession, path: str, run: str = "run", keep_seconds: float = 86_400) -> list[str]:
+    """Joins the landings of a table and removes those that nobody has read for `keep_seconds`; returns their names."""
+    landings.compact(spark, path, {"rows": None}, run)
+    return landings.vacuum(spark, path, ["rows"], keep_seconds)
 
 
 def write_text(

@@ -14,7 +14,7 @@ from runweave.operators.joins import left_join_default
 from runweave.operators.pivot import first_failing_stage, membership_matrix
 from runweave.plans.result import Result
 from runweave.plans.roster import fastq_samples, sheet_samples
-from runweave.sources.delimited import cell, delimited_rows, has_columns, parse_delimited
+from runweave.sources.delimited import cell, delimited_rows, has_columns
 from runweave.sources.tables import RunTables
 
 _KEY = ["run", "sample"]
@@ -27,7 +27,7 @@ _SHEET_NAME = r"(?:^|_)([^_]*)_output_samplesheet\.csv$"
 def stage_facts(tables: RunTables) -> DataFrame:
     """(run, sample, stage, passed) for every artefact of the file stages."""
     name, source = F.col("name"), F.col("source")
-    listed = tables.listing.where(source.isin(*(s for s in STAGE_CODES if s != "mixture"))).select(
+    listed = tables.files(*(s for s in STAGE_CODES if s != "mixture")).select(
         "run",
         F.when(source.isin(*_WHOLE_NAME), name).otherwise(token_at(name, ".", 0)).alias("sample"),
         source.alias("stage"),
@@ -55,7 +55,7 @@ def file_status(tables: RunTables, roster: DataFrame) -> Result:
 
 def pipeline_sheets(tables: RunTables) -> Result:
     """(run, sample, pipeline) of the output sheets of the other pipelines."""
-    parsed = parse_delimited(tables.read("output_sheet"), ",").withColumn(
+    parsed = tables.parsed("output_sheet").withColumn(
         "problem", F.coalesce("problem", F.when(~has_columns("ID"), "no ID column"))
     ).withColumn("pipeline", F.regexp_extract("name", _SHEET_NAME, 1))
     named = parsed.where("pipeline <> ''")

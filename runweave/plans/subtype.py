@@ -8,7 +8,7 @@ from runweave.functions.text import joined_text, prefixed_int
 from runweave.operators.events import events
 from runweave.operators.topk import pick_rows
 from runweave.plans.result import Result
-from runweave.sources.delimited import cell, delimited_rows, parse_delimited
+from runweave.sources.delimited import cell, delimited_rows
 from runweave.sources.tables import RunTables
 
 _NEEDED = ("sample", "Genotype", "H_type", "N_type")
@@ -18,7 +18,7 @@ def subtypes(tables: RunTables) -> Result:
     """(run, sample, HA_subtype, NA_subtype, subtype); the first column of the file is its index."""
     columns = F.slice("header", F.lit(2), F.greatest(F.size("header") - 1, F.lit(0)))
     lacking = F.size(F.array_intersect(columns, F.array(*map(F.lit, _NEEDED)))) < len(_NEEDED)
-    parsed = parse_delimited(tables.read("subtype"), ",").withColumn(
+    parsed = tables.parsed("subtype").withColumn(
         "problem", F.coalesce("problem", F.when(lacking, "column missing"))
     )
     rows = delimited_rows(parsed).select(

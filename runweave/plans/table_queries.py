@@ -537,25 +537,29 @@ _CSV_TEXT = f"""
 
 @query("c32_delimited_shape", """
     SELECT doc_id, CASE WHEN lang = 'de' THEN 'unclosed quote' WHEN lang = 'fr' THEN 'ragged' END AS problem,
-           CAST(3 AS BIGINT) AS n_columns FROM documents""")
+           CAST(2 AS BIGINT) AS n_columns,
+           CASE WHEN lang NOT IN ('de', 'fr') THEN CAST(len(string_split(text, chr(10))) AS BIGINT) END AS n_records
+    FROM documents""")
 def delimited_shape(spark, sf_dir):
+    # each line of a text is a quoted cell of its own record
+    quoted = F.transform(F.split("text", "\n"), lambda line: F.concat(
+        F.lit('"'), F.replace(line, F.lit('"'), F.lit('""')), F.lit('",x')))
     end = F.when(F.col("lang") == "de", '\n1,"open,2').when(F.col("lang") == "fr", '\n1,2,"3","4"').otherwise("")
-    texts = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.expr(_CSV_TEXT), end).alias("content"))
-    return parse_delimited(texts, ",").select("doc_id", "problem", F.size("header").cast("bigint").alias("n_columns"))
+    texts = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit("line,size\n"), F.array_join(quoted, "\n"), end).alias("content"))
+    return parse_delimited(texts, ",").select(
+        "doc_id", "problem", F.size("header").cast("bigint").alias("n_columns"),
+        F.when(F.col("problem").isNull(), F.size("records")).cast("bigint").alias("n_records"))
 
 
 @query("c33_delimited_rows", """
-    SELECT doc_id, CAST(0 AS BIGINT) AS pos, CAST(doc_id AS VARCHAR) AS id, left(text, 400) || ' say "hi", ' || lang AS text,
+    SELECT doc_id, CAST(0 AS BIGINT) AS pos, CAST(doc_id AS VARCHAR) AS id, text || ' say "hi", ' || lang AS text,
            '5" x' AS size FROM documents
     UNION ALL SELECT doc_id, 1, CAST(doc_id AS VARCHAR), NULL, source || '"s' FROM documents""")
 def delimited_values(spark, sf_dir):
-    tail = F.concat(F.lit(' say "hi", '), "lang")
-    texts = table(spark, sf_dir, "documents").select("doc_id", tail.alias("tail"), F.expr(_CSV_TEXT).alias("content"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.expr(_CSV_TEXT).alias("content"))
     rows = delimited_rows(parse_delimited(texts, ","))
-    # whole texts are parsed; of the cell, the SQL shows the first 400 characters of the text and what follows the text
-    whole, behind = cell("text"), F.length("tail")
-    shown = F.concat(F.left(whole, F.least(F.lit(400), F.length(whole) - behind)), F.right(whole, behind))
-    return rows.select("doc_id", "pos", cell("id").alias("id"), shown.alias("text"), cell("size").alias("size"))
+    return rows.select("doc_id", "pos", *(cell(name).alias(name) for name in ("id", "text", "size")))
 
 
 @query("c34_fasta_records", """

@@ -16,6 +16,7 @@ from runweave.config import EXPECTED_COLUMNS, REPORT_SEGMENTS, SEGMENTS, STAGE_C
 from runweave.operators.pivot import membership_matrix
 from runweave.plans import clades, facts, manifest, mixtures, roster, run_events, status, subtype, summary, versions
 from runweave.plans.table_queries import query, table
+from runweave.sources.content import spread
 from runweave.sources.tables import RunTables
 
 _STAGES = [s for s in STAGE_CODES if s != "mixture"]
@@ -57,11 +58,16 @@ def _entries(df: DataFrame, source: Column, folder: Column, name: Column, is_dir
 
 
 def order_runs(spark: SparkSession, sf_dir: str) -> RunTables:
-    """Orders and line items as runs and samples."""
+    """Orders and line items as runs and samples.
+
+    The rows are spread over all tasks before the texts are made of them, as read files are: their parsing is the work,
+    not their bytes, which Spark would gather in a few tasks.
+    """
     orders = _orders(spark, sf_dir)
     lines = table(spark, sf_dir, "lineitem").join(
         orders.select("o_orderkey", "run", "sample"), F.col("l_orderkey") == F.col("o_orderkey")
     ).withColumn("cents", F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+    orders, lines = spread(orders, "o_orderkey"), spread(lines, "l_orderkey", "l_linenumber")
     sample, run, year = F.col("sample"), F.col("run"), F.col("year")
     state, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
 
@@ -128,17 +134,24 @@ def order_runs(spark: SparkSession, sf_dir: str) -> RunTables:
     return RunTables(runs, listing, reduce(DataFrame.unionByName, texts))
 
 
+def shown_events(found: DataFrame) -> DataFrame:
+    """Events with their details as one text, key=value in order of the keys."""
+    pairs = F.transform(F.map_entries("detail"), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))
+    return found.select("run", "sample", "event_type", F.array_join(F.array_sort(pairs), ";").alias("detail"))
+
+
 def document_runs(spark: SparkSession, sf_dir: str) -> RunTables:
     """Documents as consensus files of one run per source."""
     docs = table(spark, sf_dir, "documents").select(
         _text("/data/", F.col("source"), "/out/analysis").alias("run"),
-        _text("D", F.col("doc_id")).alias("sample"), "text", "lang",
+        _text("D", F.col("doc_id")).alias("sample"), "text", "lang", "source",
+        F.element_at(F.array(*map(F.lit, SEGMENTS)), (F.pmod("doc_id", F.lit(len(SEGMENTS))) + 1).cast("int")).alias("segment"),
     )
-    sample = F.col("sample")
+    docs, sample = spread(docs, "sample"), F.col("sample")
     texts = _texts(
         docs, "bcftools", F.lit("bcftools"), _text(sample, ".consensus.fasta"),
         _text(">", sample, "_segment4_HA note\n", F.col("text"), "\n>", sample, "_x_", F.upper("lang"), "\n",
-              F.col("lang"), "\n"),
+              F.col("lang"), "\n>", sample, "_", F.col("segment"), "\n", F.col("lang"), "N", F.col("source"), "\n"),
     )
     runs = docs.select("run").distinct().withColumn("present", F.lit(True))
     nothing = spark.createDataFrame([], "run string, source string, path string, folder string, name string, "
@@ -221,14 +234,18 @@ def mapped_reads_query(spark, sf_dir):
     return facts.mapped_reads(order_runs(spark, sf_dir)).rows.drop("run")
 
 
+_CALLED = {s: f"""CASE WHEN doc_id % {len(SEGMENTS)} = {i} THEN {_percent("short")}
+        {f"ELSE {_percent('seq')}" if s == "HA" else "ELSE 0.0"} END""" for i, s in enumerate(SEGMENTS)}
+
+
 @query("f03_consensus_completeness", f"""
-    SELECT 'D' || doc_id AS sample, c AS HA_consensus_completeness, CAST(c > 90 AS INTEGER) AS HA_tree_pass
-    FROM (SELECT doc_id, {_percent("seq")} AS c
-          FROM (SELECT doc_id, translate(text, chr(10) || chr(13) || ' ', '') AS seq FROM documents)
-          WHERE length(seq) > 0)""")
+    SELECT sample, {", ".join(f"{s} AS {s}_consensus_completeness, CAST({s} > 90 AS INTEGER) AS {s}_tree_pass" for s in SEGMENTS)}
+    FROM (SELECT 'D' || doc_id AS sample, {", ".join(f"{sql} AS {s}" for s, sql in _CALLED.items())}
+          FROM (SELECT doc_id, lang || 'N' || source AS short,
+                       translate(text, chr(10) || chr(13) || ' ', '') AS seq FROM documents))""")
 def completeness_query(spark, sf_dir):
     rows = facts.completeness(document_runs(spark, sf_dir)).rows.withColumns(facts.tree_pass())
-    return rows.select("sample", "HA_consensus_completeness", "HA_tree_pass")
+    return rows.select("sample", *(f"{s}_{m}" for s in SEGMENTS for m in ("consensus_completeness", "tree_pass")))
 
 
 @query("f04_cleavage_sites", _CLEAVAGE)
@@ -326,14 +343,24 @@ def summary_query(spark, sf_dir):
     return summary.run_summary(order_runs(spark, sf_dir)).rows.drop("run_folder", "roster_pos")
 
 
+_RUNS = f"(SELECT run, count(*) AS n FROM {_O} GROUP BY run)"
+
+
 @query("f13_sample_events", f"""
-    SELECT run, sample, 'unexpected_idxstats_format' AS event_type FROM {_L} WHERE l_returnflag = 'A'
-    UNION ALL SELECT run, sample, 'genoflu_file_read_error' FROM {_O} WHERE priority = '5-LOW'
-    UNION ALL SELECT run, sample, 'subtype_file_read_error' FROM {_O} WHERE state = 'P'
-    UNION ALL SELECT run, sample, 'unexpected_mixture_report_rows' FROM {_O} WHERE state = 'P'""")
+    SELECT run, sample, 'unexpected_idxstats_format' AS event_type,
+           'path=' || run || '/idxstats/' || sample || '/' || sample || '.Segment_' || l_linenumber || '_' || segment || '.'
+           || l_partkey || '.' || l_suppkey || '.' || cents || '.idxstats;rows=3;segment=' || segment AS detail
+    FROM (SELECT *, ({list(SEGMENTS)})[l_linenumber] AS segment FROM {_L}) WHERE l_returnflag = 'A'
+    UNION ALL SELECT run, sample, 'genoflu_file_read_error', 'error=malformed list;path=' || run || '/genotype/genoflu/'
+           || sample || '.genoflu.tsv' FROM {_O} WHERE priority = '5-LOW'
+    UNION ALL SELECT run, sample, 'subtype_file_read_error', 'H_type=' || substr(priority, 1, 1) || '.0;N_type=x'
+    FROM {_O} WHERE state = 'P'
+    UNION ALL SELECT run, sample, 'unexpected_mixture_report_rows', 'row_count=2' FROM {_O} WHERE state = 'P'
+    UNION ALL SELECT run, NULL, 'samples_collected', 'sample_count=' || n || ';source=fastq_directory' FROM {_RUNS}
+    UNION ALL SELECT run, NULL, 'no_files_found', 'pattern=*nextflow.log' FROM {_RUNS}
+    UNION ALL SELECT run, NULL, unnest(['nextflow_log_not_found', 'publish_nc_datasets_failed_file_missing']), '' FROM {_RUNS}""")
 def events_query(spark, sf_dir):
-    found = run_events.run_events(order_runs(spark, sf_dir))
-    return found.where("sample is not null").select("run", "sample", "event_type")
+    return shown_events(run_events.run_events(order_runs(spark, sf_dir)))
 
 
 @query("f14_consensus_manifest", f"""

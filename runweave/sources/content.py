@@ -1,49 +1,27 @@
-"""Reading the listed files whole, on the executors.
+"""Reading files whole whose paths are rows of a table: landed listings, and tables that a task log points to.
 
-The paths stay a table: nothing is listed or opened by the driver, a file that the task log points to
-is read like any other, and a file that is missing or not UTF-8 gives a row with a `problem`.
+The paths stay a table: nothing is opened by the driver, and a file that is missing or not UTF-8 gives a row with a
+`problem`.
 """
 
 from __future__ import annotations
 
-import io
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from runweave.sources.listing import file_system, spread
+from runweave.sources.run_files import TEXTS, read_text
 
-_SCHEMA = (
-    "run string, source string, path string, folder string, name string, pos bigint, "
-    "content string, problem string"
-)
 _BATCH_BYTES = 32 << 20
 
 
-def _read(path: str, source: str) -> Iterator[tuple[int, str | None, str | None]]:
-    system, local = file_system(path)
-    try:
-        with system.open_input_stream(local) as stream:
-            if source == "task_log":  # may be long: keep the lines of finished tasks only
-                lines = io.TextIOWrapper(stream, encoding="utf-8")
-                yield from ((i, line, None) for i, line in enumerate(lines) if "Task completed" in line)
-                return
-            data = stream.read()
-        text = data.decode("utf-8").removeprefix("\ufeff")
-        yield 0, text.replace("\r\n", "\n").replace("\r", "\n"), None
-    except FileNotFoundError:
-        yield 0, None, "missing"
-    except (OSError, UnicodeDecodeError) as error:
-        yield 0, None, type(error).__name__
-
-
 def _read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["run", "source", "path", "folder", "name", "pos", "content", "problem"]
+    columns = [c.split()[0] for c in TEXTS.split(", ")]
     for batch in batches:
         out, size = [], 0
         for run, source, path, folder, name in batch.itertuples(index=False):
-            for pos, content, problem in _read(path, source):
+            for pos, content, problem in read_text(path, source):
                 out.append((run, source, path, folder, name, pos, content, problem))
                 size += len(content or "")
                 if size > _BATCH_BYTES:
@@ -52,7 +30,13 @@ def _read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=columns)
 
 
+def spread(df: DataFrame, *cols: str, rounds: int = 4) -> DataFrame:
+    """Spread small rows that stand for much work over a fixed, not coalesced, number of tasks."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism * rounds
+    return df.repartition(tasks, *cols)
+
+
 def read_texts(files: DataFrame) -> DataFrame:
     """One row per file with its whole text; for task logs, one row per line of a finished task."""
     paths = files.select("run", "source", "path", "folder", "name")
-    return spread(paths, "path").mapInPandas(_read_all, _SCHEMA)
+    return spread(paths, "path").mapInPandas(_read_all, TEXTS)

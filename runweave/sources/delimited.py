@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 from runweave.functions.text import na_to_null
 
+#: What separates the cells of each delimited source, and those without a header; fixed values.
+SEPARATORS = {"subtype": ",", "mixtures": ",", "start_sheet": ",", "output_sheet": ",", "clades": "\t",
+              "cleavage": "\t", "genotype": "\t", "dataset_versions": ",", "linked_datasets": ",", "idxstats": "\t"}
+HEADERLESS = ("dataset_versions", "linked_datasets", "idxstats")
+
+
 def compute_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
     """Adds costly columns through a one-element inline.
 
@@ -32,27 +38,21 @@ def _tokens(text: Column, sep: str) -> Column:
 
 
 def _is_quoted(cell: Column) -> Column:
-    return F.rlike(cell, F.lit(r'\A"(?:[^"]++|"")*+"\z'))
+    return F.startswith(cell, F.lit('"')) & F.rlike(cell, F.lit(r'\A"(?:[^"]++|"")*+"\z'))
 
 
 def _raw(token: Column) -> Column:
     return F.left(token, F.length(token) - 1)
 
 
-def unclosed_quote(text: Column, sep: str) -> Column:
+def _unclosed(tokens: Column) -> Column:
     """True when a cell opens with a quote that never closes: one that starts with a quote and holds an odd number."""
-    return F.contains(text, F.lit('"')) & F.exists(_tokens(text, sep), lambda token: F.startswith(
-        token, F.lit('"')) & ~_is_quoted(_raw(token)) & (F.regexp_count(token, F.lit('"')) % 2 == 1))
-
-
-def split_records(text: Column, sep: str) -> Column:
-    """array<array<string>> of the cells of all lines that are not blank."""
-    def lines(body: Column) -> Column:
-        return F.filter(F.split(body, "\n"), lambda line: F.length(F.trim(line)) > 0)
+    return F.exists(tokens, lambda token: F.startswith(token, F.lit('"')) & (
+        F.regexp_count(token, F.lit('"')) % 2 == 1) & ~_is_quoted(_raw(token)))
 
-    def cells(line: Column) -> Column:
-        return F.split(line, re.escape(sep))
 
+def _cut(tokens: Column) -> Column:
+    """array<array<string>> of the cells of all lines that are not blank, from the tokens of a text with quotes."""
     def value(token: Column) -> Column:
         cell = _raw(token)
         inner = F.replace(cell.substr(F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
@@ -69,8 +69,20 @@ def split_records(text: Column, sep: str) -> Column:
         full = F.filter(rows, lambda row: (F.size(row) > 1) | (F.length(F.trim(_raw(row[0]))) > 0))
         return F.transform(full, lambda row: F.transform(row, value))
 
-    quoted = F.transform(F.array(_tokens(text, sep)), records)[0]
-    return F.when(F.contains(text, F.lit('"')), quoted).otherwise(F.transform(lines(text), cells))
+    return F.transform(F.array(tokens), records)[0]
+
+
+def _with_tokens(texts: DataFrame, sep: str, content: str) -> DataFrame:
+    """Adds `_tokens`: those of a text with quotes, else null. Cut once, whatever is taken from them."""
+    tokens = F.when(F.contains(F.col(content), F.lit('"')), _tokens(F.col(content), sep))
+    return texts.select(*texts.columns, F.inline(F.array(F.struct(tokens.alias("_tokens")))))
+
+
+def _records(sep: str, content: str) -> Column:
+    """The records of `content`, by `_tokens` where there are any."""
+    lines = F.filter(F.split(F.col(content), "\n"), lambda line: F.length(F.trim(line)) > 0)
+    plain = F.transform(lines, lambda line: F.split(line, re.escape(sep)))
+    return F.when(F.col("_tokens").isNotNull(), _cut(F.col("_tokens"))).otherwise(plain)
 
 
 def _with_header(parsed: DataFrame) -> DataFrame:
@@ -111,9 +123,9 @@ def parse_delimited(texts: DataFrame, sep: str, content: str = "content") -> Dat
     keep = [c for c in texts.columns if c not in (content, "problem")]
     known = F.col("problem") if "problem" in texts.columns else F.lit(None).cast("string")
     below = F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))
-    parsed = _with_header(texts.select(
-        *keep, F.coalesce(known, F.when(unclosed_quote(F.col(content), sep), "unclosed quote")).alias("problem"),
-        split_records(F.col(content), sep).alias("_lines")
+    parsed = _with_header(_with_tokens(texts, sep, content).select(
+        *keep, F.coalesce(known, F.when(_unclosed(F.col("_tokens")), "unclosed quote")).alias("problem"),
+        _records(sep, content).alias("_lines")
     )).withColumn("records", F.when(F.size("_lines") > 0, below))
     ragged = F.array_max(F.transform("records", F.size)) > F.size("header")
     problem = F.coalesce("problem", F.when(F.size("_lines") == 0, "empty").when(ragged, "ragged"))
@@ -166,18 +178,29 @@ def cell(name: str, cells: str = "cells") -> Column:
 def parse_headerless(texts: DataFrame, sep: str, content: str = "content") -> DataFrame:
     """Adds records, the cells of all lines that are not blank."""
     keep = [c for c in texts.columns if c != content]
-    return texts.select(*keep, F.explode(F.array(split_records(F.col(content), sep))).alias("records"))
+    return _with_tokens(texts, sep, content).select(*keep, F.explode(F.array(_records(sep, content))).alias("records"))
 
 
-def read_headerless(texts: DataFrame, sep: str, names: list[str], content: str = "content") -> DataFrame:
-    """One row per line of texts without header, cells named by position."""
-    parsed = parse_headerless(texts, sep, content)
-    keep = [c for c in parsed.columns if c not in ("records", "pos", "problem")]
+def parse_source(texts: DataFrame, source: str) -> DataFrame:
+    """`texts` of one kind of source with header (null for sources without one), records and `problem`."""
+    if source in HEADERLESS:
+        return parse_headerless(texts, SEPARATORS[source]).withColumn("header", F.lit(None).cast("array<string>"))
+    return parse_delimited(texts, SEPARATORS[source])
+
+
+def headerless_rows(parsed: DataFrame, names: list[str]) -> DataFrame:
+    """One row per record of texts without header, cells named by position."""
+    keep = [c for c in parsed.columns if c not in ("records", "header", "pos", "problem")]
     rows = parsed.select(*keep, F.posexplode("records").alias("pos", "_record"))
     cells = (na_to_null(F.get("_record", F.lit(i))).alias(n) for i, n in enumerate(names))
     return rows.select(*keep, F.col("pos").cast("bigint").alias("pos"), F.size("_record").alias("width"), *cells)
 
 
+def read_headerless(texts: DataFrame, sep: str, names: list[str], content: str = "content") -> DataFrame:
+    """headerless_rows of texts that are not parsed yet."""
+    return headerless_rows(parse_headerless(texts, sep, content), names)
+
+
 def header_names(parsed: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, path, idx, name) of the headers of the good texts, also of those without records."""
     return parsed.where(F.col("problem").isNull()).select(

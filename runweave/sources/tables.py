@@ -1,6 +1,6 @@
-"""The three tables every job reads: runs, file listing and file texts.
+"""The tables every job reads: runs, file listing, file texts and parsed texts.
 
-They come either from a live scan of the run folders or from the landed Parquet copies.
+They come either from a live scan of the run folders or from landed Parquet copies.
 """
 
 from __future__ import annotations
@@ -12,24 +12,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runweave.config import CONTENT_SOURCES
+from runweave.sources import landings
 from runweave.sources.content import read_texts
-from runweave.sources.listing import list_files
+from runweave.sources.delimited import HEADERLESS, SEPARATORS, parse_source
+from runweave.sources.run_files import LISTING, TEXTS, folders, run_files
 from runweave.sources.task_log import dataset_files
 
+PARSED = ("run string, source string, path string, folder string, name string, pos bigint, problem string, "
+          "header array<string>, records array<array<string>>")
+LANDED = {"listing": LISTING, "texts": TEXTS, "parsed": PARSED}
+
 
 @dataclass(frozen=True)
 class RunTables:
     runs: DataFrame     # run, present
     listing: DataFrame  # run, source, path, folder, name, is_dir, length
     texts: DataFrame    # run, source, path, folder, name, pos, content, problem
-    live: bool = False  # texts are read from the run folders at each use
+    known: DataFrame | None = None  # the delimited texts parsed before: header and records in place of content
+
+    def files(self, *sources: str) -> DataFrame:
+        return self.listing.where(F.col("source").isin(*sources))
+
+    def read(self, source: str) -> DataFrame:
+        """The texts of one source."""
+        return self.texts.where(F.col("source") == source)
+
+    def parsed(self, source: str) -> DataFrame:
+        """The texts of one delimited source, parsed: header, records and `problem`. What was parsed before is read."""
+        if self.known is not None:
+            return self.known.where(F.col("source") == source)
+        return parse_source(self.read(source), source)
+
+
+@dataclass(frozen=True)
+class LiveTables(RunTables):
+    """Run folders read at each use: only the folders and files of the sources at hand are listed and opened."""
+
+    names: tuple[str, ...] = ()
 
-    def files(self, source: str) -> DataFrame:
-        return self.listing.where(F.col("source") == source)
+    def _load(self, content: bool, *sources: str) -> DataFrame:
+        found = run_files(self.runs.sparkSession, self.names, content, push="source")
+        return found.where(F.col("source").isin(*sources))
+
+    def files(self, *sources: str) -> DataFrame:
+        return self._load(False, *sources)
 
     def read(self, source: str) -> DataFrame:
-        """The texts of one source; of live runs only its files are opened."""
-        return _texts(self.listing, source) if self.live else self.texts.where(F.col("source") == source)
+        if source == "linked_datasets":
+            return _linked(self.read("task_log"), self.files("task_log").where(~F.col("is_dir")))
+        return self._load(True, source)
+
+
+def parsed_texts(texts: DataFrame) -> DataFrame:
+    """All delimited texts, each parsed once: what rows and events of every job are taken from."""
+    return union_all([parse_source(texts.where(F.col("source").isin(*group)), group[0]) for group in parse_groups()])
+
+
+def parse_groups() -> list[list[str]]:
+    """Sources that are parsed alike."""
+    groups: dict[tuple, list[str]] = {}
+    for source, sep in SEPARATORS.items():
+        groups.setdefault((sep, source in HEADERLESS), []).append(source)
+    return list(groups.values())
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
 
 
 def as_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> DataFrame:
@@ -37,69 +88,62 @@ def as_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> DataF
     if not isinstance(runs, DataFrame):
         paths = [runs] if isinstance(runs, str) else list(runs)
         runs = spark.createDataFrame([(p,) for p in paths], "run string")
-    folders = runs.select(F.rtrim("run", F.lit("/")).alias("run")).distinct()
-    return folders.withColumn("present", F.lit(True))
+    found = runs.select(F.rtrim("run", F.lit("/")).alias("run")).distinct()
+    return found.withColumn("present", F.lit(True))
 
 
-def _texts(listing: DataFrame, source: str | None = None) -> DataFrame:
-    """The small files of a listing, of all sources or one, and the dataset tables that its task logs point to."""
-    files = listing.where(F.col("source").isin(*CONTENT_SOURCES) & ~F.col("is_dir"))
-    if source not in (None, "linked_datasets"):
-        return read_texts(files.where(F.col("source") == source))
-    logs = files.where(F.col("source") == "task_log")
-    linked = read_texts(dataset_files(read_texts(logs), logs))
-    return linked if source else read_texts(files).unionByName(linked)
+def _linked(texts_of_logs: DataFrame, logs: DataFrame) -> DataFrame:
+    return read_texts(dataset_files(texts_of_logs, logs))
 
 
 def scan_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str]) -> RunTables:
     """Live scan: list the run folders and read the small files on the executors, at every use.
 
-    For more than a handful of runs use land_runs, which lists and reads once.
+    For more than a handful of runs use land_runs, which lists, reads and parses once.
     """
     table = as_runs(spark, runs)
-    listing = list_files(table)
-    return RunTables(table, listing, _texts(listing), live=True)
+    names = folders(table)
+    listing, texts = run_files(spark, names, push=""), run_files(spark, names, content=True, push="")
+    logs = F.col("source") == "task_log"
+    linked = _linked(texts.where(logs), listing.where(logs & ~F.col("is_dir")))
+    return LiveTables(table, listing, texts.unionByName(linked), names=tuple(names))
+
+
+def _land(spark: SparkSession, target: str, runs: DataFrame, listing: DataFrame, texts) -> RunTables:
+    """Writes the tables of a landing, each text parsed once, and names its runs. texts(listing) gives the texts."""
+    landing = landings.new_landing()
 
+    def written(df: DataFrame, name: str) -> DataFrame:
+        landings.write(df, target, name, landing, ("run", "source"))
+        return spark.read.schema(LANDED[name]).parquet(f"{target}/{name}/landing={landing}")
 
-def _write(table: DataFrame, path: str, runs: DataFrame | None = None) -> None:
-    if runs is not None:  # a row without source for each run, so that a run without files replaces its old rows too
-        nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != "run")
-        table = table.unionByName(runs.select("run", *nothing))
-    # REBALANCE splits the rows of a very large run over several files and joins small ones
-    table = table.withColumn("run_part", F.col("run")).hint("rebalance", "run_part")
-    if "source" in table.columns:  # in order of source, so that a reader of one skips the pages of the others
-        table = table.sortWithinPartitions("run_part", "source")
-    (table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_part").parquet(path))
+    found = written(texts(written(listing, "listing")), "texts")
+    written(parsed_texts(found), "parsed")
+    landings.commit(runs, target, landing)
+    return load_runs(spark, target, runs)
 
 
 def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target: str) -> RunTables:
-    """List and read once and keep the three tables as Parquet, replacing only the runs at hand."""
+    """List, read and parse once and keep the tables as Parquet, replacing only the runs at hand, and these at once."""
     table = as_runs(spark, runs)
-    _write(list_files(table), f"{target}/listing", table)
-    _write(_texts(_load(spark, target, "listing", table)), f"{target}/texts", table)
-    _write(table, f"{target}/runs")  # last: a run listed here is complete
-    return load_runs(spark, target, table)
 
+    def texts(listing: DataFrame) -> DataFrame:
+        files = listing.where(F.col("source").isin(*CONTENT_SOURCES) & ~F.col("is_dir"))
+        logs = files.where(F.col("source") == "task_log")
+        return read_texts(files).unionByName(_linked(read_texts(logs), logs))
 
-RUNS_SCHEMA = "run string, present boolean, run_part string"
-_SCHEMAS = {
-    "runs": "run string, present boolean",
-    "listing": "run string, source string, path string, folder string, name string, is_dir boolean, length bigint",
-    "texts": "run string, source string, path string, folder string, name string, pos bigint, "
-             "content string, problem string",
-}
+    return _land(spark, target, table, run_files(spark, folders(table)), texts)
 
 
-def _load(spark: SparkSession, target: str, name: str, runs: DataFrame | None) -> DataFrame:
-    table = spark.read.schema(_SCHEMAS[name] + ", run_part string").parquet(f"{target}/{name}")
-    if runs is not None:  # prunes the partitions of other runs
-        table = table.join(runs.select(F.col("run").alias("run_part")), "run_part", "left_semi")
-    if name != "runs":
-        table = table.where("source is not null")
-    # `run` is a plain column of its own: joins on it would else plan a pruning subquery each
-    return table.drop("run_part")
+def land_tables(tables: RunTables, target: str) -> RunTables:
+    """The same for run tables that come from elsewhere than run folders."""
+    return _land(tables.runs.sparkSession, target, tables.runs, tables.listing, lambda _: tables.texts)
 
 
 def load_runs(spark: SparkSession, target: str, runs: DataFrame | None = None) -> RunTables:
-    """The landed tables, of all runs or of some."""
-    return RunTables(*(_load(spark, target, name, runs) for name in _SCHEMAS))
+    """The landed tables as of now, of all runs or of some."""
+    now = landings.current(spark, target)
+    if runs is not None:
+        now = now.join(runs.select("run").distinct(), "run", "left_semi")
+    listing, texts, parsed = (landings.rows_of(now, target, name, schema) for name, schema in LANDED.items())
+    return RunTables(now.select("run", F.lit(True).alias("present")), listing, texts, parsed)

@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from runweave.config import JobConfig
 from runweave.plans.sinks import write_table
 from runweave.plans.summary import run_summary
-from runweave.sources.tables import RUNS_SCHEMA, load_runs
+from runweave.sources.landings import CURRENT
+from runweave.sources.tables import load_runs
 
 
 def progress_folder(spark: SparkSession, name: str) -> str:
@@ -28,7 +29,7 @@ def progress_folder(spark: SparkSession, name: str) -> str:
 def follow_landed_runs(
     spark: SparkSession, landed: str, target: str, config: JobConfig = JobConfig(), progress: str | None = None
 ) -> StreamingQuery:
-    """Summaries of all runs landed since the last call, written by run to `target`.
+    """Summaries of all runs landed since the last call, written to `target`, to be read with `read_table`.
 
     In auto mode config.pipelines must name the status columns, as one table can't change its columns by batch. Each
     pair of landed tables and target has its own progress, and other settings begin anew.
@@ -36,7 +37,8 @@ def follow_landed_runs(
     if config.auto_mode and config.pipelines is None:
         raise ValueError("auto mode needs config.pipelines here: the pipelines whose status columns the table has")
     own = hashlib.md5(repr((landed.rstrip("/"), target.rstrip("/"), config)).encode()).hexdigest()[:16]
-    arrivals = spark.readStream.schema(RUNS_SCHEMA).parquet(f"{landed}/runs")
+    arrivals = spark.readStream.schema(CURRENT).parquet(f"{landed}/current")
+    arrivals = arrivals.where("since = landing")  # a compaction brings nothing new
 
     def roll_up(batch: DataFrame, _: int) -> None:
         tables = load_runs(batch.sparkSession, landed, batch.select("run").distinct())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from run_tree import S1, S2
 
 from runweave.collector import RunCollector
+from runweave.plans.sinks import read_table
 from runweave.sources.delimited import delimited_rows, parse_delimited
 from runweave.sources.tables import land_runs
 from runweave.streaming import incremental
@@ -51,15 +52,14 @@ def test_vanished_files_leave_no_rows(spark, tmp_path):
     landed, manifest = str(tmp_path / "landed"), str(tmp_path / "manifest")
     run = tree.write_run_one(tmp_path)
     RunCollector.land(spark, run, landed).write_manifest(manifest)
-    assert spark.read.parquet(manifest).count() > 0
-    schema = spark.read.parquet(manifest).schema
+    assert read_table(spark, manifest).count() > 0
     for folder in ("consensus", "nextclade", "fastq"):
         shutil.rmtree(f"{run}/{folder}")
     jobs = RunCollector.land(spark, run, landed)
     assert jobs.tables.texts.where("source in ('consensus', 'clades')").count() == 0
     assert jobs.summary().count() == 0
     assert jobs.write_manifest(manifest) == 0
-    assert spark.read.schema(schema).parquet(manifest).count() == 0
+    assert read_table(spark, manifest).count() == 0
     kinds = {r["detail"]["rows"] for r in jobs.events().where("event_type = 'consensus_manifest_written'").collect()}
     assert kinds == {"0"}
 
@@ -75,7 +75,7 @@ def test_status_of_different_pipelines_in_one_table(spark, tmp_path):
     run = tmp_path / "RUN3" / "out" / "analysis"
     run.mkdir(parents=True)
     RunCollector.land(spark, str(run), landed, auto_mode=True).write_pipeline_status(status)
-    rows = spark.read.parquet(status)
+    rows = read_table(spark, status)
     assert {"typing", "trees", "other", "nf-flu"} <= {r["pipeline"] for r in rows.select("pipeline").distinct().collect()}
     wide = jobs.pipeline_status()
     for name in ("typing", "trees"):
@@ -98,4 +98,4 @@ def test_each_target_has_its_own_progress(spark, tmp_path, monkeypatch):
     land_runs(spark, tree.write_run_two(tmp_path), landed)
     for target in ("one", "two"):
         incremental.follow_landed_runs(spark, landed, str(tmp_path / target)).awaitTermination()
-        assert spark.read.parquet(str(tmp_path / target)).count() == 1
+        assert read_table(spark, str(tmp_path / target), run="run_folder").count() == 1

@@ -25,7 +25,7 @@ from runweave.operators.pivot import first_failing_stage, membership_matrix, piv
 from runweave.operators.topk import first_match, last_wins_map, top1_per_group
 from runweave.sources.delimited import delimited_rows, parse_delimited, read_headerless
 from runweave.sources.fasta import read_fasta
-from runweave.sources.listing import _children
+from runweave.sources.run_files import _children
 from runweave.sources.sections import read_sections
 from runweave.sources.task_log import process_dirs
 

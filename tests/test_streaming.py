@@ -4,6 +4,7 @@ import pytest
 import run_tree as tree
 from run_tree import S1
 
+from runweave.plans.sinks import read_table
 from runweave.sources.tables import land_runs
 from runweave.streaming.incremental import follow_landed_runs, progress_folder
 
@@ -13,7 +14,7 @@ def test_new_and_changed_runs_are_rolled_up(spark, tmp_path):
 
     def follow():
         follow_landed_runs(spark, landed, target, progress=progress).awaitTermination()
-        table = spark.read.parquet(target)
+        table = read_table(spark, target, run="run_folder")
         return {(r["Run"], r["FastQID"]) for r in table.select("Run", "FastQID").collect()}
 
     two = tree.write_run_two(tmp_path)

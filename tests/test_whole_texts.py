@@ -1,7 +1,6 @@
 """The queries on delimited texts parse whole documents."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from runweave.plans import table_queries
 from runweave.sources.delimited import cell, delimited_rows, parse_delimited
@@ -26,16 +25,16 @@ def parsed(spark, tmp_path, monkeypatch):
     return run
 
 
-@pytest.mark.parametrize("name", ["c32_delimited_shape", "c33_delimited_rows"])
-def test_whole_texts_are_parsed(parsed, name):
-    _, tables = parsed(name)
+def test_whole_texts_are_rows(parsed):
+    rows, tables = parsed("c33_delimited_rows")
     assert {r.problem for r in tables.collect()} == {None}
-    assert {r.n for r in tables.select(F.size("records").alias("n")).collect()} == {2}
-    cells = delimited_rows(tables).select("doc_id", "pos", cell("text").alias("text")).where("pos = 0").collect()
-    assert {r.doc_id: r.text for r in cells} == {k: text + ' say "hi", en' for k, text in enumerate(TEXTS)}
+    assert {r.doc_id: r.text for r in rows if r.pos == 0} == {k: text + ' say "hi", en' for k, text in enumerate(TEXTS)}
+    assert {(r.id, r.text, r.size) for r in rows if r.pos == 1} == {(str(k), None, 'web"s') for k in range(len(TEXTS))}
 
 
-def test_rows_show_what_the_sql_shows(parsed):
-    rows, _ = parsed("c33_delimited_rows")
-    assert {r.doc_id: r.text for r in rows if r.pos == 0} == {k: t[:400] + ' say "hi", en' for k, t in enumerate(TEXTS)}
-    assert {(r.id, r.text, r.size) for r in rows if r.pos == 1} == {(str(k), None, 'web"s') for k in range(len(TEXTS))}
+def test_lines_of_whole_texts_are_counted(parsed):
+    rows, tables = parsed("c32_delimited_shape")
+    assert {r.doc_id: r.n_records for r in rows} == {k: len(text.split("\n")) for k, text in enumerate(TEXTS)}
+    assert {(r.problem, r.n_columns) for r in rows} == {(None, 2)}
+    first = delimited_rows(tables).select("doc_id", "pos", cell("line").alias("line")).where("pos = 0").collect()
+    assert {r.doc_id: r.line for r in first} == {k: text.split("\n")[0] for k, text in enumerate(TEXTS)}
