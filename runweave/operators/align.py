@@ -31,10 +31,13 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def map_columns(headers: DataFrame) -> list[str]:
-    """All header names in order of first appearance by path; as many as there are columns."""
+def map_columns(headers: DataFrame, most: int = 10_000) -> list[str]:
+    """All header names in order of first appearance by path: they become columns, so there may be `most` of them."""
     first = headers.groupBy("column_name").agg(F.min(F.struct("path", "idx")).alias("at"))
-    return [r[0] for r in first.orderBy("at").select("column_name").collect()]
+    names = [r[0] for r in first.orderBy("at").select("column_name").limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"the files have over {most} different columns")
+    return names
 
 
 def shown_names(names: Sequence[str], taken: Sequence[str]) -> dict[str, str]:

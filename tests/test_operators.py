@@ -18,7 +18,7 @@ from runweave.functions.text import (
 )
 from runweave.operators.align import align_to, map_columns, override_column, union_by_name, widen_maps
 from runweave.operators.events import check_events, column_events, events, reject_events
-from runweave.operators.fill import forward_fill
+from runweave.operators.fill import forward_fill, with_order_range
 from runweave.operators.guards import exactly_one, singleton_groups
 from runweave.operators.joins import left_join_default
 from runweave.operators.pivot import first_failing_stage, membership_matrix, pivot_last_wins
@@ -155,17 +155,39 @@ def test_guards(spark):
     assert tuples(singleton_groups(df, ["k"]), "k") == [("a", "x")]
 
 
-@pytest.mark.parametrize("width", [1, 3, 64, 1 << 16])
-def test_forward_fill_against_brute_force(spark, width):
-    rng = random.Random(width)
-    rows = [(k, t, f"{k}.{t}" if rng.random() < 0.2 else None)
-            for k, n in ((0, 300), (1, 5), (2, 40)) for t in range(-2, n) if rng.random() < 0.8]
-    got = tuples(forward_fill(spark.createDataFrame(rows, "k int, t bigint, v string"), ["k"], "t", "v", "out", width), "k", "t")
-    want, last = [], {}
+@pytest.mark.parametrize("groups, spacing, kind", [
+    (1, 1, "bigint"), (2, 1, "bigint"), (5, 1_000_003, "bigint"), (16, 7, "timestamp"), (3, 1, "double")])
+def test_forward_fill_against_brute_force(spark, groups, spacing, kind):
+    rng = random.Random(groups)
+    # one key holds most rows; order values far apart, and in clusters
+    times = {0: sorted(rng.sample(range(400), 300)) + [10_000 + 90_000 * t for t in range(40)], 1: range(5), None: range(3, 40), 3: [5]}
+    rows = [(k, t * spacing, f"{k}.{t}" if rng.random() < 0.2 else None) for k, ts in times.items() for t in ts]
+    df = spark.createDataFrame(rows, "k int, t bigint, v string").withColumn(
+        "t", F.timestamp_micros("t") if kind == "timestamp" else F.col("t").cast(kind)).repartition(3)
+    filled = forward_fill(df, ["k"], "t", "v", "out", groups)
+    got = {(r["k"], r["t"]): (r["v"], r["out"]) for r in filled.collect()}
+    last, want = {}, []
     for k, t, v in rows:
         last[k] = v if v is not None else last.get(k)
-        want.append((k, t, v, last[k]))
-    assert got == want
+        want.append((v, last[k]))
+    keys = sorted(got, key=lambda r: (r[0] is None, r))
+    assert len(got) == len(rows)
+    by_key = {k: [w for r, w in zip(rows, want) if r[0] == k] for k in times}
+    for k in times:
+        assert [got[key] for key in keys if key[0] == k] == by_key[k]
+
+
+def test_a_key_that_holds_all_rows_is_filled_by_many_tasks(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") * 1_000_000_007).alias("t"),
+                                    F.when(F.col("id") % 5000 == 3, F.col("id")).alias("v"))
+    sizes = [r["count"] for r in with_order_range(df, "t", 8, "p").groupBy("p").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * 20_000 / 64
+    filled = forward_fill(df, ["k"], "t", "v", "out", 8)
+    bad = filled.where("not (out <=> case when t div 1000000007 >= 3 then ((t div 1000000007 - 3) div 5000) * 5000 + 3 end)")
+    assert bad.count() == 0 and filled.count() == 20_000
+    assert forward_fill(df.limit(0), ["k"], "t", "v", "out").count() == 0
+    nulls = spark.createDataFrame([(1, None, "a"), (1, 5, None), (1, None, "a")], "k int, t bigint, v string")
+    assert {r.out for r in forward_fill(nulls, ["k"], "t", "v", "out").collect()} == {"a"}
 
 
 # ---- pivots ------------------------------------------------------------------------------------
@@ -189,6 +211,28 @@ def test_membership(spark):
     assert got == [("q", "a", 1, None), ("r", "a", None, 0), ("r", "b", None, 1)]
 
 
+def test_masks_of_many_values(spark):
+    """More stages and values than a long has bits, against brute force."""
+    rng = random.Random(8)
+    stages = {f"s{i}": 2 + i for i in range(130)}
+    facts = [(run, k, s, rng.choice([True, True, True, False, None])) for run in "ab" for k in range(12) for s in stages
+             if rng.random() < (0.995 if k < 9 else 0.5) and not (run == "b" and s in ("s0", "s64", "s129"))]
+    facts += [("a", 0, s, True) for s in stages] + [("a", 1, "other", True), ("a", 2, None, True)]
+    df = spark.createDataFrame(facts, "run string, id int, stage string, passed boolean")
+    roster = spark.createDataFrame([(r, k) for r in "abc" for k in range(13)], "run string, id int")
+    codes = {(r.run, r.id): r.status for r in first_failing_stage(roster, df, stages, ["run", "id"], ["run"]).collect()}
+    for run in "abc":
+        active = {s for r, _, s, p in facts if r == run and p is not None}
+        for k in range(13):
+            passed = {s for r, i, s, p in facts if (r, i) == (run, k) and p}
+            assert codes[run, k] == next((c for s, c in stages.items() if s in active and s not in passed), 0)
+    wide = membership_matrix(roster, df, ["run", "id"], "stage", list(stages), ["run"])
+    for row in wide.collect():
+        mine = {s for r, i, s, _ in facts if (r, i) == (row.run, row.id)}
+        there = {s for r, _, s, _ in facts if r == row.run}
+        assert [row[f"status_{s}"] for s in stages] == [0 if s in mine else 1 if s in there else None for s in stages]
+
+
 def test_first_failing_stage_is_per_run(spark):
     roster = spark.createDataFrame([(r, s) for r in "xy" for s in "abc"], "run string, id string")
     facts = spark.createDataFrame([
