@@ -7,8 +7,6 @@ in proportion to their cell's raked weight over its tokens, drawn by a hash of t
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,32 +79,54 @@ def rake(work: Workspace, cells: DataFrame, targets: dict[str, DataFrame], round
     return raked
 
 
-def within_budget(work: Workspace, cells: DataFrame, targets: dict[str, DataFrame], kept_share: float) -> DataFrame:
+def _amounts(work: Workspace, cells: DataFrame, dimension: str, target: DataFrame, budget: float) -> DataFrame:
+    """(level, amount): the tokens that each level is to give, `budget` together as far as there are that many.
+
+    In proportion to the target shares, but no level more than it holds; what a scarce one lacks the others share.
+    """
+    held = cells.groupBy(F.col(dimension).alias("level")).agg(F.sum("tokens").cast("double").alias("held"))
+    levels = work.keep(held.join(target.hint("merge"), "level").where("share > 0"), f"levels-{dimension}")
+    scale, scarce = budget, -1
+    while True:
+        full = F.col("share") * F.lit(scale) >= F.col("held")
+        row = levels.agg(F.count_if(full).alias("n"), F.sum(F.when(full, F.col("held"))).alias("given"),
+                         F.sum(F.when(~full, F.col("share"))).alias("open")).first()
+        if row.n == scarce or not row.open:
+            break
+        scarce, scale = row.n, (budget - (row.given or 0.0)) / row.open
+    return levels.select("level", F.least(F.col("share") * F.lit(scale), F.col("held")).alias("amount")
+                         if row.open else F.col("held").alias("amount"))
+
+
+def within_budget(work: Workspace, cells: DataFrame, targets: dict[str, DataFrame], kept_share: float, rounds: int = 40,
+                  tolerance: float = 1e-6) -> DataFrame:
     """(source, lang, topic, tokens, _p): probabilities that keep `kept_share` of the tokens, with the target shares.
 
-    Cells that would have to give more tokens than they hold are kept whole, and the others are raked again to what is
-    left of the targets, until no more cells are whole. So a stray scarce cell takes nothing from the others. If a level
-    is kept whole and still short of its target, the other levels share what it lacks.
+    One raking loop with bounds: a cell's weight is a product of one factor for each of its levels, its probability is
+    the weight cut to 1, and a factor is put right by what the cut cells give. So cells that would have to give more
+    than they hold are kept whole, and a stray scarce cell takes nothing from the others (_amounts). Ends when no level
+    is off by more than `tolerance` of the budget, or after `rounds`: if the targets can't be met all at once, the last
+    dimension's are. Joins are by merging, so the driver holds no side of any.
     """
     budget = kept_share * (cells.agg(F.sum("tokens")).first()[0] or 0)
-    free, whole = cells, work.keep(cells.limit(0), "whole-0")
-    for k in itertools.count(1):
-        rest = budget - (whole.agg(F.sum("tokens")).first()[0] or 0)
-        left = {}
-        for d, target in targets.items():
-            own = whole.groupBy(F.col(d).alias("level")).agg(F.sum("tokens").alias("own"))
-            amount = F.greatest(F.col("share") * F.lit(budget) - F.coalesce("own", F.lit(0)), F.lit(0.0))
-            now = target.join(own, "level", "left").join(free.select(F.col(d).alias("level")).distinct(), "level", "left_semi")
-            now = work.keep(now.select("level", amount.alias("share")), f"left-{d}-{k}")
-            left[d] = now.withColumn("share", F.col("share") / F.lit(now.agg(F.sum("share")).first()[0] or 1.0))
-        raked = rake(Workspace(work.spark, "mixing-rest"), free, left)
-        raked = raked.withColumn("_p", F.col("weight") * F.lit(rest) / F.col("tokens")).drop("weight")
-        raked = work.keep(raked, f"free-{k}")
-        over = raked.where("_p > 1").drop("_p")
-        if not over.take(1):
-            return raked.union(whole.withColumn("_p", F.lit(1.0)))
-        whole = work.keep(whole.union(over), f"whole-{k}")
-        free = work.keep(raked.where("_p <= 1").drop("_p"), f"rest-{k}")
+    amounts = {d: work.keep(_amounts(work, cells, d, target, budget), f"amounts-{d}") for d, target in targets.items()}
+    given = F.col("tokens") * F.least(F.col("weight"), F.lit(1.0))
+    raked = work.keep(cells.withColumn("weight", F.lit(float(kept_share))), "weights-0")
+    for k in range(1, rounds + 1):
+        raked = raked.withColumn("off", F.lit(0.0))
+        for d, wanted in amounts.items():
+            now = raked.groupBy(F.col(d).alias("level")).agg(F.sum(given).alias("now")).join(wanted.hint("merge"), "level", "left")
+            now = now.select(F.col("level").alias(d), "now", F.coalesce("amount", F.lit(0.0)).alias("amount"))
+            raked = raked.join(now.hint("merge"), d).withColumns({
+                "weight": F.when(F.col("now") > 0, F.col("weight") * F.col("amount") / F.col("now")).otherwise(0.0),
+                "off": F.greatest("off", F.abs(F.col("now") - F.col("amount")))}).drop("now", "amount")
+        raked = work.keep(raked, f"weights-{k}")
+        work.drop(f"weights-{k - 1}")
+        worst = raked.agg(F.max("off")).first()[0]
+        raked = raked.drop("off")
+        if worst is None or worst <= tolerance * budget:
+            break
+    return raked.withColumn("_p", F.least(F.col("weight"), F.lit(1.0))).drop("weight")
 
 
 def draw(doc_id: Column) -> Column:

@@ -54,7 +54,8 @@ def _half_keys(flat: np.ndarray, offsets: np.ndarray, halves: int, rows: int) ->
     return keys
 
 
-def _signatures(size: int, halves: int, rows: int):
+def _signatures(size: int, halves: int, rows: int, more: tuple[str, ...] = ()):
+    """more: columns that are passed on behind the signature's."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.pieces(batches):
             sets = shingle_sets(batch, size)
@@ -73,8 +74,8 @@ def _signatures(size: int, halves: int, rows: int):
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(sets) + 1, dtype=np.int32) * 2 * halves), pa.array(keys.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(item), pa.array(other), lists],
-                ["doc_id", "n", "item", "other", "halves"])
+                [batch.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(item), pa.array(other), lists,
+                 *map(batch.column, more)], ["doc_id", "n", "item", "other", "halves", *more])
     return run
 
 
@@ -134,6 +135,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     work = Workspace(docs.sparkSession, "near-dups")
     docs = docs.select("doc_id", "text")
     signed = work.keep(docs.mapInArrow(_signatures(shingle_words, halves, rows), _SIGNATURE), "signatures")
+    named = _named_classes(work, docs, signed, shingle_words, percent, halves)
+    out = signed.join(named.select("item", "component_id"), "item", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _named_classes(work: Workspace, docs: DataFrame, signed: DataFrame, shingle_words: int, percent: int,
+                   halves: int) -> DataFrame:
+    """(item, component, component_id) of each class of rows with equal sets; component is one of its items."""
     classes = signed.where("n > 0").groupBy("item", "other", "n").agg(
         F.min("doc_id").alias("first"), F.first("halves").alias("halves"))
     classes = work.keep(classes, "classes")
@@ -146,19 +157,32 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     components = link_buckets(work, buckets, work.keep(sets, "sets"), percent, "near")
     named = classes.join(components, "item", "left").withColumn("component", F.coalesce("component", "item"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "component").select("item", "component_id")
-    out = signed.join(named, "item", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return named.join(least, "component").select("item", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80, halves: int = 16, rows: int = 3) -> DataFrame:
     """The rows of `docs`, all columns, with one row for each group of near-duplicates: that of the least doc_id.
 
-    Of several rows with that doc_id one stays only if their texts are equal too; else each distinct text stays.
-    Rows with a null doc_id stay unless their group has another row. Blank and null texts stay.
+    A null doc_id comes after all others; of several texts with the least doc_id, that of the least SHA-256 stays, and
+    of rows equal in both, one. Ids shared by different texts change nothing about the others' groups. Blank and null
+    texts all stay.
     """
-    found = near_duplicates(docs, shingle_words, percent, halves, rows)
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    work = Workspace(docs.sparkSession, "keep-one")
+    # rows are found again by id and digest; all columns of the input go in a struct, whatever their names
+    tagged = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
+                         F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
+    texts = tagged.select("doc_id", "text", "digest")
+    signed = work.keep(texts.mapInArrow(_signatures(shingle_words, halves, rows, ("digest",)), f"{_SIGNATURE}, digest binary"), "signatures")
+    named = _named_classes(work, texts.select("doc_id", "text"), signed.drop("digest"), shingle_words, percent, halves)
+    blank = signed.where("n = 0").select("doc_id", "digest").distinct().withColumn("copies", F.lit(1).cast("long"))
+    full = signed.where("n > 0").groupBy("item", "doc_id", "digest").agg(F.count("*").alias("copies"))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    best = full.join(named, "item").groupBy("component").agg(F.min_by(F.struct("doc_id", "digest", "copies"), first).alias("best"))
+    kept = work.keep(best.select("best.*").union(blank), "kept").withColumnsRenamed({"doc_id": "kept_id", "digest": "kept_digest"})
+
+    def found(wanted: DataFrame) -> DataFrame:
+        same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))
+        return tagged.select("row", "doc_id", "digest").join(wanted, same, "left_semi")
+
+    once, repeated = found(kept.where("copies = 1")), found(kept.where("copies > 1")).dropDuplicates(["doc_id", "digest"])
+    return once.union(repeated).select("row.*")

@@ -1,3 +1,4 @@
+import hashlib
 import random
 from itertools import combinations
 
@@ -78,3 +79,33 @@ def test_one_of_each_group_stays(spark):
     text = " ".join(f"w{k}" for k in range(60))
     docs = spark.createDataFrame([(9, text, 0, "a"), (3, text + " tail", 1, "b"), (5, "other text", 2, "c"), (7, None, 3, "d")], SCHEMA)
     assert sorted(row.doc_id for row in near_dups.keep_one(docs).collect()) == [3, 5, 7]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_keep_one_against_all_pairs(spark, seed):
+    rows = corpus(seed)
+    rng = random.Random(seed)
+    rows = [(rng.choice([i, i, i, rng.randrange(12, 60)]) if i is not None else None, text) for i, text in rows]  # shared ids
+    rows += [rng.choice(rows) for _ in range(20)]
+    sets = [shingles(text, 5) for _, text in rows]
+    group = list(range(len(rows)))
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and group[i] != group[j]:
+            group = [group[i] if g == group[j] else g for g in group]
+    want = [(*row, 1, "x") for row, s in zip(rows, sets) if not s]
+    for g in set(group):
+        members = [rows[k] for k in range(len(rows)) if group[k] == g and sets[k]]
+        if members:
+            want.append((*min(members, key=lambda r: (r[0] is None, r[0], hashlib.sha256(r[1].encode()).digest())), 1, "x"))
+    docs = spark.createDataFrame([(a, b, 1, "x") for a, b in rows], SCHEMA)
+    assert sorted(map(tuple, near_dups.keep_one(docs).collect()), key=str) == sorted(want, key=str)
+
+
+def test_shared_ids_and_clashing_names(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(5, a, 1), (5, a, 2), (3, b, 3), (5, b + " tail", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id int").selectExpr("*", "1 as digest", "2 as row", "3 as copies")
+    out = near_dups.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(3, b), (5, a)]
