@@ -100,15 +100,36 @@ def _matches(folder: str, parts: Sequence[str], mine) -> Iterator[tuple[str, boo
             yield from _matches(path, parts[1:], None)
 
 
-def read_text(path: str, source: str) -> Iterator[tuple[int, str | None, str | None]]:
-    """(pos, text, problem) of a file: one row, or for a task log one for each line of a finished task."""
+def log_lines(stream, start: int = 0, end: int | None = None) -> Iterator[tuple[int, str]]:
+    """(byte position, text) of the finished-task lines of a log that begin in start..end - 1.
+
+    A line belongs to the range in which its first byte lies, so ranges that follow each other give each line once.
+    """
+    at = start
+    if start:
+        stream.seek(start - 1)
+        at = start - 1 + len(stream.readline())  # the rest of a line that began before
+    while end is None or at < end:
+        line = stream.readline()
+        if not line:
+            return
+        if b"Task completed" in line:
+            yield at, line.decode("utf-8")
+        at += len(line)
+
+
+def read_text(path: str, source: str, start: int = 0, end: int | None = None) -> Iterator[tuple[int, str | None, str | None]]:
+    """(pos, text, problem) of a file: one row, or for a task log one for each line of a finished task, by position.
+
+    A task log may be long: only these lines are kept, and `start` and `end` give a part of it.
+    """
     system, local = file_system(path)
     try:
+        if source == "task_log":
+            with system.open_input_file(local) as stream:
+                yield from ((at, line, None) for at, line in log_lines(io.BufferedReader(stream, 1 << 20), start, end))
+            return
         with system.open_input_stream(local) as stream:
-            if source == "task_log":  # may be long: keep the lines of finished tasks only
-                lines = io.TextIOWrapper(stream, encoding="utf-8")
-                yield from ((i, line, None) for i, line in enumerate(lines) if "Task completed" in line)
-                return
             data = stream.read()
         text = data.decode("utf-8").removeprefix("\ufeff")
         yield 0, text.replace("\r\n", "\n").replace("\r", "\n"), None

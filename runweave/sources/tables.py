@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from runweave.config import CONTENT_SOURCES
 from runweave.sources import landings
-from runweave.sources.content import read_texts
+from runweave.sources.content import read_texts, whole_logs
 from runweave.sources.delimited import HEADERLESS, SEPARATORS, parse_source
 from runweave.sources.run_files import LISTING, TEXTS, folders, run_files
 from runweave.sources.task_log import dataset_files
@@ -130,7 +130,7 @@ def land_runs(spark: SparkSession, runs: DataFrame | str | Iterable[str], target
     def texts(listing: DataFrame) -> DataFrame:
         files = listing.where(F.col("source").isin(*CONTENT_SOURCES) & ~F.col("is_dir"))
         logs = files.where(F.col("source") == "task_log")
-        return read_texts(files).unionByName(_linked(read_texts(logs), logs))
+        return whole_logs(read_texts(files)).unionByName(_linked(whole_logs(read_texts(logs)), logs))
 
     return _land(spark, target, table, run_files(spark, folders(table)), texts)
 

@@ -1,6 +1,7 @@
 """The data source of run folders: filters decide what is listed and opened."""
 
 import json
+import random
 
 import pytest
 import run_tree as tree
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull
 
 from runweave.config import CONTENT_SOURCES
-from runweave.sources import run_files as source
+from runweave.sources import content, run_files as source
 from runweave.sources.run_files import RunFilesReader, run_files
+from runweave.sources.task_log import process_dirs
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +93,37 @@ def test_too_many_runs_are_refused(spark, monkeypatch):
     with pytest.raises(ValueError):
         source.folders(spark.range(4).selectExpr("string(id) as run"))
     assert source.folders(spark.range(3).selectExpr("string(2 - id) as run")) == ["0", "1", "2"]
+
+
+def log(spark, path, length, part):
+    files = spark.createDataFrame([("r", "task_log", str(path), "f", path.name, length)],
+                                  "run string, source string, path string, folder string, name string, length bigint")
+    return content.read_texts(files, part)
+
+
+@pytest.mark.parametrize("part", [1, 7, 100, 1000, 1 << 20])
+def test_a_log_is_read_in_parts(spark, tmp_path, part):
+    rng = random.Random(part)
+    lines = [rng.choice(["", "x", "noise é" * 3, f"Task completed > name: P{rng.randrange(5)}; workDir: /w/{k} é"]) for k in range(60)]
+    text = "\n".join(lines) + rng.choice(["", "\n"])
+    path = tmp_path / "1.nextflow.log"
+    path.write_text(text, encoding="utf-8")
+    size = len(text.encode())
+    rows = log(spark, path, size, part)
+    assert rows.rdd.getNumPartitions() > 1
+    found = sorted((r.pos, r.content.rstrip("\n")) for r in rows.collect())
+    assert [line for _, line in found] == [line for line in lines if "Task completed" in line]
+    assert found == sorted((r.pos, r.content.rstrip("\n")) for r in log(spark, path, size, size + 1).collect())
+    last = {r.process: r.workdir for r in process_dirs(rows).collect()}
+    want = {}
+    for line in lines:
+        if "Task completed" in line:
+            want[line.split("name: ")[1].split(";")[0]] = line.split("workDir: ")[1].split()[0]
+    assert last == want
+
+
+def test_a_log_that_breaks_is_broken_as_a_whole(spark, tmp_path):
+    path = tmp_path / "1.nextflow.log"
+    path.write_bytes(b"Task completed > name: A; workDir: /w/1 x\n" * 50 + b"Task completed \xff\n" + b"Task completed > name: B; workDir: /w/2 x\n")
+    rows = content.whole_logs(log(spark, path, path.stat().st_size, 500)).collect()
+    assert [(r.content, r.problem) for r in rows] == [(None, "UnicodeDecodeError")]
