@@ -13,7 +13,14 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int,
                    max_chars: int) -> list[tuple[str, int]]:
-    """(text, label) of at most `per_class` documents of either label, drawn by a hash of the id.
+    """The rows of training_rows, in order."""
+    rows = training_rows(docs, labels, label, usable, per_class, max_chars)
+    return [(row.text, row.y) for row in rows.orderBy("draw").select("text", "y").collect()]
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int,
+                  max_chars: int) -> DataFrame:
+    """(text, y, draw) of at most `per_class` documents of either label, drawn by a hash of the id, which orders them.
 
     usable: a condition on doc_id for rows that may be learned from. Texts over `max_chars` characters are left out of
     the sample. A document with contradicting labels counts as 1; null labels and ids are ignored. The sample is at
@@ -25,5 +32,5 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, usable: Colum
     drawn = known.where("y = 1").orderBy(draw).limit(per_class).union(
         known.where("y = 0").orderBy(draw).limit(per_class))
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn), "doc_id")
-    rows = rows.where(F.length("text") <= max_chars).dropDuplicates(["doc_id"]).orderBy(draw)
-    return [(row.text, row.y) for row in rows.select("text", "y").collect()]
+    rows = rows.where(F.length("text") <= max_chars).dropDuplicates(["doc_id"])
+    return rows.select("text", "y", draw.alias("draw"))

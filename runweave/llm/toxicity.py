@@ -8,6 +8,7 @@ probability. A document scores as its most toxic passage, so a few words in a lo
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from runweave.llm import words
-from runweave.llm.labelled import remainder, training_texts
+from runweave.llm.labelled import remainder, training_rows
 
 BUCKETS = 1 << 18
 WIDTH = 8
@@ -189,43 +190,56 @@ def fit(sample: list[tuple[str, int]], epochs: int = 40, rate: float = 0.001, pr
     return Model(parts, float(b[1] - b[0]))
 
 
-def _score(shared, names: list[str]):
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a sample, in order -> the model fitted on them, pickled."""
+    sample = [pair for batch in batches for pair in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist())]
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(sample))], pa.binary())], ["model"])
+
+
+def _score(shared, names: list[str], out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in words.pieces(batches):
             scores = model.scores(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), pa.array(scores)], [*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), pa.array(scores)], [*names, out])
     return run
 
 
 def _scored(docs: DataFrame, labels: DataFrame, names: list[str], modulus: int, held_out: int, per_class: int,
-            max_chars: int) -> DataFrame:
-    """The columns `names` of `docs` and _score."""
+            max_chars: int) -> tuple[DataFrame, str]:
+    """The columns `names` of `docs` and the score, and the name of that column, which no column of `docs` has.
+
+    The model is fitted by one task, whose rows the sample's bounds limit; the driver only passes its weights on.
+    """
     usable = remainder(F.col("doc_id"), modulus) != held_out
-    sample = training_texts(docs, labels, "toxic", usable, per_class, max_chars)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(sample))
-    schema = StructType([docs.schema[name] for name in names] + [StructField("_score", DoubleType())])
-    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(_score(shared, names), schema)
+    sample = training_rows(docs, labels, "toxic", usable, per_class, max_chars)
+    fitted = sample.repartition(1).sortWithinPartitions("draw").mapInArrow(_fit, "model binary").collect()
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.loads(fitted[0].model) if fitted else fit([]))
+    out = "score"
+    while out.lower() in {c.lower() for c in docs.columns}:
+        out += "_"
+    schema = StructType([docs.schema[name] for name in names] + [StructField(out, DoubleType())])
+    return docs.select(*dict.fromkeys([*names, "text"])).mapInArrow(_score(shared, names, out), schema), out
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, threshold: float = 0.7,
              per_class: int = 800, max_chars: int = 12_000) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of `docs` (doc_id, text); only the text enters the score.
 
-    The model is fitted on the driver from a bounded sample: at most `per_class` texts of either label of up to
+    The model is fitted by one task from a bounded sample: at most `per_class` texts of either label of up to
     `max_chars` characters, from ids whose crc32 modulo `modulus` is not `held_out`. Every whole text is then scored.
 
     - Null, empty and blank texts get the score of a text without evidence. With fewer than two classes of labels all
       scores are the low base.
     - A null doc_id is scored, held_out is null for it; repeated rows are each answered; other columns are not read.
     """
-    scored = _scored(docs, labels, ["doc_id"], modulus, held_out, per_class, max_chars)
+    scored, score = _scored(docs, labels, ["doc_id"], modulus, held_out, per_class, max_chars)
     return scored.select("doc_id", (remainder(F.col("doc_id"), modulus) == held_out).alias("held_out"),
-                         F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
+                         F.col(score).alias("score"), (F.col(score) >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, modulus: int = 3, held_out: int = 1,
                   per_class: int = 800, max_chars: int = 12_000) -> DataFrame:
     """The rows of `docs`, all columns, that score below `threshold`; as in `toxicity` otherwise. Nothing is shuffled."""
-    scored = _scored(docs, labels, docs.columns, modulus, held_out, per_class, max_chars)
-    return scored.where(F.col("_score") < threshold).drop("_score")
+    scored, score = _scored(docs, labels, docs.columns, modulus, held_out, per_class, max_chars)
+    return scored.where(F.col(score) < threshold).drop(score)

@@ -116,3 +116,10 @@ def test_without_labels_or_rows(spark, tables):
     assert toxicity.toxicity(docs, none).where("predicted = 1").count() == 0
     assert line_quality.quality(docs.where("doc_id = 1"), none).first().score == pytest.approx(0.5)
     assert toxicity.toxicity(docs.limit(0), labels).collect() == [] == line_quality.quality(docs.limit(0), labels).collect()
+
+
+def test_columns_named_like_the_score_stay(spark):
+    docs = spark.createDataFrame([(1, "some text", 0.5, 7), (2, None, 0.1, 8)], "doc_id long, text string, score double, _score int")
+    labels = spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")
+    out = toxicity.without_toxic(docs, labels)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, docs.collect()), key=str)
