@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runweave.llm import words
+from runweave.llm import bitsets, words
 from runweave.llm.linking import link_buckets
 from runweave.llm.store import Workspace
 
@@ -50,7 +50,7 @@ def _half_keys(flat: np.ndarray, offsets: np.ndarray, halves: int, rows: int) ->
             value = np.bitwise_xor(flat, seeds[at])
             value *= seeds[at + 1] | np.uint64(1)
             key = words.mix(key * words.FOLD + np.minimum.reduceat(value, offsets))
-        keys[:, half] = key
+        keys[:, half] = (key & ~np.uint64(1)) | np.uint64(half >= halves)  # the last bit names the collection
     return keys
 
 
@@ -79,42 +79,50 @@ def _signatures(size: int, halves: int, rows: int, more: tuple[str, ...] = ()):
     return run
 
 
-def _sets(size: int):
+def _sets(size: int, wanted):
+    """(item, members) of the rows whose `name` may be in the bit set `wanted`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.pieces(batches):
-            sets = [s for s in shingle_sets(batch, size) if len(s)]
-            if not sets:
-                continue
-            n = np.array([len(s) for s in sets])
-            item, _ = _set_ids(sets, np.cumsum(n) - n)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
-                pa.array(words.signed(np.concatenate(sets))))
-            yield pa.RecordBatch.from_arrays([pa.array(words.signed(item)), lists], ["item", "members"])
+        for batch in batches:
+            batch = batch.filter(pa.array(bitsets.has(wanted, batch.column("name").to_numpy())))
+            for piece in words.pieces([batch]):
+                sets = [s for s in shingle_sets(piece, size) if len(s)]
+                if not sets:
+                    continue
+                n = np.array([len(s) for s in sets])
+                item, _ = _set_ids(sets, np.cumsum(n) - n)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
+                    pa.array(words.signed(np.concatenate(sets))))
+                yield pa.RecordBatch.from_arrays([pa.array(words.signed(item)), lists], ["item", "members"])
     return run
 
 
-def _table_rows(work: Workspace, classes: DataFrame, halves: int) -> DataFrame:
+def _table_rows(work: Workspace, classes: DataFrame) -> DataFrame:
     """(bucket, item, n, score) for all tables' buckets with at least two items, equal buckets once.
 
     Half keys that only one item has can't take part in a shared table key, so they go before the tables are formed.
+    Only the ids travel; sizes and scores are joined to the items that are left.
     """
-    keys = work.keep(classes.select("item", "n", F.posexplode("halves").alias("slot", "key")), "half-keys")
-    shared = keys.groupBy("slot", "key").agg(F.count("*").alias("score")).where("score > 1")
-    kept = keys.join(shared.hint("merge"), ["slot", "key"])
-    sides = kept.groupBy("item", "n").agg(
-        F.sum("score").alias("score"),
-        F.collect_list(F.when(F.col("slot") < halves, F.struct("slot", "key"))).alias("left"),
-        F.collect_list(F.when(F.col("slot") >= halves, F.struct("slot", "key"))).alias("right"))
-    rows = sides.select("item", "n", "score", "right", F.explode("left").alias("l"))
-    rows = rows.select("item", "n", "score", "l", F.explode("right").alias("r"))
-    rows = rows.select(F.xxhash64("l.slot", "l.key", "r.slot", "r.key").alias("bucket"), "item", "n", "score")
-    rows = work.keep(rows, "tables")
+    keys = work.keep(classes.select("item", F.explode("halves").alias("key")), "half-keys")
+    shared = keys.groupBy("key").agg(F.count("*").alias("score")).where("score > 1")
+    kept = keys.join(shared.hint("merge"), "key")
+    right = F.col("key").bitwiseAND(1) == 1
+    sides = work.keep(kept.groupBy("item").agg(
+        F.sum("score").alias("score"), F.collect_list(F.when(~right, F.col("key"))).alias("left"),
+        F.collect_list(F.when(right, F.col("key"))).alias("right")), "sides")
     work.drop("half-keys")
+    rows = sides.select("item", "right", F.explode("left").alias("l"))
+    rows = rows.select("item", "l", F.explode("right").alias("r"))
+    rows = work.keep(rows.select(F.xxhash64("l", "r").alias("bucket"), "item"), "tables")
     full = rows.groupBy("bucket").agg(
         F.count("*").alias("k"), F.bit_xor(F.xxhash64("item")).alias("who")).where("k > 1")
     full = full.groupBy("k", "who").agg(F.min("bucket").alias("bucket"))  # of buckets with the same items, one
-    return work.keep(rows.join(full.hint("merge"), "bucket", "left_semi"), "buckets")
+    rows = rows.join(full.select("bucket").hint("merge"), "bucket", "left_semi")
+    about = classes.select("item", "n").join(sides.select("item", "score").hint("merge"), "item")
+    buckets = work.keep(rows.join(about.hint("merge"), "item").select("bucket", "item", "n", "score"), "buckets")
+    work.drop("tables")
+    work.drop("sides")
+    return buckets
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85, halves: int = 12,
@@ -135,29 +143,36 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3, percent: int = 85,
     work = Workspace(docs.sparkSession, "near-dups")
     docs = docs.select("doc_id", "text")
     signed = work.keep(docs.mapInArrow(_signatures(shingle_words, halves, rows), _SIGNATURE), "signatures")
-    named = _named_classes(work, docs, signed, shingle_words, percent, halves)
-    out = signed.join(named.select("item", "component_id"), "item", "left").select(
+    named = _named_classes(work, docs, signed, shingle_words, percent)
+    work.clear("signatures", "named")
+    out = signed.join(named.select("item", "component_id").hint("merge"), "item", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _named_classes(work: Workspace, docs: DataFrame, signed: DataFrame, shingle_words: int, percent: int,
-                   halves: int) -> DataFrame:
-    """(item, component, component_id) of each class of rows with equal sets; component is one of its items."""
+def _named_classes(work: Workspace, docs: DataFrame, signed: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """(item, component, component_id) of each class of rows with equal sets; component is one of its items.
+
+    The sets of the classes in some bucket are taken from the texts again: a bit set of the ids of their first rows
+    lets next to no other text be cut, and the items of the sets decide. So no text is shuffled.
+    """
     classes = signed.where("n > 0").groupBy("item", "other", "n").agg(
         F.min("doc_id").alias("first"), F.first("halves").alias("halves"))
     classes = work.keep(classes, "classes")
-    buckets = _table_rows(work, classes, halves)
-    wanted = work.keep(classes.join(buckets.select("item").distinct(), "item", "left_semi").select("item", "first"),
+    buckets = _table_rows(work, classes)
+    wanted = work.keep(classes.select("item", "first").join(buckets.select("item").distinct().hint("merge"), "item", "left_semi"),
                        "wanted")
-    texts = docs.join(wanted.select("first").distinct(), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    sets = texts.mapInArrow(_sets(shingle_words), "item long, members array<long>")
-    sets = sets.join(wanted, "item", "left_semi").groupBy("item").agg(F.first("members").alias("members"))
+    ids = bitsets.bit_set(wanted.select(F.xxhash64("first").alias("name")), wanted.count())
+    named_texts = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("name"), "text")
+    sets = named_texts.mapInArrow(_sets(shingle_words, ids), "item long, members array<long>")
+    sets = sets.join(wanted.select("item").hint("merge"), "item", "left_semi").groupBy("item").agg(
+        F.first("members").alias("members"))
     components = link_buckets(work, buckets, work.keep(sets, "sets"), percent, "near")
-    named = classes.join(components, "item", "left").withColumn("component", F.coalesce("component", "item"))
+    named = classes.select("item", "first").join(components.hint("merge"), "item", "left").withColumn(
+        "component", F.coalesce("component", "item"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return named.join(least, "component").select("item", "component", "component_id")
+    return work.keep(named.join(least.hint("merge"), "component").select("item", "component", "component_id"), "named")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80, halves: int = 16, rows: int = 3) -> DataFrame:
@@ -173,12 +188,13 @@ def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80, halves:
                          F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
     texts = tagged.select("doc_id", "text", "digest")
     signed = work.keep(texts.mapInArrow(_signatures(shingle_words, halves, rows, ("digest",)), f"{_SIGNATURE}, digest binary"), "signatures")
-    named = _named_classes(work, texts.select("doc_id", "text"), signed.drop("digest"), shingle_words, percent, halves)
+    named = _named_classes(work, texts.select("doc_id", "text"), signed.drop("digest"), shingle_words, percent)
     blank = signed.where("n = 0").select("doc_id", "digest").distinct().withColumn("copies", F.lit(1).cast("long"))
     full = signed.where("n > 0").groupBy("item", "doc_id", "digest").agg(F.count("*").alias("copies"))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
-    best = full.join(named, "item").groupBy("component").agg(F.min_by(F.struct("doc_id", "digest", "copies"), first).alias("best"))
+    best = full.join(named.hint("merge"), "item").groupBy("component").agg(F.min_by(F.struct("doc_id", "digest", "copies"), first).alias("best"))
     kept = work.keep(best.select("best.*").union(blank), "kept").withColumnsRenamed({"doc_id": "kept_id", "digest": "kept_digest"})
+    work.clear("kept")
 
     def found(wanted: DataFrame) -> DataFrame:
         same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest"))

@@ -35,6 +35,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -42,6 +43,7 @@ class Workspace:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """`df` as a written table. A name is written once."""
         df.write.parquet(self.path(name))
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
@@ -49,3 +51,9 @@ class Workspace:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
+
+    def clear(self, *but: str) -> None:
+        """Removes all tables but those named, when what is returned reads no other."""
+        for name in sorted(self.names.difference(but)):
+            self.drop(name)
