@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by cosine: an NN-descent graph, and greedy search on it.
 
-Vectors that are equal up to their length are one node. The graph starts from random hyperplane blocks and is refined by
+Vectors whose directions are equal in float32 are one node. The graph starts from random hyperplane blocks and is refined by
 joins of neighbours of neighbours, until a round changes next to nothing: around each node, the vectors of its
 neighbours in both directions are brought together and compared with each other. A query walks the graph from its own
 node, a beam of the best nodes at a time, until all of the beam are expanded.
@@ -26,29 +26,46 @@ DEGREE, DIVISIONS, BLOCK = 20, 6, 1500
 CHANGED = 0.01
 #: Nodes that a query keeps, all of which it expands.
 BEAM = 192
+#: Different vector lengths in a table, each of which has a graph of its own; more is an error.
+LENGTHS = 100
 #: Nodes and queries whose vectors a task of the search holds at once.
 NODES_AT_ONCE, QUERIES_AT_ONCE = 16_384, 2_048
 
 
+def _hash(data: bytes) -> int:
+    buf = np.frombuffer(data, np.uint8)
+    return int(words.signed(words.span_hashes(buf, np.array([0]), np.array([len(buf)])))[0])
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vectors as bytes of float32 under the hash of their direction; rows without a direction are left out."""
+    """Unit vectors as bytes of float32 under the hash of their direction in float32 (node) and in float64 (exact).
+
+    Vectors are scaled by their largest component first, so no finite one over- or underflows. Rows without a direction
+    are left out.
+    """
     for batch in batches:
-        ids, hashes, units, raw = [], [], [], []
+        ids, hashes, exact, units = [], [], [], []
         for vec_id, vector in zip(batch.column("vec_id").to_pylist(), batch.column("embedding").to_pylist()):
             if vec_id is None or not vector or None in vector:
                 continue
             x = np.array(vector, np.float64)
-            with np.errstate(over="ignore"):
-                size = math.sqrt(float(x @ x))
-            if not np.isfinite(x).all() or size == 0 or not np.isfinite(size):
+            if not np.isfinite(x).all() or not x.any():
                 continue
-            unit = (x / size).astype("<f4").tobytes()
+            x = _scaled(x)
+            # + 0.0: no negative zeros, which are equal but hash apart
+            unit = (x / math.sqrt(float(x @ x))).astype("<f4") + np.float32(0)
             ids.append(vec_id)
-            units.append(unit)
-            buf = np.frombuffer(unit, np.uint8)
-            hashes.append(int(words.signed(words.span_hashes(buf, np.array([0]), np.array([len(buf)])))[0]))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()),
-                                          pa.array(units, pa.binary())], ["vec_id", "node", "unit"])
+            units.append(unit.tobytes())
+            hashes.append(_hash(units[-1]))
+            exact.append(_hash((x / np.abs(x).max() + 0.0).astype("<f8").tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(exact, pa.int64()), pa.array(units, pa.binary())],
+            ["vec_id", "node", "exact", "unit"])
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """The vector times a power of two, which changes no digit, so that its largest component is near 1."""
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -274,6 +291,7 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         scores = []
         for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+            x, y = (v if 1e-100 < max(map(abs, v)) < 1e100 else _scaled(np.array(v)).tolist() for v in (x, y))
             dot = math.fsum(a * b for a, b in zip(x, y))
             scores.append(dot / (math.sqrt(math.fsum(a * a for a in x)) * math.sqrt(math.fsum(b * b for b in y))))
         yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("vec_id"), pa.array(scores, pa.float64())],
@@ -285,29 +303,43 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5, beam: int = BEAM) -
 
     Cosine in double precision on the vectors as given; ties go to the smaller vec_id. Every row is in the graph.
 
-    - Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null vec_ids.
-    - Equal directions are one node; of these rows the k + 1 smallest vec_ids can be among the nearest, no others. So a
-      vector that very many rows share costs one node. Rows of a repeated vec_id are one row.
-    - With fewer than `k` others all are returned. Vectors of another length than most are compared among themselves
-      by no one: all must have one length. Empty tables give an empty result.
+    - Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do null vec_ids. All
+      other sizes do, also those whose squares are no doubles.
+    - Directions that are equal in float32 are one node. Of rows whose directions are equal in float64 too, the k + 1
+      smallest vec_ids stand for all, as their scores tie; the others of a node are all scored. Rows of a repeated
+      vec_id are one row: that of the least vector.
+    - Vectors of different lengths have no cosine: each length has its own graph.
+    - With fewer than `k` others all are returned. Empty tables give an empty result.
     """
     work = Workspace(vectors.sparkSession, "neighbours")
-    vectors = vectors.select(F.col("vec_id").cast("long"), "embedding")
-    rows = work.keep(vectors.mapInArrow(_nodes, "vec_id long, node long, unit binary").distinct(), "rows")
-    nodes = work.keep(rows.groupBy("node").agg(F.first("unit").alias("unit")), "nodes")
-    count = nodes.count()
-    some = nodes.select((F.octet_length("unit") / 4).cast("int").alias("d")).take(1)
-    graph = build_graph(work, nodes, some[0].d if some else 1, count)
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "node").distinct()
-    queries = work.keep(asked.select("node").distinct().join(nodes, "node"), "queries")
-    found = search_graph(work, graph, nodes, queries, count, beam, 4 * (k + 1))
-    # the search compares in float32; the best nodes' smallest ids are scored anew in double precision
-    place = F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))
-    members = rows.select("node", "vec_id").distinct().withColumn("place", place).where(F.col("place") <= k + 1)
-    pairs = asked.join(found.withColumnRenamed("query", "at").withColumnRenamed("node", "near"), F.col("node") == F.col("at"))
-    pairs = pairs.select("query_id", F.col("near").alias("node")).join(members, "node").where("vec_id <> query_id")
+    own = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
+    own = own.where("vec_id is not null and embedding is not null").groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    own = work.keep(own, "vectors")
+    rows = work.keep(own.mapInArrow(_nodes, "vec_id long, node long, exact long, unit binary"), "rows")
+    length = (F.octet_length("unit") / 4).cast("int").alias("d")
+    lengths = sorted(row.d for row in rows.select(length).distinct().limit(LENGTHS + 1).collect())
+    if len(lengths) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} different lengths")
+    found = None
+    for d in lengths:
+        at = Workspace(vectors.sparkSession, f"neighbours-{d}")
+        some = rows.where(F.octet_length("unit") == 4 * d)
+        nodes = at.keep(some.groupBy("node").agg(F.first("unit").alias("unit")), "nodes")
+        count = nodes.count()
+        graph = build_graph(at, nodes, d, count)
+        queries = at.keep(some.where(F.col("vec_id") % every == 0).select("node").distinct().join(nodes, "node"), "queries")
+        part = work.keep(search_graph(at, graph, nodes, queries, count, beam, 4 * (k + 1)), f"found-{d}")
+        at.clear()
+        found = part if found is None else found.union(part)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    # the search compares in float32; all rows of the best nodes, copies aside, are scored anew in double precision
+    place = F.row_number().over(Window.partitionBy("node", "exact").orderBy("vec_id"))
+    members = rows.select("node", "exact", "vec_id").withColumn("place", place).where(F.col("place") <= k + 1)
+    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("node").alias("query"))
+    pairs = asked.join(found.withColumnRenamed("node", "near"), "query").select("query_id", F.col("near").alias("node"))
+    pairs = pairs.join(members.select("node", "vec_id"), "node").where("vec_id <> query_id")
     pairs = work.keep(pairs.select("query_id", "vec_id"), "pairs")
-    own = vectors.join(rows.select("vec_id").distinct(), "vec_id", "left_semi").dropDuplicates(["vec_id"])
     scored = pairs.join(own.select("vec_id", F.col("embedding").alias("y")), "vec_id").join(
         own.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("x")), "query_id")
     scored = scored.select("query_id", "vec_id", "x", "y").mapInArrow(_exact, "query_id long, vec_id long, score double")

@@ -80,3 +80,36 @@ def test_graph_of_a_hot_direction(spark, monkeypatch):
     np.fill_diagonal(sims, -9)
     want = np.argpartition(-sims, 4, axis=1)[:, :5]
     assert np.mean([len(got[k] & set(want[k].tolist())) / 5 for k in range(len(x))]) >= 0.7
+
+
+def exact(rows, every, k):
+    from fractions import Fraction
+    out = {}
+    for q, x in rows:
+        if q % every == 0:
+            def key(y):
+                dot, xx, yy = (sum(Fraction(a) * Fraction(b) for a, b in zip(u, v)) for u, v in ((x, y), (x, x), (y, y)))
+                return -(dot * dot / (xx * yy)) * (1 if dot > 0 else -1)
+            out[q] = [i for _, i in sorted((key(y), i) for i, y in rows if i != q and len(y) == len(x))[:k]]
+    return out
+
+
+def found_by(spark, rows):
+    frame = spark.createDataFrame([(i, list(map(float, v))) for i, v in rows], "vec_id long, embedding array<double>")
+    got = {}
+    for row in sorted(neighbours.nearest(frame).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(row.query_id, []).append(row.vec_id)
+    return got
+
+
+def test_directions_equal_in_float32_only(spark):
+    rows = [(0, [1.0, 0.0])] + [(j, [1.0, 1 - j * 1e-9]) for j in range(1, 21)]
+    assert found_by(spark, rows) == {0: [20, 19, 18, 17, 16]} == exact(rows, 50, 5)
+
+
+def test_any_finite_size_and_lengths_apart(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, (rng.normal(size=4) * 10.0 ** rng.integers(-200, 200)).tolist()) for k in range(60)]
+    rows += [(k, rng.normal(size=3).tolist()) for k in range(100, 120)]
+    rows += [(150, [1e-310, 0.0, 0.0]), (151, [1.7e308, 1.7e308, 1.0]), (200, [-0.0, 2.0]), (201, [0.0, 1.0])]
+    assert found_by(spark, rows) == exact(rows, 50, 5)
