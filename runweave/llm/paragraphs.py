@@ -341,18 +341,22 @@ def without_passages(docs: DataFrame, least_words: int = 30) -> DataFrame:
     Rows that have no word left are dropped; rows that had none before stay.
     """
     runs = repeated_passages(docs, least_words)
-    cuts = runs.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("_cuts"))
-    cuts = cuts.withColumnsRenamed({"doc_id": "_doc", "text_id": "_text"})
-    rows = docs.join(cuts, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text")), "left")
+    cuts = runs.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("cuts"))
+    cuts = cuts.withColumnsRenamed({"doc_id": "cut_doc", "text_id": "cut_text"})
+    # all columns of the input go in a struct, whatever their names
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
+                       F.xxhash64("text").alias("text_id"))
+    rows = rows.join(cuts, F.col("doc_id").eqNullSafe(F.col("cut_doc")) & (F.col("text_id") == F.col("cut_text")), "left")
     data = F.encode("text", "utf-8")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["high"]))
-    begins = F.concat(F.transform("_cuts", lambda c: c["low"]), F.array(F.octet_length("text").cast("long")))
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda c: c["high"]))
+    begins = F.concat(F.transform("cuts", lambda c: c["low"]), F.array(F.octet_length("text").cast("long")))
     rest = F.array_join(F.zip_with(ends, begins, lambda a, b: F.decode(
         F.substring(data, (a + 1).cast("int"), (b - a).cast("int")), "utf-8")), "")
-    rows = rows.withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(rest))
-    rows = rows.where(F.col("_cuts").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.withColumn("text", F.when(F.col("cuts").isNull(), F.col("text")).otherwise(rest))
+    rows = rows.where(F.col("cuts").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    row = F.col("row")
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("_cuts").isNull(), F.col("n_chars")).otherwise(
-            F.length("text").cast(kind)))
-    return rows.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("cuts").isNull(), row.getField("n_chars")).otherwise(
+            F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*(new.get(name, row.getField(name)).alias(name) for name in docs.columns))

@@ -109,3 +109,17 @@ def test_words_over_and_over_keep_their_first_occurrence(spark):
     out = {row.doc_id: row.text.split() for row in paragraphs.without_passages(table(spark, rows)).collect()}
     assert 30 <= len(out[1]) and set(out[1]) == {"x"} and 30 <= len(out[2]) and set(out[2]) == {"a", "b"}
     assert out[3] == "before it and after".split()
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rng = random.Random(21)
+    shared = prose(rng, 14)
+    names = ["_cuts", "_doc", "_text", "row", "cuts", "cut_doc", "text_id", "a.b"]
+    rows = [(k, prose(rng, 9) + " " + shared, 1, *(f"{name}{k}" for name in names)) for k in (1, 2)]
+    schema = "doc_id long, text string, n_chars int, " + ", ".join(f"`{name}` string" for name in names)
+    docs = spark.createDataFrame(rows, schema)
+    out = paragraphs.without_passages(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    got = {row[0]: row for row in out.collect()}
+    assert got[1] == rows[0] and got[2][3:] == rows[1][3:]
+    assert len(got[2][1].split()) < len(rows[1][1].split()) - 50 and got[2][2] == len(got[2][1])
