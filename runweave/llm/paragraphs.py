@@ -4,7 +4,8 @@ A paragraph is a run of sentences between cuts, and a cut is a sentence or line
 picks, so a passage is cut alike wherever it stands. Half of the ends are cuts of one series of paragraphs, the other
 half of a second one; both are compared by MinHash bands. A third series does not depend on sentences: windows of WINDOW
 words, of any SELECT in a row the one with the least hash (winnowing), so two texts that share WINDOW + SELECT - 1 words
-share such a window. Equal windows are extended word by word to the whole run of words that both texts have.
+share such a window. What repeats is joined to runs; windows near the ends of a run are extended word by word to all that
+both texts have. Only the words around those windows are fetched, from the texts, when it is known which they are.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runweave.llm import words
+from runweave.llm import bitsets, words
 from runweave.llm.linking import link_buckets
 from runweave.llm.store import Workspace
 
@@ -26,8 +27,6 @@ BANDS, SHINGLE, PERCENT = 4, 5, 80
 LEAST_WORDS = 8
 #: Words of a window, and how many windows in a row have at least one selected: 50 words on end hold a selected one.
 WINDOW, SELECT = 30, 21
-#: Bits of the fixed-size filter that keeps paragraphs without a match from being shuffled.
-FILTER_BITS = 26
 STOPS = np.zeros(256, bool)
 STOPS[list(b".!?")] = True
 
@@ -78,7 +77,7 @@ class Cut:
     Words are numbered through the batch; starts and ends are their byte offsets in their own text.
     """
 
-    def __init__(self, batch: pa.RecordBatch, windows: bool = True):
+    def __init__(self, batch: pa.RecordBatch, paragraphs: bool = True, windows: bool = True):
         texts = [(t or "").encode().lower() for t in batch.column("text").to_pylist()]
         found = words.hashed_words(texts)
         none = np.zeros(0, np.int64)
@@ -89,7 +88,7 @@ class Cut:
         n = int(count.sum())
         stop = np.zeros(n, bool)
         for text, low, own in zip(texts, self.text_first.tolist(), found):
-            if len(own[0]):
+            if paragraphs and len(own[0]):
                 buf = np.frombuffer(text, np.uint8)
                 part = STOPS[buf[own[2] - 1]]
                 part[np.maximum(np.searchsorted(own[2], np.flatnonzero(buf == 10), side="right") - 1, 0)] = True
@@ -99,7 +98,7 @@ class Cut:
         before = np.maximum(at - 1, self.text_first[row_of[at]])
         side = words.mix(self.hashes[at] * words.FOLD + self.hashes[before]) >> np.uint64(63)
         parts = []
-        for k in range(2 if n else 0):
+        for k in range(2 if n and paragraphs else 0):
             cut = np.zeros(n + 1, bool)
             cut[self.text_first] = cut[n] = True
             cut[at[side == k] + 1] = True
@@ -136,34 +135,18 @@ class Cut:
         return np.unique(words.shingles(self.hashes[self.first[k]:self.last[k]], SHINGLE))
 
 
-def _has(shared, names: np.ndarray) -> np.ndarray:
-    at = (names >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-    return (shared.value[at >> 3] >> (at & 7)) & 1 == 1
-
-
-def _filter(names: DataFrame):
-    """A broadcast bit set of 2 ** FILTER_BITS bits with the leading bits of `names` (one long column, `name`) set.
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(mark, item): for each paragraph its name under itself, and its name under each of its keys.
 
-    Its size is fixed; it only spares shuffling, as what passes it is joined with the names afterwards.
+    item holds 32 bits of the name, which tell apart the few names under one mark.
     """
-    spark = names.sparkSession
-    at = F.shiftrightunsigned("name", 64 - FILTER_BITS)
-    blocks = names.select(at.alias("at")).groupBy(F.floor(F.col("at") / 32768).alias("block")).agg(
-        F.bitmap_construct_agg(F.col("at") % 32768).alias("bits")).collect()
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for row in blocks:
-        out[row.block * 4096:row.block * 4096 + len(row.bits)] = np.frombuffer(bytes(row.bits), np.uint8)
-    return spark.sparkContext.broadcast(out)
-
-
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(mark, item): for each paragraph its name under itself, and its name under each of its keys."""
     for batch in words.pieces(batches, limit=words.BLOCK):
         cut = Cut(batch)
         own, _, keys = cut.banded()
         marks = np.concatenate([cut.names, keys.ravel()])
         items = np.concatenate([cut.names, np.repeat(cut.names[own], BANDS)])
-        yield pa.RecordBatch.from_arrays([pa.array(words.signed(marks)), pa.array(words.signed(items))], ["mark", "item"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(words.signed(marks)), pa.array(words.signed(items).astype(np.int32))], ["mark", "item"])
 
 
 def _candidates(shared):
@@ -172,7 +155,7 @@ def _candidates(shared):
         for batch in words.pieces(batches, limit=words.BLOCK):
             cut = Cut(batch, windows=False)
             own, _, keys = cut.banded()
-            some = np.flatnonzero(_has(shared, keys).any(1)) if len(own) else own
+            some = np.flatnonzero(bitsets.has(shared, keys).any(1)) if len(own) else own
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words.signed(cut.names[own[some]])),
                  pa.array([words.signed(keys[k]) for k in some], pa.list_(pa.int64())),
@@ -181,8 +164,33 @@ def _candidates(shared):
     return run
 
 
-_PLACE = ("name long, doc_id long, text_id long, series int, first long, last long, low long, high long, "
-          "before array<int>, before_at array<int>, after array<int>, after_at array<int>")
+_PLACE = "name long, doc_id long, text_id long, series int, first long, last long, low long, high long"
+
+
+def _places(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The paragraphs whose names may be in `shared`, with their words and bytes in their text."""
+        for batch in words.pieces(batches, limit=words.BLOCK):
+            cut = Cut(batch)
+            own = np.flatnonzero(bitsets.has(shared, cut.names))
+            if not len(own):
+                continue
+            first, last = cut.first[own], cut.last[own]
+            taken = batch.select(["doc_id", "text_id"]).take(pa.array(cut.row[own]))  # without the texts
+            ends = last - cut.text_first[cut.row[own]]
+            # up to the start of the next word, so that what is cut out takes its white space along
+            more = np.append(cut.text_first[1:], len(cut.starts))[cut.row[own]] > last
+            high = np.where(more, np.append(cut.starts, 0)[last], cut.ends[last - 1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.signed(cut.names[own])), taken.column("doc_id"), taken.column("text_id"),
+                 pa.array(cut.series[own], pa.int32()), pa.array(first - cut.text_first[cut.row[own]]), pa.array(ends),
+                 pa.array(cut.starts[first]), pa.array(high)],
+                ["name", "doc_id", "text_id", "series", "first", "last", "low", "high"])
+    return run
+
+
+_CONTEXT = ("name long, doc_id long, text_id long, first long, before array<int>, before_at array<int>, "
+            "after array<int>, after_at array<int>")
 
 
 def _lists(values: np.ndarray, some: np.ndarray) -> pa.Array:
@@ -198,40 +206,37 @@ def _around(cut: Cut, own: np.ndarray) -> list[pa.Array]:
     """
     step = np.arange(SELECT - 1)
     text_first, text_end = (np.append(cut.text_first, len(cut.starts))[cut.row[own] + k][:, None] for k in (0, 1))
-    window = (cut.series[own] == 2)[:, None]
     hashes = (cut.hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
     before, after = cut.first[own][:, None] - 1 - step, cut.last[own][:, None] + step
-    some, more = window & (before >= text_first), window & (after < text_end)
+    some, more = before >= text_first, after < text_end
     before, after = np.maximum(before, 0), np.minimum(after, len(hashes) - 1)
     up_to = np.where(after + 1 < text_end, cut.starts[np.minimum(after + 1, len(hashes) - 1)], cut.ends[after])
     return [_lists(hashes[before], some), _lists(cut.starts[before], some), _lists(hashes[after], more), _lists(up_to, more)]
 
 
-def _places(shared):
+def _contexts(texts, names):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.pieces(batches, limit=words.BLOCK):
-            cut = Cut(batch)
-            own = np.flatnonzero(_has(shared, cut.names))
-            if not len(own):
-                continue
-            first, last = cut.first[own], cut.last[own]
-            taken = batch.select(["doc_id", "text_id"]).take(pa.array(cut.row[own]))  # without the texts
-            ends = last - cut.text_first[cut.row[own]]
-            # up to the start of the next word, so that what is cut out takes its white space along
-            more = np.append(cut.text_first[1:], len(cut.starts))[cut.row[own]] > last
-            high = np.where(more, np.append(cut.starts, 0)[last], cut.ends[last - 1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.signed(cut.names[own])), taken.column("doc_id"), taken.column("text_id"),
-                 pa.array(cut.series[own], pa.int32()), pa.array(first - cut.text_first[cut.row[own]]), pa.array(ends),
-                 pa.array(cut.starts[first]), pa.array(high), *_around(cut, own)],
-                ["name", "doc_id", "text_id", "series", "first", "last", "low", "high", "before", "before_at", "after", "after_at"])
+        """The words around windows whose names may be in `names`, of texts whose keys may be in `texts`."""
+        for batch in batches:
+            batch = batch.filter(pa.array(bitsets.has(texts, batch.column("key").to_numpy())))
+            for piece in words.pieces([batch], limit=words.BLOCK):
+                cut = Cut(piece, paragraphs=False)
+                own = np.flatnonzero(bitsets.has(names, cut.names)) if len(cut.names) else cut.row
+                if not len(own):
+                    continue
+                taken = piece.select(["doc_id", "text_id"]).take(pa.array(cut.row[own]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.signed(cut.names[own])), taken.column("doc_id"), taken.column("text_id"),
+                     pa.array(cut.first[own] - cut.text_first[cut.row[own]]), *_around(cut, own)],
+                    ["name", "doc_id", "text_id", "first", "before", "before_at", "after", "after_at"])
     return run
 
 
 def _near(work: Workspace, docs: DataFrame, shared: DataFrame) -> DataFrame:
     """(item, component) of paragraphs that are linked with a different one; shared: (mark), keys of several names."""
-    rows = docs.mapInArrow(_candidates(_filter(shared.withColumnRenamed("mark", "name"))),
-                           "item long, keys array<long>, members array<long>")
+    # a paragraph asks for BANDS keys, so the set has more room than one that is asked for single names
+    bits = bitsets.bit_set(shared.withColumnRenamed("mark", "name"), 2 * BANDS * shared.count())
+    rows = docs.mapInArrow(_candidates(bits), "item long, keys array<long>, members array<long>")
     found = work.keep(rows.groupBy("item").agg(F.first("keys").alias("keys"), F.first("members").alias("members")), "found")
     buckets = found.select("item", F.size("members").cast("long").alias("n"), F.explode("keys").alias("bucket"))
     buckets = work.keep(buckets.join(shared.withColumnRenamed("mark", "bucket"), "bucket", "left_semi"), "band-rows")
@@ -249,15 +254,88 @@ def _in_common(a: str, b: str) -> Column:
     return F.when(first == 0, F.size(equal)).otherwise(first - 1).cast("int")
 
 
-def _extended(late: DataFrame) -> DataFrame:
+_RUN = "doc_id long, text_id long, first long, last long, low long, high long, first_doc_id long, component long, best long"
+_EDGE = "first:long,last:long,low:long,high:long,first_doc_id:long,component:long,first_text:long,first_place:long,room:int"
+_NUMBERS = ("first", "last", "low", "high")
+
+
+def _runs(edges: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The runs of each text's spans: those that start before or where an earlier one ends are joined.
+
+        A run has the first document and the component of its first span. best: the greatest of its spans, or, if they
+        have none, the words of its longest stretch from one first document. edges: the windows (`room` is not null) of
+        each run that may be extended over an end of it, as what lies further in is covered whatever they share.
+        """
+        for batch in batches:
+            lists = batch.column("spans")
+            spans = lists.flatten()
+            field = {name: spans.field(name) for name in spans.type.names}
+            first, last, low, high = (field[name].to_numpy() for name in _NUMBERS)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            if not len(row):
+                continue
+            # texts have less than 2 ** 40 words; in order of text, the highest end so far is one of the same text, or lower
+            shift = row.astype(np.int64) << 40
+            top = np.maximum.accumulate(last + shift)
+            start = np.append(True, first[1:] + shift[1:] > top[:-1])
+            runs = np.flatnonzero(start)
+            source, known = field["first_doc_id"].fill_null(0).to_numpy(), field["first_doc_id"].is_valid().to_numpy(zero_copy_only=False)
+            anew = start | np.append(True, (source[1:] != source[:-1]) | (known[1:] != known[:-1]))
+            stretch = first[np.maximum.accumulate(np.where(anew, np.arange(len(row)), 0))]
+            best = np.maximum.reduceat(field["best"].to_numpy() if "best" in field else top - shift - stretch, runs)
+            run_first, run_last = first[runs], np.maximum.reduceat(last, runs)
+            of_text = batch.select(["doc_id", "text_id"]).take(pa.array(row[runs]))
+            of_span = spans.take(pa.array(runs))
+            columns = {"doc_id": of_text.column("doc_id"), "text_id": of_text.column("text_id"),
+                       "first": pa.array(run_first), "last": pa.array(run_last),
+                       "low": pa.array(np.minimum.reduceat(low, runs)), "high": pa.array(np.maximum.reduceat(high, runs)),
+                       "first_doc_id": of_span.field("first_doc_id"), "component": of_span.field("component"),
+                       "best": pa.array(best)}
+            if edges:
+                own = np.cumsum(start) - 1
+                some = field["room"].is_valid().to_numpy(zero_copy_only=False) & (
+                    (first - run_first[own] < SELECT - 1) | (run_last[own] - last < SELECT - 1))
+                at = np.concatenate([[0], np.cumsum(np.add.reduceat(some.astype(np.int64), runs))]).astype(np.int32)
+                columns["edges"] = pa.ListArray.from_arrays(pa.array(at), spans.take(pa.array(np.flatnonzero(some))))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    return run
+
+
+def _extended(edges: DataFrame) -> DataFrame:
     """Late windows with all words before and after that stand at the first occurrence too, up to that occurrence."""
-    room = F.when(F.col("own"), F.greatest(F.col("first") - F.col("first_last"), F.lit(0))).otherwise(F.lit(SELECT))
-    late = late.withColumns({"_b": F.least(_in_common("before", "first_before"), room.cast("int")),
-                             "_a": _in_common("after", "first_after")})
-    return late.withColumns({
-        "low": F.when(F.col("_b") > 0, F.get("before_at", F.col("_b") - 1).cast("long")).otherwise(F.col("low")),
-        "high": F.when(F.col("_a") > 0, F.get("after_at", F.col("_a") - 1).cast("long")).otherwise(F.col("high")),
-        "first": F.col("first") - F.col("_b"), "last": F.col("last") + F.col("_a")})
+    edges = edges.withColumns({"b": F.least(_in_common("before", "first_before"), F.col("room")),
+                               "a": _in_common("after", "first_after")})
+    return edges.select(
+        "doc_id", "text_id", (F.col("first") - F.col("b")).alias("first"), (F.col("last") + F.col("a")).alias("last"),
+        F.when(F.col("b") > 0, F.get("before_at", F.col("b") - 1).cast("long")).otherwise(F.col("low")).alias("low"),
+        F.when(F.col("a") > 0, F.get("after_at", F.col("a") - 1).cast("long")).otherwise(F.col("high")).alias("high"),
+        "first_doc_id", "component", (F.col("last") - F.col("first") + F.col("a") + F.col("b")).alias("best"))
+
+
+def _edges_extended(work: Workspace, docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The extended windows at the ends of `runs`; the words around them and their first occurrences come from the texts."""
+    edges = work.keep(runs.select("doc_id", "text_id", F.explode("edges").alias("edge")).select("doc_id", "text_id", "edge.*"), "edges")
+    count = edges.count()
+    both = edges.select("doc_id", "text_id").union(edges.select("first_doc_id", "first_text"))
+    keys = bitsets.bit_set(both.select(F.xxhash64("doc_id", "text_id").alias("name")), 2 * count)
+    names = bitsets.bit_set(edges.select(F.col("component").alias("name")), count)  # a window is its own component
+    found = docs.withColumn("key", F.xxhash64("doc_id", "text_id")).mapInArrow(_contexts(keys, names), _CONTEXT)
+    found = work.keep(found, "contexts")
+
+    def beside(place: list[str], prefix: str) -> tuple[DataFrame, Column]:
+        """Contexts of the windows at the places that the edges' columns name, each once, and how to join them."""
+        wanted = edges.select(*(F.col(c).alias(f"_{k}") for k, c in enumerate(["component", *place]))).distinct()
+        at = [F.col(c).eqNullSafe(F.col(f"_{k}")) for k, c in enumerate(["name", "doc_id", "text_id", "first"])]
+        rows = found.join(wanted, at[0] & at[1] & at[2] & at[3]).groupBy("_0", "_1", "_2", "_3").agg(
+            *(F.first(c).alias(prefix + c) for c in ("before", "before_at", "after", "after_at")))
+        rows = rows.withColumnsRenamed({f"_{k}": f"{prefix}key{k}" for k in range(4)})
+        same = [F.col(c).eqNullSafe(F.col(f"{prefix}key{k}")) for k, c in enumerate(["component", *place])]
+        return rows, same[0] & same[1] & same[2] & same[3]
+
+    own, same = beside(["doc_id", "text_id", "first"], "")
+    other, same_first = beside(["first_doc_id", "first_text", "first_place"], "first_")
+    return _extended(edges.join(own, same).join(other, same_first))
 
 
 def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int = 16) -> DataFrame:
@@ -277,62 +355,47 @@ def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int
     work = Workspace(docs.sparkSession, "paragraphs")
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_id"), "text")
     docs = docs.where("text is not null")
-    marks = docs.mapInArrow(_marks, "mark long, item long").groupBy("mark").agg(
+    marks = docs.mapInArrow(_marks, "mark long, item int").groupBy("mark").agg(
         F.min("item").alias("a"), F.max("item").alias("b"), F.count("*").alias("k")).where("k > 1")
     marks = work.keep(marks, "marks")
-    repeated = marks.where("a = mark and b = mark").select(F.col("mark").alias("name"))
+    name = F.col("mark").bitwiseAND(0xFFFFFFFF)
+    same = (F.col("a") == F.col("b")) & (F.col("a").cast("long").bitwiseAND(0xFFFFFFFF) == name)
+    repeated = marks.where(same).select(F.col("mark").alias("name"))
     near = work.keep(_near(work, docs, marks.where("a <> b").select("mark")), "near")
-    for name in ("band-rows", "found", "buckets"):
-        work.drop(name)
+    work.clear("marks", "near")
     classes = repeated.join(near.withColumnRenamed("item", "name"), "name", "full").select(
         "name", F.coalesce("component", "name").alias("component"))
     classes = work.keep(classes, "classes")
-    places = docs.mapInArrow(_places(_filter(classes)), _PLACE).distinct()
-    places = work.keep(places.join(classes, "name"), "places")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id", "first")
-    firsts = places.groupBy("component").agg(
-        F.min_by(F.struct("doc_id", "text_id", "first", "last", "before", "after"), order).alias("o"),
-        F.count("*").alias("k")).where("k > 1")
-    firsts = firsts.select("component", F.col("o.doc_id").alias("first_doc_id"), F.col("o.text_id").alias("first_text"),
-                           F.col("o.first").alias("first_place"), F.col("o.last").alias("first_last"),
-                           F.col("o.before").alias("first_before"), F.col("o.after").alias("first_after"))
-    late = places.join(firsts, "component").withColumn(
+    places = work.keep(docs.mapInArrow(_places(bitsets.bit_set(classes, classes.count())), _PLACE), "places")
+    # the first place of each name, then of each component; a name that is everywhere leaves each task as one row
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id", "first", "last")
+    named = places.groupBy("name").agg(F.min(place).alias("o"), F.count("*").alias("k"))
+    named = work.keep(named.join(classes.hint("merge"), "name"), "named")
+    firsts = named.groupBy("component").agg(F.min("o").alias("o"), F.sum("k").alias("k")).where("k > 1")
+    firsts = work.keep(named.select("name", "component").join(firsts.hint("merge"), "component").select(
+        "name", "component", F.col("o.doc_id").alias("first_doc_id"), F.col("o.text_id").alias("first_text"),
+        F.col("o.first").alias("first_place"), F.col("o.last").alias("first_last")), "firsts")
+    late = places.join(firsts.hint("merge"), "name").withColumn(
         "own", F.col("doc_id").eqNullSafe(F.col("first_doc_id")) & (F.col("text_id") == F.col("first_text")))
     # a window that overlaps its own first occurrence (words over and over) is part of it
-    late = _extended(late.where(~F.col("own") | (F.col("first") >= F.col("first_last"))))
-    spans = late.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct(
-        "first", "last", "low", "high", "first_doc_id", "component"))).alias("spans"))
-    runs = spans.select("doc_id", "text_id", F.explode(_merged(F.col("spans"))).alias("run"))
-    runs = runs.select("doc_id", "text_id", "run.low", "run.high",
-                       (F.col("run.last") - F.col("run.first")).alias("n_words"), "run.first_doc_id", "run.component", "run.best")
-    runs = runs.where((F.col("n_words") >= least_words) & (F.col("best") >= least_stretch)).drop("best")
-    return work.keep(runs, "runs")
-
-
-def _merged(spans: Column) -> Column:
-    """Spans in order of their first word, joined where one starts before or where another ends.
-
-    stretch and source: where the last stretch from one first document starts, and that document; best: words of the
-    longest such stretch.
-    """
-    def step(runs: Column, span: Column) -> Column:
-        top = F.get(runs, F.size(runs) - 1)
-        same = top["source"].eqNullSafe(span["first_doc_id"])
-        start = F.when(same, top["stretch"]).otherwise(span["first"])
-        last = F.greatest(top["last"], span["last"])
-        joined = F.struct(
-            top["first"].alias("first"), last.alias("last"), top["low"].alias("low"),
-            F.greatest(top["high"], span["high"]).alias("high"), top["first_doc_id"].alias("first_doc_id"),
-            top["component"].alias("component"), start.alias("stretch"), span["first_doc_id"].alias("source"),
-            F.greatest(top["best"], last - start).alias("best"))
-        return F.when((F.size(runs) > 0) & (span["first"] <= top["last"]), F.concat(
-            F.slice(runs, F.lit(1), F.greatest(F.size(runs) - 1, F.lit(0))), F.array(joined))).otherwise(
-            F.concat(runs, F.array(span)))
-    spans = F.transform(spans, lambda s: F.struct(
-        s["first"].alias("first"), s["last"].alias("last"), s["low"].alias("low"), s["high"].alias("high"),
-        s["first_doc_id"].alias("first_doc_id"), s["component"].alias("component"), s["first"].alias("stretch"),
-        s["first_doc_id"].alias("source"), (s["last"] - s["first"]).alias("best")))
-    return F.aggregate(spans, F.slice(spans, 1, 0), step)
+    late = late.where(~F.col("own") | (F.col("first") >= F.col("first_last")))
+    room = F.when(F.col("own"), F.least(F.col("first") - F.col("first_last"), F.lit(SELECT))).otherwise(F.lit(SELECT))
+    late = late.select("doc_id", "text_id", F.struct(
+        "first", "last", "low", "high", "first_doc_id", "component", "first_text", "first_place",
+        F.when(F.col("series") == 2, room.cast("int")).alias("room")).alias("span"))
+    # as sets: rows of one doc_id and one text are one document
+    spans = late.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    runs = work.keep(spans.mapInArrow(_runs(True), f"{_RUN}, edges array<struct<{_EDGE}>>"), "bare-runs")
+    work.clear("bare-runs")
+    more = _edges_extended(work, docs, runs).union(runs.select(
+        "doc_id", "text_id", "first", "last", "low", "high", "first_doc_id", "component", "best"))
+    spans = more.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct(
+        "first", "last", "low", "high", "first_doc_id", "component", "best"))).alias("spans"))
+    runs = spans.mapInArrow(_runs(False), _RUN).withColumn("n_words", F.col("last") - F.col("first"))
+    runs = runs.where((F.col("n_words") >= least_words) & (F.col("best") >= least_stretch))
+    runs = work.keep(runs.select("doc_id", "text_id", "low", "high", "n_words", "first_doc_id", "component"), "runs")
+    work.clear("runs")
+    return runs
 
 
 def without_passages(docs: DataFrame, least_words: int = 30) -> DataFrame:

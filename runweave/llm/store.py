@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _of_session: dict[str, str] = {}
+#: Removes the shuffle files of a query when it has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,8 +43,16 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """`df` as a written table. A name is written once."""
-        df.write.parquet(self.path(name))
+        """`df` as a written table. A name is written once.
+
+        What the query shuffled goes when it has ended, not when the driver next collects garbage: the table replaces it.
+        """
+        before = self.spark.conf.get(CLEAN_UP, "false")
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 

@@ -1,5 +1,7 @@
 import random
 
+import pyarrow as pa
+
 from runweave.llm import paragraphs
 
 SCHEMA = "doc_id long, text string, n_chars long, component string, low string"
@@ -123,3 +125,50 @@ def test_columns_of_any_name_are_kept(spark):
     got = {row[0]: row for row in out.collect()}
     assert got[1] == rows[0] and got[2][3:] == rows[1][3:]
     assert len(got[2][1].split()) < len(rows[1][1].split()) - 50 and got[2][2] == len(got[2][1])
+
+
+def plain_runs_in_order(spans):
+    """Runs of one text's spans (first, last, source, room), and the windows near their ends, one span after the other."""
+    runs = []
+    for span in spans:
+        first, last, source, _ = span
+        if runs and first <= runs[-1]["last"]:
+            run = runs[-1]
+            if source != run["at"][0]:
+                run["at"] = (source, first)
+        else:
+            run = {"first": first, "last": last, "source": source, "at": (source, first), "best": 0, "spans": []}
+            runs.append(run)
+        run["last"] = max(run["last"], last)
+        run["best"] = max(run["best"], run["last"] - run["at"][1])
+        run["spans"].append(span)
+    for run in runs:
+        run["edges"] = [(a, b) for a, b, _, room in run["spans"] if room is not None and (
+            a - run["first"] < paragraphs.SELECT - 1 or run["last"] - b < paragraphs.SELECT - 1)]
+    return [(r["first"], r["last"], r["source"], r["best"], r["edges"]) for r in runs]
+
+
+def test_runs_of_spans_equal_a_plain_loop():
+    rng = random.Random(31)
+    fields = "first last low high first_doc_id component first_text first_place".split()
+    span = pa.struct([*((name, pa.int64()) for name in fields), ("room", pa.int32())])
+    texts = []
+    for _ in range(200):
+        spans = set()
+        for _ in range(rng.randrange(1, 40)):
+            first = rng.randrange(600)
+            window = rng.random() < 0.5
+            spans.add((first, first + (30 if window else rng.randrange(1, 40)), rng.choice([1, 2, 3]), 21 if window else None))
+        texts.append(sorted(spans, key=lambda s: (s[0], s[1], s[2], -1 if s[3] is None else s[3])))
+    rows = [[dict(zip([*fields, "room"], (a, b, 2 * a, 2 * b, source, 7, 8, 9, room))) for a, b, source, room in spans]
+            for spans in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array([0] * 200, pa.int64()),
+                                        pa.array(rows, pa.list_(span))], ["doc_id", "text_id", "spans"])
+    found = {k: [] for k in range(200)}
+    for out in paragraphs._runs(True)(iter([batch.slice(0, 77), batch.slice(77)])):
+        for row in out.to_pylist():
+            assert (row["low"], row["high"]) == (2 * row["first"], 2 * row["last"])
+            found[row["doc_id"]].append((row["first"], row["last"], row["first_doc_id"], row["best"],
+                                         [(e["first"], e["last"]) for e in row["edges"]]))
+    key = lambda s: (s[0], s[1], s[2], -1 if s[3] is None else s[3])
+    assert found == {k: plain_runs_in_order(sorted(spans, key=key)) for k, spans in enumerate(texts)}
