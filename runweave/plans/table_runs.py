@@ -28,8 +28,11 @@ def _text(*parts: str | Column) -> Column:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their run and sample, spread over all tasks; these texts are made of the rows after the shuffle."""
     year = F.year("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"), "o_orderkey")
+    return orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", year.alias("year"),
         F.month("o_orderdate").alias("month"),
         _text("/data/R", year, "/out/analysis").alias("run"),
@@ -61,13 +64,13 @@ def order_runs(spark: SparkSession, sf_dir: str) -> RunTables:
     """Orders and line items as runs and samples.
 
     The rows are spread over all tasks before the texts are made of them, as read files are: their parsing is the work,
-    not their bytes, which Spark would gather in a few tasks.
+    not their bytes, which Spark would gather in a few tasks. Both tables are dealt by the order's key, so their join
+    needs no further shuffle and what is rolled up by sample leaves a task as one row.
     """
     orders = _orders(spark, sf_dir)
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
         orders.select("o_orderkey", "run", "sample"), F.col("l_orderkey") == F.col("o_orderkey")
     ).withColumn("cents", F.round(F.col("l_extendedprice") * 100).cast("bigint"))
-    orders, lines = spread(orders, "o_orderkey"), spread(lines, "l_orderkey", "l_linenumber")
     sample, run, year = F.col("sample"), F.col("run"), F.col("year")
     state, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
 

@@ -49,3 +49,16 @@ def test_query(spark, duck, name):
     assert sorted(names) == columns
     want = ordered(tuple(r[names.index(c)] for c in columns) for r in answer.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["f12_run_summary", "f13_sample_events"])
+def test_line_items_are_dealt_once(spark, name):
+    """The spread of the line items is by the key of their join with the orders, which needs no shuffle of its own."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_orderkey" in line]
+    assert dealt and not [line for line in dealt if "ENSURE_REQUIREMENTS" in line]
