@@ -23,6 +23,15 @@ def test_ids_are_those_of_the_library(name, keeps_space):
     assert encode(ODD) == want and encode(ODD) == want
 
 
+def test_new_words_are_encoded_together():
+    name = vocabulary("word_bpe_49k.json")
+    plain, encode, calls = Tokenizer.from_file(name), Encoder(name, False), []
+    encode.tokenizer = type("Counted", (), {"encode_batch_fast": lambda _, texts, **k: calls.extend(texts) or plain.encode_batch_fast(texts, **k)})()
+    texts = [" ".join(f"w{chr(97 + k % 26)}x{chr(97 + k // 26)}, ~" for k in range(300)), "~ a~b ~~ wax, ~", "", " \n", "~"]
+    assert encode(texts) == [np.array(x.ids, "<u4").tobytes() for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert len(calls) < 30  # some 300 different words
+
+
 def rows_of(spark, texts):
     return spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, n string")
 
