@@ -111,21 +111,27 @@ def within_budget(work: Workspace, cells: DataFrame, targets: dict[str, DataFram
     budget = kept_share * (cells.agg(F.sum("tokens")).first()[0] or 0)
     amounts = {d: work.keep(_amounts(work, cells, d, target, budget), f"amounts-{d}") for d, target in targets.items()}
     given = F.col("tokens") * F.least(F.col("weight"), F.lit(1.0))
-    raked = work.keep(cells.withColumn("weight", F.lit(float(kept_share))), "weights-0")
+    raked = cells.withColumn("weight", F.lit(float(kept_share)))
+    for d, wanted in amounts.items():
+        wanted = wanted.select(F.col("level").alias(d), F.col("amount").alias(f"amount_{d}"))
+        raked = raked.join(wanted.hint("merge"), d, "left").na.fill(0.0, [f"amount_{d}"])
+    raked, held = work.keep(raked, "weights-0"), "weights-0"
     for k in range(1, rounds + 1):
         raked = raked.withColumn("off", F.lit(0.0))
-        for d, wanted in amounts.items():
-            now = raked.groupBy(F.col(d).alias("level")).agg(F.sum(given).alias("now")).join(wanted.hint("merge"), "level", "left")
-            now = now.select(F.col("level").alias(d), "now", F.coalesce("amount", F.lit(0.0)).alias("amount"))
+        for d in amounts:
+            # written at each step: a plan over all dimensions would hold each step twice for the next one
+            now = raked.groupBy(d).agg(F.sum(given).alias("now"))
             raked = raked.join(now.hint("merge"), d).withColumns({
-                "weight": F.when(F.col("now") > 0, F.col("weight") * F.col("amount") / F.col("now")).otherwise(0.0),
-                "off": F.greatest("off", F.abs(F.col("now") - F.col("amount")))}).drop("now", "amount")
-        raked = work.keep(raked, f"weights-{k}")
-        work.drop(f"weights-{k - 1}")
+                "weight": F.when(F.col("now") > 0, F.col("weight") * F.col(f"amount_{d}") / F.col("now")).otherwise(0.0),
+                "off": F.greatest("off", F.abs(F.col("now") - F.col(f"amount_{d}")))}).drop("now")
+            raked = work.keep(raked, f"weights-{k}-{d}")
+            work.drop(held)
+            held = f"weights-{k}-{d}"
         worst = raked.agg(F.max("off")).first()[0]
         raked = raked.drop("off")
         if worst is None or worst <= tolerance * budget:
             break
+    raked = raked.drop(*(f"amount_{d}" for d in amounts))
     return raked.withColumn("_p", F.least(F.col("weight"), F.lit(1.0))).drop("weight")
 
 

@@ -75,3 +75,12 @@ def test_a_stray_document_takes_nothing_from_the_others(spark, monkeypatch):
         of = lambda s: sum(kept[r.doc_id] for r in found if r.source == s)  # noqa: E731,B023
         assert of("s0") / of("s1") == pytest.approx(power("s0") / power("s1"), rel=1e-2)
     assert kept[5000] == pytest.approx(30)
+
+
+def test_plans_of_raking_do_not_grow_with_the_dimensions(spark, monkeypatch):
+    joins, keep = [], Workspace.keep
+    monkeypatch.setattr(Workspace, "keep", lambda self, df, name: joins.append(
+        (name, df._jdf.queryExecution().optimizedPlan().toString().count("Join "))) or keep(self, df, name))
+    mixing.mixed(spark.createDataFrame(rows(300), SCHEMA), power=0.9, kept_share=0.75)
+    steps = [n for name, n in joins if name.startswith("weights-") and name != "weights-0"]
+    assert steps and set(steps) == {1}
