@@ -214,4 +214,6 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     The texts stay where they are read; an id, its part, a digest and the bits of its filters are shuffled. Equal rows
     are counted before each shuffle, and the lists of RANGE ids are in memory at a time.
     """
-    return chain_sums(posting_lists(failures(docs), labels))
+    # written between, so a task has one Python worker at a time and not one for the lists and one for the sums
+    postings = Workspace(docs.sparkSession, "filter-audit").keep(posting_lists(failures(docs), labels), "postings")
+    return chain_sums(postings)

@@ -65,6 +65,11 @@ def test_equals_every_order(spark):
     assert sorted(map(tuple, out.collect())) == brute(docs, labels)
 
 
+def test_a_task_has_one_python_worker_at_a_time(spark):
+    plan = filter_audit.audit(*frames(spark, *tables(1, 30)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_empty_tables(spark):
     docs, labels = tables(2, 30)
     assert filter_audit.audit(*frames(spark, [], labels)).count() == 0
