@@ -27,6 +27,8 @@ BANDS, SHINGLE, PERCENT = 4, 5, 80
 LEAST_WORDS = 8
 #: Words of a window, and how many windows in a row have at least one selected: 50 words on end hold a selected one.
 WINDOW, SELECT = 30, 21
+#: Marks are shuffled in 2 ** RANGE_BITS ranges, MARKS_HELD or a little more of them at a time: 10 MB a range at 30 GB of texts.
+RANGE_BITS, MARKS_HELD = 12, 1 << 18
 STOPS = np.zeros(256, bool)
 STOPS[list(b".!?")] = True
 
@@ -59,10 +61,10 @@ def selected_windows(hashes: np.ndarray, first: np.ndarray, count: np.ndarray) -
     some = count >= WINDOW + SELECT - 1
     np.add.at(inside, first[some], 1)
     np.add.at(inside, first[some] + count[some] - (WINDOW + SELECT - 2), -1)
-    starts = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+    inside = np.cumsum(inside[:len(least)]) > 0
     picked = np.zeros(len(names), bool)
     for k in range(SELECT):
-        picked[starts[names[starts + k] == least[starts]] + k] = True
+        picked[k:k + len(least)] |= (names[k:k + len(least)] == least) & inside
     at = np.flatnonzero(picked)
     again = (np.diff(at, prepend=-2) == 1) & (names[at] == names[at - 1])
     onward = np.append(again[1:], False)
@@ -131,22 +133,74 @@ class Cut:
                           + series + np.uint64(b)) for b in range(BANDS)]
         return own, count, np.stack(keys, 1)
 
-    def shingles_of(self, k: int) -> np.ndarray:
-        return np.unique(words.shingles(self.hashes[self.first[k]:self.last[k]], SHINGLE))
+    def shingles_of(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sorted distinct shingles of the paragraphs `own`, of SHINGLE words or more, and where each one's end."""
+        count = self.last[own] - self.first[own] - SHINGLE + 1
+        row = np.repeat(np.arange(len(own)), count)
+        at = np.repeat(self.first[own] - (np.cumsum(count) - count), count) + np.arange(len(row))
+        flat = words.shingles(self.hashes, SHINGLE)[at]
+        order = np.lexsort((flat, row))
+        flat = flat[order]
+        fresh = np.append(True, (flat[1:] != flat[:-1]) | (row[1:] != row[:-1]))[:len(flat)]
+        return flat[fresh], np.cumsum(np.bincount(row[fresh], minlength=len(own)))
+
+
+def _runs_of_marks(marks: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct marks in order, the least and the greatest item of each, and whether it stands there more than once."""
+    order = np.argsort(marks)
+    marks, items = marks[order], items[order]
+    first = np.flatnonzero(np.append(True, marks[1:] != marks[:-1])[:len(marks)])
+    if not len(first):
+        return marks, items, items, np.zeros(0, bool)
+    return (marks[first], np.minimum.reduceat(items, first), np.maximum.reduceat(items, first),
+            np.diff(np.append(first, len(marks))) > 1)
+
+
+def _packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of the values from each bound to the next."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _by_range(marks: np.ndarray, items: np.ndarray) -> pa.RecordBatch:
+    """A row for each range of marks. Of a mark that is there more than twice, its least and greatest item stand for all."""
+    marks, least, most, again = _runs_of_marks(marks, items)
+    times = 1 + again
+    items = np.repeat(least, times)
+    items[(np.cumsum(times) - 1)[again]] = most[again]
+    marks = np.repeat(marks, times)
+    shift = np.uint64(64 - RANGE_BITS)
+    bounds = np.append(np.searchsorted(marks, np.arange(1 << RANGE_BITS, dtype=np.uint64) << shift), len(marks))
+    some = np.flatnonzero(np.diff(bounds))
+    bounds = np.append(bounds[some], len(marks))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(some.astype(np.int32)), _packed(marks, bounds), _packed(items, bounds)], ["part", "marks", "items"])
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(mark, item): for each paragraph its name under itself, and its name under each of its keys.
+    """(part, marks, items): for each paragraph its name under itself, and its name under each of its keys.
 
-    item holds 32 bits of the name, which tell apart the few names under one mark.
+    Marks travel by range, as bytes. items hold 32 bits of the name, which tell apart the few names under one mark.
     """
+    marks, items, held = [], [], 0
     for batch in words.pieces(batches, limit=words.BLOCK):
         cut = Cut(batch)
         own, _, keys = cut.banded()
-        marks = np.concatenate([cut.names, keys.ravel()])
-        items = np.concatenate([cut.names, np.repeat(cut.names[own], BANDS)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(words.signed(marks)), pa.array(words.signed(items).astype(np.int32))], ["mark", "item"])
+        marks += [cut.names, keys.ravel()]
+        items += [words.signed(x).astype(np.int32) for x in (cut.names, np.repeat(cut.names[own], BANDS))]
+        held += len(cut.names) + keys.size
+        if held > MARKS_HELD:
+            yield _by_range(np.concatenate(marks), np.concatenate(items))
+            marks, items, held = [], [], 0
+    if held:
+        yield _by_range(np.concatenate(marks), np.concatenate(items))
+
+
+def _repeated_marks(rows: pa.Table) -> pa.Table:
+    """(mark, a, b) of the marks of a range that stand there more than once, with their least and greatest item."""
+    marks, items = (np.frombuffer(b"".join(rows.column(name).to_pylist()), kind) for name, kind in (("marks", np.uint64), ("items", np.int32)))
+    marks, least, most, again = _runs_of_marks(marks, items)
+    return pa.table({"mark": words.signed(marks[again]), "a": least[again], "b": most[again]})
 
 
 def _candidates(shared):
@@ -156,11 +210,13 @@ def _candidates(shared):
             cut = Cut(batch, windows=False)
             own, _, keys = cut.banded()
             some = np.flatnonzero(bitsets.has(shared, keys).any(1)) if len(own) else own
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.signed(cut.names[own[some]])),
-                 pa.array([words.signed(keys[k]) for k in some], pa.list_(pa.int64())),
-                 pa.array([words.signed(cut.shingles_of(own[k])) for k in some], pa.list_(pa.int64()))],
-                ["item", "keys", "members"])
+            if not len(some):
+                continue
+            own, keys = own[some], keys[some]
+            members, ends = cut.shingles_of(own)
+            lists = [pa.ListArray.from_arrays(pa.array(np.append(0, at).astype(np.int32)), pa.array(words.signed(flat)))
+                     for flat, at in ((keys.ravel(), np.arange(1, len(own) + 1) * BANDS), (members, ends))]
+            yield pa.RecordBatch.from_arrays([pa.array(words.signed(cut.names[own])), *lists], ["item", "keys", "members"])
     return run
 
 
@@ -244,6 +300,7 @@ def _near(work: Workspace, docs: DataFrame, shared: DataFrame) -> DataFrame:
     same = full.where("k > 1").groupBy("k", "who").agg(F.min("bucket").alias("bucket"))  # equal buckets once
     scores = buckets.join(full, "bucket").groupBy("item").agg(F.sum("k").alias("score"))
     buckets = work.keep(buckets.join(same.select("bucket"), "bucket", "left_semi").join(scores, "item"), "buckets")
+    work.drop("band-rows")
     return link_buckets(work, buckets, found.select("item", "members"), PERCENT, "near")
 
 
@@ -355,8 +412,8 @@ def repeated_passages(docs: DataFrame, least_words: int = 30, least_stretch: int
     work = Workspace(docs.sparkSession, "paragraphs")
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_id"), "text")
     docs = docs.where("text is not null")
-    marks = docs.mapInArrow(_marks, "mark long, item int").groupBy("mark").agg(
-        F.min("item").alias("a"), F.max("item").alias("b"), F.count("*").alias("k")).where("k > 1")
+    marks = docs.mapInArrow(_marks, "part int, marks binary, items binary").groupBy("part").applyInArrow(
+        _repeated_marks, "mark long, a int, b int")
     marks = work.keep(marks, "marks")
     name = F.col("mark").bitwiseAND(0xFFFFFFFF)
     same = (F.col("a") == F.col("b")) & (F.col("a").cast("long").bitwiseAND(0xFFFFFFFF) == name)

@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 
-from runweave.llm import paragraphs
+from runweave.llm import paragraphs, words
 
 SCHEMA = "doc_id long, text string, n_chars long, component string, low string"
 
@@ -172,3 +173,32 @@ def test_runs_of_spans_equal_a_plain_loop():
                                          [(e["first"], e["last"]) for e in row["edges"]]))
     key = lambda s: (s[0], s[1], s[2], -1 if s[3] is None else s[3])
     assert found == {k: plain_runs_in_order(sorted(spans, key=key)) for k, spans in enumerate(texts)}
+
+
+def test_marks_by_range_equal_a_plain_count():
+    rng = random.Random(41)
+    draw = [rng.randrange(1 << 64) for _ in range(300)] + [0, (1 << 64) - 1]
+    blocks = [[(rng.choice(draw), rng.randrange(-3, 3)) for _ in range(rng.randrange(1, 200))] for _ in range(6)]
+    rows = [row for block in blocks for row in paragraphs._by_range(
+        np.array([m for m, _ in block], np.uint64), np.array([i for _, i in block], np.int32)).to_pylist()]
+    found, want = {}, {}
+    for part in {row["part"] for row in rows}:
+        out = paragraphs._repeated_marks(pa.Table.from_pylist([row for row in rows if row["part"] == part]))
+        assert not out.num_rows or {m % (1 << 64) >> 52 for m in out["mark"].to_pylist()} == {part}
+        found.update({m % (1 << 64): (a, b) for m, a, b in zip(*(out[c].to_pylist() for c in ("mark", "a", "b")))})
+    for m, i in (row for block in blocks for row in block):
+        want.setdefault(m, []).append(i)
+    assert found == {m: (min(i), max(i)) for m, i in want.items() if len(i) > 1}
+    # of a mark over and over, no block sends more than two
+    hot = paragraphs._by_range(np.full(5000, 9, np.uint64), np.arange(5000, dtype=np.int32)).to_pylist()
+    assert [np.frombuffer(row["items"], np.int32).tolist() for row in hot] == [[0, 4999]]
+
+
+def test_shingles_of_paragraphs_equal_those_of_each():
+    rng = random.Random(42)
+    texts = [prose(rng, 12) + " a b c d e f g a b c d e f g a b." for _ in range(9)] + [None, ""]
+    cut = paragraphs.Cut(pa.RecordBatch.from_pydict({"text": texts}), windows=False)
+    own, _, _ = cut.banded()
+    flat, ends = cut.shingles_of(own)
+    for k, low, high in zip(own, [0, *ends], ends):
+        assert flat[low:high].tolist() == np.unique(words.shingles(cut.hashes[cut.first[k]:cut.last[k]], paragraphs.SHINGLE)).tolist()
