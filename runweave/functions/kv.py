@@ -19,7 +19,7 @@ def kv_list_valid(col: Column) -> Column:
     return F.when(col != "", F.forall(_entries(col), lambda e: F.size(e) == 2))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with the value worked out once, also when body uses it inside a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -41,15 +41,18 @@ def kv_list(col: Column, rename: dict[str, str] | None = None) -> Column:
             name = F.when(key(entry) == old, new).otherwise(name)
         return F.struct(name, F.get(entry, F.lit(1)))
 
+    def last_of_each(entries: Column) -> Column:
+        def kept(keys: Column) -> Column:
+            last = F.filter(entries, lambda e, i: F.array_position(keys, key(e)) == F.size(keys) - i)
+            return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last)
+
+        return let(F.reverse(F.transform(entries, key)), kept)
+
     def to_map(entries: Column) -> Column:
-        return _let(
-            F.reverse(F.transform(entries, key)),
-            lambda keys: F.map_from_entries(F.transform(
-                F.filter(entries, lambda e, i: F.array_position(keys, key(e)) == F.size(keys) - i), shown
-            )),
-        )
-
-    entries = F.when(kv_list_valid(col), _entries(col))
-    if rename:
-        entries = F.filter(entries, lambda e: ~key(e).isin(*rename.values()))
-    return _let(entries, to_map)
+        return F.map_from_entries(F.transform(last_of_each(entries), shown))
+
+    def checked(entries: Column) -> Column:
+        kept = F.filter(entries, lambda e: ~key(e).isin(*rename.values())) if rename else entries
+        return F.when(F.forall(entries, lambda e: F.size(e) == 2), let(kept, to_map))
+
+    return let(F.when(col != "", _entries(col)), checked)

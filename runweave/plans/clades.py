@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from runweave.config import DATASET_PROCESS, UNKNOWN_DATASET, JobConfig
 from runweave.functions.text import na_to_null, to_double, token_at
 from runweave.operators.align import map_columns, override_column, shown_names, widen_maps
-from runweave.operators.events import check_events, events, reject_events
+from runweave.operators.events import check_events, counted, counted_events, events, found_by, reject_events
 from runweave.operators.guards import exactly_one
 from runweave.operators.joins import left_join_default
 from runweave.operators.topk import first_match, top1_per_group
@@ -75,7 +75,7 @@ def _parsed(tables: RunTables) -> DataFrame:
 
 
 def _with_best_record(files: DataFrame, ha_only: bool) -> DataFrame:
-    """Adds, per file, the number of candidate records and the position of the best scored one.
+    """Adds, per file, whether it is `usable`, the number of candidate records and the position of the best scored one.
 
     A file is one row here, so this needs no shuffle; of equal scores the first record wins.
     """
@@ -90,13 +90,36 @@ def _with_best_record(files: DataFrame, ha_only: bool) -> DataFrame:
         score = to_double(na_to_null(F.get(record, F.col("_score"))))
         return F.when(wanted, F.struct(score.alias("score"), (-i).alias("before")))
 
-    usable = F.col("problem").isNull() & has_columns(*_NEEDED)
-    found = F.when(usable, F.array_compact(F.transform("records", candidate)))
-    listed = indexed.withColumn("_found", found)
+    usable = F.col("problem").isNull() & (F.least("_seq", "_clade", "_score") >= 0)
+    listed = compute_once(indexed.withColumn("usable", usable), (
+        "_clade", "_score"), _found=F.when(F.col("usable"), F.array_compact(F.transform("records", candidate))))
     best = F.array_max(F.filter("_found", lambda c: c["score"].isNotNull()))
-    return compute_once(
-        listed, ("_seq", "_clade", "_score", "_found"), n_candidates=F.size("_found"), best=-best["before"]
-    )
+    return compute_once(listed, ("_found",), n_candidates=F.size("_found"), best=-best["before"])
+
+
+def clade_facts(tables: RunTables, config: JobConfig) -> DataFrame:
+    """(run, folder, sample, good, found, n): what events and rolled-up facts need of the files, from one parse.
+
+    `sample` is that of the best record, null without one; `found` has the events of the file, whose path is in them.
+    """
+    files = _with_best_record(_parsed(tables), config.ha_only)
+    seq_name = na_to_null(F.get(F.get("records", F.col("best")), F.col("_seq")))
+    found = found_by([
+        (F.col("problem").isNotNull(), "tsv_file_read_failed", {"path": "path", "error": "problem"}),
+        (F.col("problem").isNull() & ~F.col("usable"), "nextclade_file_read_error",
+         {"path": "path", "error": F.lit("column missing")}),
+        ((F.col("n_candidates") > 0) & F.col("best").isNull(), "nextclade_file_read_error",
+         {"path": "path", "error": F.lit("no score")}),
+    ])
+    return counted(files.select(
+        "run", "folder", token_at(seq_name, "_", 0).alias("sample"), F.col("usable").alias("good"),
+        found.alias("found")))
+
+
+def repeated_clades(tables: RunTables, config: JobConfig) -> DataFrame:
+    """(run, sample, n) of samples that have a best row in several folders."""
+    rows = clade_facts(tables, config).where("sample is not null").select("run", "folder", "sample").distinct()
+    return rows.groupBy("run", "sample").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 def best_clades(tables: RunTables, config: JobConfig) -> Result:
@@ -132,27 +155,19 @@ def best_clades(tables: RunTables, config: JobConfig) -> Result:
         F.col("nextclade_dataset_name").alias("dataset"), "clade", "cells", *shown,
     )
 
-    good = F.col("problem").isNull() & has_columns(*_NEEDED)
-
     def found() -> list[DataFrame]:
-        per_folder = files.groupBy("run", "folder").agg(F.max(good).alias("any_good"))
-        per_run = per_folder.where("any_good").groupBy("run").agg(F.lit(True).alias("any_good"))
+        facts = clade_facts(tables, config)
+        per_folder = facts.groupBy("run", "folder").agg(F.max("good").alias("any_good"))
         folders = tables.files("clade_dir").where("is_dir").select("run", F.col("name").alias("folder"))
         state = folders.join(per_folder, ["run", "folder"], "left")
         return [
             *datasets.events(),
-            check_events(files, [
-                (F.col("problem").isNotNull(), "tsv_file_read_failed", {"path": "path", "error": "problem"}),
-                (F.col("problem").isNull() & ~has_columns(*_NEEDED), "nextclade_file_read_error",
-                 {"path": "path", "error": F.lit("column missing")}),
-                ((F.col("n_candidates") > 0) & F.col("best").isNull(), "nextclade_file_read_error",
-                 {"path": "path", "error": F.lit("no score")}),
-            ]),
+            counted_events(facts.withColumn("sample", F.lit(None))),
             check_events(state, [
                 (F.col("any_good").isNull(), "no_nextclade_tsv_files_found", {"folder": "folder"}),
                 (~F.col("any_good"), "no_valid_dataframes_collected", {"folder": "folder"}),
             ], "folder"),
-            reject_events(tables.runs, per_run, ["run"], "no_valid_nextclade_dataframes_collected"),
+            reject_events(tables.runs, facts.where("good"), ["run"], "no_valid_nextclade_dataframes_collected"),
         ]
 
     return Result(best, found)

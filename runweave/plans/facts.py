@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runweave.config import (
     COMPLETENESS_LIMIT, CONSENSUS_SUFFIX, RANGE_IN_HEADER, SEGMENT_IN_FILE_NAME, SEGMENTS,
 )
-from runweave.functions.kv import kv_list, kv_list_valid
+from runweave.functions.kv import kv_list
 from runweave.functions.sequence import fraction_called, threshold_flag
 from runweave.functions.text import extract, na_to_null, range_of, to_long, token_at
 from runweave.operators.events import check_events, events
@@ -119,11 +119,16 @@ def genotypes(tables: RunTables) -> Result:
         F.when(F.col("problem").isNotNull(), F.col("problem"))
         .when(F.col("n_records") == 0, "no rows")
         .when(~has_columns("Genotype", listed), "column missing")
-        .when(~kv_list_valid(F.col("list")), "malformed list")
+        .when((F.col("list") != "") & F.col("pairs").isNull(), "malformed list")
+    )
+    extra = F.transform(
+        F.filter(F.map_keys("pairs"), lambda key: ~key.isin(*SEGMENTS)),
+        lambda key: F.struct(
+            F.lit("unexpected_column_found").alias("event_type"),
+            F.array(F.struct(F.lit("column").alias("key"), F.concat(F.lit("GenoFLU_"), key).alias("value"))).alias("detail")),
     )
-    failed = files.withColumn("error", error).where("error is not null")
-    extra = files.select(*_KEY, F.explode(F.map_keys("pairs")).alias("key")).where(~F.col("key").isin(*SEGMENTS))
     return Result(rows, lambda: [
-        events(failed, "genoflu_file_read_error", "sample", path="path", error="error"),
-        events(extra, "unexpected_column_found", "sample", column=F.concat(F.lit("GenoFLU_"), "key")),
+        check_events(files.withColumn("error", error), [
+            (F.col("error").isNotNull(), "genoflu_file_read_error", {"path": "path", "error": "error"}),
+        ], "sample", extra),
     ])

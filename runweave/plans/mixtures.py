@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from runweave.functions.text import na_to_null
 from runweave.operators.align import map_columns, shown_names, widen_maps
-from runweave.operators.events import check_events, reject_events
+from runweave.operators.events import counted, counted_events, found_by, reject_events
 from runweave.plans.result import Result
 from runweave.sources.delimited import first_row, header_names
 from runweave.sources.tables import RunTables
@@ -26,13 +26,20 @@ def mixtures(tables: RunTables) -> Result:
     """(run, path, sample, cells) of the files with exactly one row."""
     files = _files(tables)
     good = files.where("n_records = 1")
-    return Result(good.select("run", "path", "sample", "cells"), lambda: [
-        check_events(files, [
+
+    def found() -> list[DataFrame]:
+        marked = files.select("run", "sample", (F.col("n_records") == 1).alias("good"), found_by([
             (F.col("problem").isNotNull(), "mixture_report_read_error", {"path": "path", "error": "problem"}),
             (F.col("n_records") != 1, "unexpected_mixture_report_rows", {"row_count": "n_records"}),
-        ], "sample"),
-        reject_events(tables.runs, good, ["run"], "no_valid_mixture_reports_found"),
-    ])
+        ]).alias("found"))
+        # files without events are counted by run
+        counts = counted(marked.withColumn("sample", F.when(F.size("found") > 0, F.col("sample"))))
+        return [
+            counted_events(counts),
+            reject_events(tables.runs, counts.where("good"), ["run"], "no_valid_mixture_reports_found"),
+        ]
+
+    return Result(good.select("run", "path", "sample", "cells"), found)
 
 
 def wide_mixtures(tables: RunTables) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from runweave.config import FASTQ_SUFFIX, JobConfig
 from runweave.functions.sample_key import parse_sample_key
 from runweave.functions.text import path_component
-from runweave.operators.events import events
+from runweave.operators.events import check_events, events
 from runweave.operators.guards import exactly_one
 from runweave.plans.result import Result
 from runweave.sources.delimited import cell, delimited_rows, has_columns
@@ -66,7 +66,9 @@ def roster(tables: RunTables, config: JobConfig) -> Result:
     origin = "start_samplesheet" if config.auto_mode else "fastq_directory"
     return Result(rows, lambda: [
         *source.events(),
-        events(counts, "samples_collected", sample_count="n", source=F.lit(origin)),
-        events(counts.where("n = 0"), "no_samples_found"),
-        events(tables.runs.where(path_component(F.col("run"), -3).isNull()), "run_name_extraction_failed"),
+        check_events(counts, [
+            (F.lit(True), "samples_collected", {"sample_count": "n", "source": F.lit(origin)}),
+            (F.col("n") == 0, "no_samples_found", {}),
+            (path_component(F.col("run"), -3).isNull(), "run_name_extraction_failed", {}),
+        ]),
     ])

@@ -12,7 +12,7 @@ from runweave.operators.align import align_to
 from runweave.operators.events import column_events, events
 from runweave.operators.joins import left_join_default
 from runweave.operators.topk import pick_rows
-from runweave.plans.clades import best_clades
+from runweave.plans.clades import best_clades, repeated_clades
 from runweave.plans.facts import cleavage_sites, completeness, genotypes, mapped_reads, tree_pass
 from runweave.plans.result import Result
 from runweave.plans.roster import roster
@@ -83,7 +83,7 @@ def run_summary(tables: RunTables, config: JobConfig = JobConfig()) -> Result:
     wide = wide.withColumnsRenamed({"run": "run_folder"}).withColumnsRenamed({"Run_": "Run"})
     def found() -> list[DataFrame]:
         # of several folders with a row for one sample, one is shown
-        several = clades.rows.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        several = repeated_clades(tables, config)
         return [
             *(frame for part in parts for frame in part.events()),
             events(several, "duplicate_key", "sample", source=F.lit("clades"), key="sample", n="n"),

@@ -17,6 +17,7 @@ from runweave.operators.pivot import membership_matrix
 from runweave.plans import clades, facts, manifest, mixtures, roster, run_events, status, subtype, summary, versions
 from runweave.plans.table_queries import query, table
 from runweave.sources.content import spread
+from runweave.sources.delimited import compute_once
 from runweave.sources.tables import RunTables
 
 _STAGES = [s for s in STAGE_CODES if s != "mixture"]
@@ -32,16 +33,16 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("o_orderdate")
     orders = spread(table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"), "o_orderkey")
-    return orders.select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", year.alias("year"),
-        F.month("o_orderdate").alias("month"),
-        _text("/data/R", year, "/out/analysis").alias("run"),
-        _text(
+    # worked out once: filters on the texts stay behind the shuffle, which all readers then share
+    return compute_once(
+        orders, ("o_orderdate",), year=year, month=F.month("o_orderdate"),
+        run=_text("/data/R", year, "/out/analysis"),
+        sample=_text(
             "R", F.lpad(F.col("o_orderkey").cast("string"), 10, "0"),
             "-", F.lpad(F.col("o_custkey").cast("string"), 4, "0"),
             "-", F.substring("o_orderpriority", 3, 1),
             "-", F.col("o_orderstatus"), F.lpad(F.month("o_orderdate").cast("string"), 2, "0"),
-        ).alias("sample"),
+        ),
     )
 
 

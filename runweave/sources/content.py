@@ -34,8 +34,12 @@ def _read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def spread(df: DataFrame, *cols: str, rounds: int = 4) -> DataFrame:
-    """Spread small rows that stand for much work over a fixed, not coalesced, number of tasks."""
-    tasks = df.sparkSession.sparkContext.defaultParallelism * rounds
+    """Spread small rows that stand for much work over a fixed, not coalesced, number of tasks.
+
+    Of these are at least as many as any shuffle has, which is what keeps the tasks of a large job small.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism * rounds, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(tasks, *cols)
 
 

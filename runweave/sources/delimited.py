@@ -8,10 +8,13 @@ before a separator, a line break or the end; it may hold separators, breaks and
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runweave.functions.kv import let
 from runweave.functions.text import na_to_null
 
 #: What separates the cells of each delimited source, and those without a header; fixed values.
@@ -21,12 +24,14 @@ HEADERLESS = ("dataset_versions", "linked_datasets", "idxstats")
 
 
 def compute_once(df: DataFrame, drop: tuple[str, ...] = (), **columns: Column) -> DataFrame:
-    """Adds costly columns through a one-element inline.
+    """Adds costly columns behind a condition that is always true, but isn't deterministic.
 
-    The optimizer would else copy their expressions into every filter and lambda that uses them.
+    The optimizer would else copy their expressions into every filter and lambda that uses them. Columns that nobody
+    reads are not worked out.
     """
     keep = [c for c in df.columns if c not in (*drop, *columns)]
-    return df.select(*keep, F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+    always = F.spark_partition_id() >= 0
+    return df.select(*keep, *(F.when(always, c).alias(n) for n, c in columns.items()))
 
 
 def _tokens(text: Column, sep: str) -> Column:
@@ -72,45 +77,45 @@ def _cut(tokens: Column) -> Column:
     return F.transform(F.array(tokens), records)[0]
 
 
-def _with_tokens(texts: DataFrame, sep: str, content: str) -> DataFrame:
-    """Adds `_tokens`: those of a text with quotes, else null. Cut once, whatever is taken from them."""
-    tokens = F.when(F.contains(F.col(content), F.lit('"')), _tokens(F.col(content), sep))
-    return texts.select(*texts.columns, F.inline(F.array(F.struct(tokens.alias("_tokens")))))
-
-
-def _records(sep: str, content: str) -> Column:
-    """The records of `content`, by `_tokens` where there are any."""
-    lines = F.filter(F.split(F.col(content), "\n"), lambda line: F.length(F.trim(line)) > 0)
-    plain = F.transform(lines, lambda line: F.split(line, re.escape(sep)))
-    return F.when(F.col("_tokens").isNotNull(), _cut(F.col("_tokens"))).otherwise(plain)
+def _parsed(sep: str, content: str) -> Column:
+    """struct<lines, unclosed>: the records of a text, and whether one of its quotes never closes.
 
+    A text with quotes is cut once into tokens, whatever is taken from them.
+    """
+    lines = F.filter(F.split(F.col(content), "\n"), lambda line: F.trim(line) != "")
+    plain = F.struct(
+        F.transform(lines, lambda line: F.split(line, re.escape(sep))).alias("lines"), F.lit(False).alias("unclosed"))
+    quoted = let(_tokens(F.col(content), sep), lambda tokens: F.struct(
+        _cut(tokens).alias("lines"), _unclosed(tokens).alias("unclosed")))
+    return F.when(F.contains(F.col(content), F.lit('"')), quoted).otherwise(plain)
 
-def _with_header(parsed: DataFrame) -> DataFrame:
-    """Adds `header`: names of line 0, unnamed columns numbered, repeats given a suffix.
 
-    Each step is a column of its own: an expression used inside a lambda is worked out anew for
-    every element.
-    """
-    cells = F.get("_lines", F.lit(0))
+def _header(lines: Column) -> Column:
+    """Names of line 0, unnamed columns numbered, repeats given a suffix."""
+    cells = F.get(lines, F.lit(0))
     named = F.transform(
         cells, lambda c, i: F.when(c == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(c)
     )
 
-    def repeat(name: Column, i: Column) -> Column:
-        before = F.size(F.filter(F.slice("_named", F.lit(1), i), lambda other: other == name))
-        return F.when(before > 0, F.concat_ws(".", name, before.cast("string"))).otherwise(name)
+    def repeats(named: Column) -> Column:
+        def repeat(name: Column, i: Column) -> Column:
+            before = F.size(F.filter(F.slice(named, F.lit(1), i), lambda other: other == name))
+            return F.when(before > 0, F.concat_ws(".", name, before.cast("string"))).otherwise(name)
+
+        return F.transform(named, repeat)
+
+    def last_resorts(names: Column) -> Column:
+        def last_resort(name: Column, i: Column) -> Column:  # a name may look like a suffixed repeat
+            return F.when(F.array_position(names, name) <= i, F.concat_ws("#", name, i.cast("string"))).otherwise(name)
 
-    def last_resort(name: Column, i: Column) -> Column:  # a name may look like a suffixed repeat
-        return F.when(F.array_position("_names", name) <= i, F.concat_ws("#", name, i.cast("string"))).otherwise(name)
+        return F.transform(names, last_resort)
+
+    def unless_distinct(names: Column, otherwise: Column) -> Column:
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), names).otherwise(otherwise)
 
     plain = (F.size(F.array_distinct(cells)) == F.size(cells)) & ~F.array_contains(cells, F.lit(""))
-    return (
-        parsed.withColumn("_plain", plain)
-        .withColumn("_named", F.when(~F.col("_plain"), named))
-        .withColumn("_names", F.when(~F.col("_plain"), F.transform("_named", repeat)))
-        .withColumn("header", F.when(F.col("_plain"), cells).otherwise(F.transform("_names", last_resort)))
-        .drop("_plain", "_named", "_names")
-    )
+    return F.when(plain, cells).otherwise(let(named, lambda named: unless_distinct(named, let(
+        repeats(named), lambda names: unless_distinct(names, last_resorts(names))))))
 
 
 def parse_delimited(texts: DataFrame, sep: str, content: str = "content") -> DataFrame:
@@ -122,15 +127,15 @@ def parse_delimited(texts: DataFrame, sep: str, content: str = "content") -> Dat
     """
     keep = [c for c in texts.columns if c not in (content, "problem")]
     known = F.col("problem") if "problem" in texts.columns else F.lit(None).cast("string")
-    below = F.slice("_lines", F.lit(2), F.greatest(F.size("_lines") - 1, F.lit(0)))
-    parsed = _with_header(_with_tokens(texts, sep, content).select(
-        *keep, F.coalesce(known, F.when(_unclosed(F.col("_tokens")), "unclosed quote")).alias("problem"),
-        _records(sep, content).alias("_lines")
-    )).withColumn("records", F.when(F.size("_lines") > 0, below))
-    ragged = F.array_max(F.transform("records", F.size)) > F.size("header")
-    problem = F.coalesce("problem", F.when(F.size("_lines") == 0, "empty").when(ragged, "ragged"))
-    shown = parsed.select(*keep, "problem", "header", "records", "_lines")
-    return compute_once(shown, ("_lines",), header=F.col("header"), records=F.col("records"), problem=problem)
+    lines = F.col("_parsed.lines")
+    below = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+    ragged = F.array_max(F.transform(lines, F.size)) > F.size(F.get(lines, F.lit(0)))
+    problem = F.coalesce(
+        known, F.when(F.col("_parsed.unclosed"), "unclosed quote").when(F.size(lines) == 0, "empty").when(ragged, "ragged"))
+    return compute_once(
+        compute_once(texts, (content,), _parsed=_parsed(sep, content)), ("_parsed",),
+        header=_header(lines), records=F.when(F.size(lines) > 0, below), problem=problem,
+    ).select(*keep, "header", "records", "problem")
 
 
 def delimited_rows(parsed: DataFrame) -> DataFrame:
@@ -144,6 +149,19 @@ def delimited_rows(parsed: DataFrame) -> DataFrame:
                        F.map_from_arrays("header", cells).alias("cells"))
 
 
+def picked_cells(parsed: DataFrame, **cells: str) -> DataFrame:
+    """One row per record, as of delimited_rows, with some cells named by their headers, and one per text with a problem."""
+    keep = [c for c in parsed.columns if c not in ("header", "records", "pos")]
+    at = {name: column_index(title) for name, title in cells.items()}
+    records = F.when(F.col("problem").isNull(), F.col("records"))
+    rows = compute_once(parsed, ("header", "records", "pos"), _records=records, **{f"_at_{n}": i for n, i in at.items()})
+    rows = rows.select(*keep, *(f"_at_{n}" for n in at), F.posexplode_outer("_records").alias("pos", "_record"))
+    rows = rows.where(F.col("problem").isNotNull() | F.col("pos").isNotNull())
+    return compute_once(
+        rows.withColumn("pos", F.col("pos").cast("bigint")), ("_record", *(f"_at_{n}" for n in at)),
+        **{n: na_to_null(F.get("_record", F.col(f"_at_{n}"))) for n in at})
+
+
 def row_at(parsed: DataFrame, index: Column) -> DataFrame:
     """Adds `cells`, the map of one record, and `n_records`; null for texts with a problem."""
     good = F.col("problem").isNull()
@@ -167,7 +185,7 @@ def column_index(name: str) -> Column:
 
 def has_columns(*names: str) -> Column:
     """True when the header holds all the names."""
-    return F.size(F.array_intersect("header", F.array(*map(F.lit, names)))) == len(names)
+    return reduce(and_, (F.array_contains("header", F.lit(n)) for n in names))
 
 
 def cell(name: str, cells: str = "cells") -> Column:
@@ -177,8 +195,8 @@ def cell(name: str, cells: str = "cells") -> Column:
 
 def parse_headerless(texts: DataFrame, sep: str, content: str = "content") -> DataFrame:
     """Adds records, the cells of all lines that are not blank."""
-    keep = [c for c in texts.columns if c != content]
-    return _with_tokens(texts, sep, content).select(*keep, F.explode(F.array(_records(sep, content))).alias("records"))
+    return compute_once(texts, (content,), _parsed=_parsed(sep, content)).withColumn(
+        "records", F.col("_parsed.lines")).drop("_parsed")
 
 
 def parse_source(texts: DataFrame, source: str) -> DataFrame:

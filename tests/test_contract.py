@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -62,3 +63,18 @@ def test_line_items_are_dealt_once(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_orderkey" in line]
     assert dealt and not [line for line in dealt if "ENSURE_REQUIREMENTS" in line]
+
+
+def test_events_of_clade_files_come_from_one_parse(spark):
+    """Everything that the events need of the clade files reads one shuffle, so the line items are joined and parsed once for it."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        plan = QUERIES["f13_sample_events"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    parses = [line for line in plan.splitlines() if re.search(r"array_position\(header#\d+, alignmentScore\)", line)]
+    assert len(parses) == 1

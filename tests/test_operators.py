@@ -17,13 +17,15 @@ from runweave.functions.text import (
     na_to_null, path_component, prefixed_int, presence_text, range_of, to_double, to_long, token_at,
 )
 from runweave.operators.align import align_to, map_columns, override_column, union_by_name, widen_maps
-from runweave.operators.events import check_events, column_events, events, reject_events
+from runweave.operators.events import (
+    check_events, column_events, counted, counted_events, events, found_by, reject_events,
+)
 from runweave.operators.fill import forward_fill, with_order_range
 from runweave.operators.guards import exactly_one, singleton_groups
 from runweave.operators.joins import left_join_default
 from runweave.operators.pivot import first_failing_stage, membership_matrix, pivot_last_wins
 from runweave.operators.topk import first_match, last_wins_map, top1_per_group
-from runweave.sources.delimited import delimited_rows, parse_delimited, read_headerless
+from runweave.sources.delimited import delimited_rows, parse_delimited, picked_cells, read_headerless
 from runweave.sources.fasta import read_fasta
 from runweave.sources.run_files import _children
 from runweave.sources.sections import read_sections
@@ -286,6 +288,33 @@ def texts(spark, *contents):
     return spark.createDataFrame(rows, "run string, path string, pos bigint, content string, problem string")
 
 
+def test_counted_events_keep_every_row(spark):
+    df = spark.createDataFrame(
+        [("r", "a", 2), ("r", "a", 2), ("r", "b", 0), ("r", None, 3), (None, "c", 3), ("r", "d", None)], "run string, sample string, n int")
+    marked = df.select("run", "sample", (F.col("n") > 0).alias("good"), found_by([
+        (F.col("n") > 1, "two", {"n": "n"}), (F.col("n") > 2, "three", {}), (F.col("n").isNull(), "none", {"n": "n"}),
+    ]).alias("found"))
+    counts = counted(marked)
+    assert counts.agg(F.sum("n")).first()[0] == 6
+    assert counts.where("good").agg(F.sum("n")).first()[0] == 4
+    got = [(r["run"], r["sample"], r["event_type"], r["detail"]) for r in counted_events(counts).collect()]
+    want = [("r", "a", "two", {"n": "2"})] * 2 + [("r", None, "two", {"n": "3"}), ("r", None, "three", {}),
+            (None, "c", "two", {"n": "3"}), (None, "c", "three", {}), ("r", "d", "none", {"n": None})]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_names_that_look_like_repeats_stay_apart(spark):
+    header = parse_delimited(texts(spark, "a,,a,a.1,\n1"), ",").first()["header"]
+    assert header == ["a", "Unnamed: 1", "a.1", "a.1#3", "Unnamed: 4"]
+
+
+def test_picked_cells(spark):
+    parsed = parse_delimited(texts(spark, ",b,a\n0,NA,x\n1", "a,b\n1,2,3", "a,b\n"), ",")
+    rows = {(r["path"], r["pos"]): (r["a"], r["b"], r["z"], r["problem"])
+            for r in picked_cells(parsed, a="a", b="b", z="z").collect()}
+    assert sorted(rows.values(), key=str) == sorted([("x", None, None, None), (None, None, None, None), (None, None, None, "ragged")], key=str)
+
+
 def test_delimited(spark):
     parsed = parse_delimited(texts(
         spark, 'a,b,a,\n1,"x, ""y""\nz",3,4\n\n5,6\n', "", "a,b\n1,2,3\n", "a,b\n", "x,x,x.1\n1,2,3",
